@@ -1,5 +1,5 @@
 """Registered queries with the SQL each is checked against."""
 
-from vecquery.registry import search
+from vecquery.registry import metrics, search
 
-ENTRIES = {**search.ENTRIES}
+ENTRIES = {**search.ENTRIES, **metrics.ENTRIES}
