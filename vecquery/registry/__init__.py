@@ -1,5 +1,5 @@
 """Registered queries with the SQL each is checked against."""
 
-from vecquery.registry import metrics, search
+from vecquery.registry import metrics, results, search
 
-ENTRIES = {**search.ENTRIES, **metrics.ENTRIES}
+ENTRIES = {**search.ENTRIES, **metrics.ENTRIES, **results.ENTRIES}
