@@ -97,51 +97,60 @@ def _walk(events: pa.Table) -> pa.Table:
 
 
 def _scan_long(events: DataFrame, bin_rows: int) -> DataFrame:
-    extent = events.groupBy("key").agg(
+    # events of one instant act as one: if it may lead, its events lead up to the first with a span
+    has_span = F.when(F.col("free_us") > F.col("ts_us"), F.col("id"))
+    instants = events.groupBy("key", "ts_us").agg(
+        F.min("id").alias("id"), F.min(has_span).alias("cover_id"),
+        F.coalesce(F.min_by("free_us", has_span), F.col("ts_us") + 1).alias("free_us"),
+    )
+    extent = instants.groupBy("key").agg(
         F.min("ts_us").alias("_t0"),
-        F.greatest(
-            F.lit(1), F.ceil((F.max("ts_us") - F.min("ts_us") + 1) / F.ceil(F.count("*") / bin_rows))
+        F.ceil(
+            (F.max("ts_us") - F.min("ts_us") + 1) / F.ceil(F.count("*") / bin_rows)
         ).cast("bigint").alias("_width"),
     )
 
     def bin_of(ts: Column) -> Column:
-        return F.floor((ts - F.col("_t0")) / F.col("_width")).alias("bin")
-
-    timed = checkpointed(
-        events.join(extent, "key").select("*", bin_of(F.col("ts_us"))).drop("_width", "_t0")
-    )
-    asks = timed.drop("bin").join(extent, "key").select(
-        "key", bin_of(F.col("free_us")), F.col("free_us").alias("at"),
-        F.when(F.col("free_us") == F.col("ts_us"), F.col("id")).alias("at_id"),
-        F.lit(1).alias("asks"), F.lit(None).cast("bigint").alias("event"), F.col("id"),
+        return F.floor((ts - F.col("_t0")) / F.col("_width"))
+
+    timed = checkpointed(instants.join(extent, "key").select(
+        "*", bin_of(F.col("ts_us")).alias("bin"), bin_of(F.col("free_us")).alias("free_bin")
+    ).drop("_t0", "_width"))
+    asks = timed.select(
+        "key", F.col("free_bin").alias("bin"), F.col("free_us").alias("at"), F.lit(0).alias("there"),
+        F.lit(None).cast("bigint").alias("event"), "id",
     )
     there = timed.select(
-        "key", "bin", F.col("ts_us").alias("at"), F.col("id").alias("at_id"),
-        F.lit(0).alias("asks"), F.col("id").alias("event"), "id",
+        "key", "bin", F.col("ts_us").alias("at"), F.lit(1).alias("there"), F.col("id").alias("event"), "id"
     )
-    # walking backwards, an asker has just passed the first event that may lead after it
+    # walking backwards, an asker has just passed the first instant that may lead after it
     found = carried(
-        there.unionByName(asks), ["key"], "bin", ["at", "at_id", "asks"], "event", "next", backwards=True
+        there.unionByName(asks), ["key"], "bin", ["at", "there"], "event", "next", backwards=True
     )
-    jump = checkpointed(found.filter("asks = 1 AND next IS NOT NULL").select("id", "next"))
-    first = timed.groupBy("key").agg(F.min_by("id", F.struct("ts_us", "id")).alias("id"))
+    jump = checkpointed(found.filter("there = 0 AND next IS NOT NULL").select("id", "next"))
+    first = timed.groupBy("key").agg(F.min_by("id", "ts_us").alias("id"))
     reached = checkpointed(first.select("id"))
     while True:
-        # reached: the first 2^r leaders of each key; jump: 2^r leaders ahead
+        # reached: the first 2^r leading instants of each key; jump: 2^r leading instants ahead
         new = checkpointed(reached.join(jump, "id").select(F.col("next").alias("id")))
         if new.isEmpty():
             break
         reached = checkpointed(reached.unionByName(new))
         far = jump.select(F.col("id").alias("next"), F.col("next").alias("far"))
         jump = checkpointed(jump.join(far, "next").select("id", F.col("far").alias("next")))
-    marked = timed.join(reached.withColumn("is_leader", F.lit(True)), "id", "left").select(
-        "key", "bin", "ts_us", "id", F.coalesce("is_leader", F.lit(False)).alias("is_leader"),
-        F.when(F.col("is_leader"), F.struct("ts_us", "id")).alias("mark"),
+    marked = timed.join(reached.withColumn("_leads", F.lit(True)), "id", "left").select(
+        "key", "bin", "ts_us", "cover_id", F.coalesce("_leads", F.lit(False)).alias("leads"),
+        F.when(F.col("_leads"), F.struct(F.col("cover_id").alias("id"), "ts_us")).alias("mark"),
+    )
+    led = carried(marked, ["key"], "bin", ["ts_us"], "mark", "leader").select(
+        "key", "ts_us", "leads", "cover_id", "leader"
     )
-    led = carried(marked, ["key"], "bin", ["ts_us", "id"], "mark", "leader")
-    return led.select(
-        "key", "ts_us", "id", F.col("leader.id").alias("leader_id"),
-        F.col("leader.ts_us").alias("leader_ts_us"), "is_leader",
+    leads = F.col("leads") & (F.col("cover_id").isNull() | (F.col("id") <= F.col("cover_id")))
+    return events.join(led, ["key", "ts_us"]).select(
+        "key", "ts_us", "id",
+        F.when(leads, F.col("id")).otherwise(F.col("leader.id")).alias("leader_id"),
+        F.when(leads, F.col("ts_us")).otherwise(F.col("leader.ts_us")).alias("leader_ts_us"),
+        leads.alias("is_leader"),
     )
 
 
