@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecquery.functions.keys import embedding_key
 from vecquery.functions.text import feature_counts
@@ -49,7 +50,7 @@ def embed_batch(
 
     The model maps n texts to an (n, dim) array; another shape fails the job, so every row gets its vector.
     """
-    schema = df.schema.add(out, "array<float>")
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,5 @@
 """Registered queries with the SQL each is checked against."""
 
-from vecquery.registry import metrics, results, search
+from vecquery.registry import answers, metrics, results, search, streams
 
-ENTRIES = {**search.ENTRIES, **metrics.ENTRIES, **results.ENTRIES}
+ENTRIES = {**search.ENTRIES, **answers.ENTRIES, **results.ENTRIES, **metrics.ENTRIES, **streams.ENTRIES}

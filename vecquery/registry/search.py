@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +95,24 @@ def embed_batch(spark, folder):
     return elements(embed.embed_hashed(docs, "text", DIM), "doc_id", "embedding")
 
 
+def embed_batch_model(spark, folder):
+    """The same counts from a Python model called on batches of texts, as a caller's model would be."""
+    def make_model():
+        seen = {}
+
+        def bucket(word):
+            if word not in seen:
+                seen[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM
+            return seen[word]
+
+        return lambda texts: np.array(
+            [np.bincount([bucket(w) for w in t.split()], minlength=DIM) for t in texts], dtype=np.float32
+        )
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return elements(embed.embed_batch(docs, "text", make_model), "doc_id", "embedding")
+
+
 def embed_dedup(spark, folder):
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     made = embed.embed_distinct(docs, "text", lambda d: embed.embed_hashed(d, "text", DIM))
@@ -238,6 +259,8 @@ SELECT {_PAD} AS id, text AS content, source AS topic, lang AS type, length(text
     "key_embedding": (key_embedding, "SELECT doc_id, md5('emb:' || text) AS key FROM documents"),
     "cache_key_raw": (cache_key_raw, f"SELECT conv_id, turn, 'rag:' || text || ':5' AS key FROM {_TURNS}"),
     "embed_batch": (embed_batch, f"""
+WITH {sql.hashed('h', 'SELECT doc_id AS id, text FROM documents')} {_elements('(SELECT id AS doc_id, v FROM h)', 'doc_id', 'v')}"""),
+    "embed_batch_model": (embed_batch_model, f"""
 WITH {sql.hashed('h', 'SELECT doc_id AS id, text FROM documents')} {_elements('(SELECT id AS doc_id, v FROM h)', 'doc_id', 'v')}"""),
     "embed_dedup": (embed_dedup, f"""
 WITH {sql.hashed('h', 'SELECT min(doc_id) AS id, text FROM documents GROUP BY text')}
