@@ -46,7 +46,8 @@ def search_exact(
 def probe_lists(queries: DataFrame, centroids: pa.Table, nprobe: int) -> DataFrame:
     """One row per query and each of its ``nprobe`` nearest lists."""
     near = blocks.nearest_rows(queries, "vec", centroids, nprobe, "lists")
-    return near.select(F.explode("lists").alias("cell"), "query_id", "vec")
+    # outer: an inner explode infers a filter on the list's size and runs the UDF once more
+    return near.select(F.explode_outer("lists").alias("cell"), "query_id", "vec")
 
 
 def search_lists(
@@ -94,7 +95,7 @@ def hash_cells(df: DataFrame, vec: str, dim: int, bands: int, bits: int) -> Data
         ends = np.arange(0, (len(vectors) + 1) * bands, bands, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(codes.reshape(-1).astype(np.int64)))
 
-    return df.withColumn("cell", F.explode(cells(F.col(vec))))
+    return df.withColumn("cell", F.explode_outer(cells(F.col(vec))))
 
 
 def search_hashed(

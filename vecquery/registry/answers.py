@@ -26,7 +26,7 @@ TURN_IDS = 1_000  # a conversation has fewer turns than this, so conv_id * 1000
 # ---- inputs -----------------------------------------------------------------------------------
 
 def text_index(spark, folder) -> DataFrame:
-    docs = read_table(spark, folder, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    docs = read_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("vec_id"), "text")
     return embed.embed_hashed(docs, "text", DIM).select("vec_id", unit_vector(F.col("embedding")).alias("unit_vec"))
 
 
@@ -45,8 +45,8 @@ def benchmark_contexts(spark, folder) -> DataFrame:
     )
 
 
-def turns(spark, folder, role: str) -> DataFrame:
-    talk = read_table(spark, folder, "conversations").filter(F.col("role") == role)
+def turns(spark, folder, role: str, spread_by: str | None = None) -> DataFrame:
+    talk = read_table(spark, folder, "conversations", spread_by).filter(F.col("role") == role)
     return talk.select((F.col("conv_id") * TURN_IDS + F.col("turn")).alias("id"), "conv_id", "turn", "text")
 
 
@@ -79,7 +79,7 @@ def captured_lines(spark, folder) -> DataFrame:
         F.array(F.lit(": keep-alive"), F.lit('data: {"choices":[{"delta":{"content":"cut'), delta(F.lit(""))),
         words, F.array(F.lit("  data: [DONE]  "), delta(F.lit("late"))),
     )
-    return turns(spark, folder, "assistant").select(
+    return turns(spark, folder, "assistant", "conv_id").select(
         F.col("id").alias("stream_id"), F.posexplode(lines).alias("line_no", "line")
     )
 

@@ -59,8 +59,12 @@ def label_centroids(spark: SparkSession, folder: str):
 
 
 def elements(df: DataFrame, id_col: str, vec: str, digits: int = 6) -> DataFrame:
-    """One row per vector element, rounded for comparing."""
-    return df.select(id_col, F.posexplode(vec).alias("dim", "x")).select(
+    """One row per vector element, rounded for comparing.
+
+    The outer form: the inner one infers a filter on the vector's size, which would run a UDF behind
+    ``vec`` once more.
+    """
+    return df.select(id_col, F.posexplode_outer(vec).alias("dim", "x")).select(
         id_col, F.col("dim").cast("bigint").alias("dim"), F.round(F.col("x").cast("double"), digits).alias("value")
     )
 
@@ -91,7 +95,7 @@ def cache_key_raw(spark, folder):
 
 
 def embed_batch(spark, folder):
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    docs = read_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
     return elements(embed.embed_hashed(docs, "text", DIM), "doc_id", "embedding")
 
 
@@ -109,7 +113,7 @@ def embed_batch_model(spark, folder):
             [np.bincount([bucket(w) for w in t.split()], minlength=DIM) for t in texts], dtype=np.float32
         )
 
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    docs = read_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
     return elements(embed.embed_batch(docs, "text", make_model), "doc_id", "embedding")
 
 
