@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 MAX_SENT_QUERIES = 20_000
 MAX_SENT_BYTES = 128 * 1024 * 1024
 VECTOR_BLOCK_ROWS = 65_536
-QUERY_BLOCK_ROWS = 4_096
+QUERY_BLOCK_ROWS = 16_384
 
 _HITS = "query_id bigint, vec_id bigint, dot double"
 _SLACK = 1e-9  # far above the rounding error of a BLAS dot product of unit vectors
@@ -184,9 +184,10 @@ def cell_top_k(
     if k < 1:
         raise ValueError("k must be at least 1")
     queries = queries.select("cell", "query_id", "vec")
-    sent = queries.limit(max_sent_queries + 1).toArrow()
-    if sent.num_rows <= max_sent_queries and sent.nbytes <= MAX_SENT_BYTES:
-        return _send_queries(vectors, sent, k)
+    if queries.count() <= max_sent_queries:
+        sent = queries.toArrow()
+        if sent.nbytes <= MAX_SENT_BYTES:
+            return _send_queries(vectors, sent, k)
     return _meet_in_blocks(vectors, queries, k)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vecquery.functions.vectors import unit_vector
 from vecquery.operators.blocks import nearest_rows
+from vecquery.sources.tables import write_stage
 
 MAX_LISTS = 65_536  # bound on the centroids that travel to every task
 
@@ -57,6 +58,16 @@ def assign_lists(index: DataFrame, centroids: pa.Table) -> DataFrame:
     return near.withColumn("centroid_id", F.col("lists")[0]).drop("lists")
 
 
+def store_lists(index: DataFrame, files_per_list: int = 8) -> DataFrame:
+    """Keep an index with one folder per list, so a search reads only the lists it probes.
+
+    A list is spread over several files, and so over several tasks, by hashing the vector ids.
+    """
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(files_per_list))
+    stored = write_stage(index.repartition("centroid_id", part), "lists", "centroid_id")
+    return stored.select(*index.columns)
+
+
 def add_vectors(index: DataFrame, embeddings: DataFrame, centroids: pa.Table | None = None) -> DataFrame:
     """Append new vectors; lists are assigned with the existing centroids, never retrained."""
     new = build_flat(embeddings)

@@ -186,7 +186,7 @@ def ivf_assign(spark, folder):
 
 def knn_ivf(spark, folder):
     centroids = label_centroids(spark, folder)
-    lists = index.assign_lists(stored(spark, folder), centroids)
+    lists = index.store_lists(index.assign_lists(stored(spark, folder).drop("label"), centroids))
     return _shown(search.search_lists(lists, vector_queries(spark, folder), centroids, 5, NPROBE))
 
 

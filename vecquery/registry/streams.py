@@ -8,7 +8,7 @@ from vecquery.operators import generate
 from vecquery.plans import answers as plan
 from vecquery.registry import answers, results, search, sql
 from vecquery.registry.metrics import HOUR_US, LOG
-from vecquery.sources.tables import read_table
+from vecquery.sources.tables import read_table, write_stage
 from vecquery.streaming import index, leaders, runs, throughput
 
 
@@ -30,7 +30,8 @@ def stream_search(spark, folder):
         F.col("text").alias("query"), F.lit(answers.NOW_US).alias("now_us"),
     )
     tiers = answers.answered_turns(spark, folder)
-    vectors, documents = answers.text_index(spark, folder), search.documents_for_hits(spark, folder)
+    vectors = write_stage(answers.text_index(spark, folder), "text-index")
+    documents = search.documents_for_hits(spark, folder)
 
     def work(batch):
         return plan.answer_batch(

@@ -37,7 +37,9 @@ def drain_batches(stream: DataFrame, label: str, work: Callable[[DataFrame], Dat
     path = new_path(spark, label)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read several times by the work
         work(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)
