@@ -28,8 +28,13 @@ def list_count(n_vectors: int, nlist: int) -> int:
 def train_centroids(
     index: DataFrame, nlist: int = 512, seed: int = 42, iterations: int = 10
 ) -> DataFrame:
-    """Cosine k-means on the whole index: centroid_id, centroid."""
-    points = index.select(array_to_vector("unit_vec").alias("features"))
+    """Cosine k-means on the whole index: centroid_id, centroid.
+
+    Zero vectors have no direction to learn from; they count for the number of lists and are assigned to
+    one like any other vector.
+    """
+    directed = index.filter(F.exists("unit_vec", lambda x: x != 0))
+    points = directed.select(array_to_vector("unit_vec").alias("features"))
     lists = list_count(index.count(), nlist)
     model = KMeans(k=lists, seed=seed, maxIter=iterations, distanceMeasure="cosine").fit(points)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
