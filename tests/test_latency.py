@@ -47,7 +47,7 @@ def test_positions_and_running_totals(spark):
     df = spark.createDataFrame(rows, LOG).withColumn("bin", ordered.time_bin(F.col("ts_us"), 20_000))
     order = ["ts_us", "request_id"]
     placed = ordered.positions(df, ["run"], "bin", order).collect()
-    totals = ordered.running_total(df, ["run"], "bin", order, "request_id", "upto").collect()
+    totals = ordered.running_total(df, ["run"], "bin", order, {"upto": "request_id"}).collect()
     for run in ("a", "b"):
         ranked = sorted((r for r in rows if r[0] == run), key=lambda r: (r[2], r[1]))
         assert {r.request_id: (r.position, r.total) for r in placed if r.run == run} == {

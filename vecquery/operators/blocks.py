@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MAX_CELLS = 1_000_000
 MAX_SENT_QUERIES = 20_000
 MAX_SENT_BYTES = 128 * 1024 * 1024
 VECTOR_BLOCK_ROWS = 65_536
@@ -132,7 +133,8 @@ def _send_queries(vectors: DataFrame, sent: pa.Table, k: int) -> DataFrame:
 
 
 def _meet_in_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    sizes = (
+    # one row per cell both sides have; the callers bound the number of cells
+    sizes = F.broadcast(
         vectors.groupBy("cell").agg(F.count("*").alias("n_vectors"))
         .join(queries.groupBy("cell").agg(F.count("*").alias("n_queries")), "cell")
         .select(
@@ -179,7 +181,9 @@ def cell_top_k(
 ) -> DataFrame:
     """Candidates ``(query_id, vec_id, dot)`` that contain the k best of every query's cells.
 
-    ``vectors``: cell, vec_id, vec. ``queries``: cell, query_id, vec. All ids and cells are bigint.
+    ``vectors``: cell, vec_id, vec. ``queries``: cell, query_id, vec. All ids and cells are bigint, and
+    there are at most ``MAX_CELLS`` cells: lists of an index or hash buckets, a number that is chosen and
+    does not grow with the data.
     """
     if k < 1:
         raise ValueError("k must be at least 1")

@@ -48,14 +48,16 @@ def leader_scan(
         (F.col("ts_us") + F.col("span_us") + (1 if closed else 0)).alias("free_us"),
     )
     counts = events.groupBy("key").agg(F.count("*").alias("n"))
-    total, longest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    if longest <= group_rows:
+    is_long = F.col("n") > group_rows
+    total, in_long = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(is_long, F.col("n"))), F.lit(0))
+    ).first()
+    if not in_long:
         return _scan_groups(events, total, group_rows)
-    long_keys = counts.filter(F.col("n") > group_rows)
-    short = _scan_groups(events.join(long_keys, "key", "left_anti"), total, group_rows)
-    return short.unionByName(
-        _scan_long(events.join(long_keys.select("key"), "key", "left_semi"), bin_rows or group_rows)
-    )
+    long_keys = counts.filter(is_long).select("key")
+    short = _scan_groups(events.join(long_keys, "key", "left_anti"), total - in_long, group_rows)
+    bins = -(-2 * in_long // (bin_rows or group_rows))
+    return short.unionByName(_scan_long(events.join(long_keys, "key", "left_semi"), bins))
 
 
 def _scan_groups(events: DataFrame, total: int, group_rows: int) -> DataFrame:
@@ -96,37 +98,29 @@ def _walk(events: pa.Table) -> pa.Table:
     })
 
 
-def _scan_long(events: DataFrame, bin_rows: int) -> DataFrame:
+def _scan_long(events: DataFrame, bins: int) -> DataFrame:
     # events of one instant act as one: if it may lead, its events lead up to the first with a span
     has_span = F.when(F.col("free_us") > F.col("ts_us"), F.col("id"))
     instants = events.groupBy("key", "ts_us").agg(
         F.min("id").alias("id"), F.min(has_span).alias("cover_id"),
         F.coalesce(F.min_by("free_us", has_span), F.col("ts_us") + 1).alias("free_us"),
     )
-    extent = instants.groupBy("key").agg(
-        F.min("ts_us").alias("_t0"),
-        F.ceil(
-            (F.max("ts_us") - F.min("ts_us") + 1) / F.ceil(F.count("*") / bin_rows)
-        ).cast("bigint").alias("_width"),
-    )
-
-    def bin_of(ts: Column) -> Column:
-        return F.floor((ts - F.col("_t0")) / F.col("_width"))
-
-    timed = checkpointed(instants.join(extent, "key").select(
-        "*", bin_of(F.col("ts_us")).alias("bin"), bin_of(F.col("free_us")).alias("free_bin")
-    ).drop("_t0", "_width"))
-    asks = timed.select(
-        "key", F.col("free_bin").alias("bin"), F.col("free_us").alias("at"), F.lit(0).alias("there"),
-        F.lit(None).cast("bigint").alias("event"), "id",
-    )
-    there = timed.select(
-        "key", "bin", F.col("ts_us").alias("at"), F.lit(1).alias("there"), F.col("id").alias("event"), "id"
-    )
-    # walking backwards, an asker has just passed the first instant that may lead after it
-    found = carried(
-        there.unionByName(asks), ["key"], "bin", ["at", "there"], "event", "next", backwards=True
+    # one line per key of instants and of the moments each of them would be over, cut by range into
+    # even bins whatever the distribution; the checkpoint fixes the cut
+    line = instants.select(
+        "key", "id", "cover_id",
+        F.inline(F.array(
+            F.struct(F.col("ts_us").alias("at"), F.lit(1).alias("there")),
+            F.struct(F.col("free_us").alias("at"), F.lit(0).alias("there")),
+        )),
+    ).withColumn("event", F.when(F.col("there") == 1, F.col("id")))
+    place = ["at", "there", "id"]
+    line = checkpointed(
+        line.repartitionByRange(bins, "key", *place).withColumn("bin", F.spark_partition_id())
     )
+    timed = line.filter("there = 1").select("key", "bin", F.col("at").alias("ts_us"), "id", "cover_id")
+    # walking backwards, a moment has just passed the first instant that may lead from then on
+    found = carried(line, ["key"], "bin", place, "event", "next", backwards=True)
     jump = checkpointed(found.filter("there = 0 AND next IS NOT NULL").select("id", "next"))
     first = timed.groupBy("key").agg(F.min_by("id", "ts_us").alias("id"))
     reached = checkpointed(first.select("id"))

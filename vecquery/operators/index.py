@@ -63,13 +63,13 @@ def assign_lists(index: DataFrame, centroids: pa.Table) -> DataFrame:
     return near.withColumn("centroid_id", F.col("lists")[0]).drop("lists")
 
 
-def store_lists(index: DataFrame, files_per_list: int = 8) -> DataFrame:
+def store_lists(index: DataFrame) -> DataFrame:
     """Keep an index with one folder per list, so a search reads only the lists it probes.
 
-    A list is spread over several files, and so over several tasks, by hashing the vector ids.
+    Rebalancing brings a list's rows together before the write; AQE splits a fat list over many tasks
+    and files and joins small ones.
     """
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(files_per_list))
-    stored = write_stage(index.repartition("centroid_id", part), "lists", "centroid_id")
+    stored = write_stage(index.hint("rebalance", "centroid_id"), "lists", "centroid_id")
     return stored.select(*index.columns)
 
 
@@ -86,17 +86,14 @@ def describe(index: DataFrame, search_log: DataFrame, index_type: str, nprobe: i
 
     ``search_log``: latency_ms per search.
     """
-    size = index.agg(
-        F.count("*").alias("size"),
-        F.coalesce(F.max(F.size("unit_vec")), F.lit(0)).alias("dimension"),
-    ).withColumn("one", F.lit(1))
     searches = search_log.agg(
-        F.count("*").alias("total_searches"),
-        F.coalesce(F.round(F.avg("latency_ms"), 3), F.lit(0.0)).alias("avg_search_time_ms"),
-    ).withColumn("one", F.lit(1))
-    return size.join(searches, "one").select(
-        "size", F.lit(index_type).alias("index_type"), "dimension",
-        F.lit(nprobe).alias("nprobe"), "total_searches", "avg_search_time_ms",
+        F.struct(F.count("*").alias("n"), F.coalesce(F.round(F.avg("latency_ms"), 3), F.lit(0.0)).alias("ms"))
+    ).scalar()
+    return index.agg(
+        F.count("*").alias("size"), F.coalesce(F.max(F.size("unit_vec")), F.lit(0)).alias("dimension")
+    ).select(
+        "size", F.lit(index_type).alias("index_type"), "dimension", F.lit(nprobe).alias("nprobe"),
+        searches["n"].alias("total_searches"), searches["ms"].alias("avg_search_time_ms"),
     )
 
 

@@ -29,17 +29,17 @@ def _series(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], bin_col: str, order: Sequence[Column | str], value: str, out: str
+    df: DataFrame, keys: Sequence[str], bin_col: str, order: Sequence[Column | str], totals: dict[str, str]
 ) -> DataFrame:
-    """Add ``out``: sum of ``value`` up to and including the row."""
+    """Add sums up to and including the row: ``totals`` maps each new column to the column it sums."""
     df, keys = _series(df, keys)
-    bins = df.groupBy(*keys, bin_col).agg(F.sum(value).alias("_sum"))
-    bins = bins.select(*keys, bin_col, _bins_before(bins, keys, bin_col, "_sum").alias("_before"))
+    bins = df.groupBy(*keys, bin_col).agg(*[F.sum(value).alias(f"_{out}") for out, value in totals.items()])
+    bins = bins.select(*keys, bin_col, *[_bins_before(bins, keys, bin_col, f"_{out}").alias(f"_{out}") for out in totals])
     upto = W.partitionBy(*keys, bin_col).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    inside = df.withColumn("_inside", F.sum(value).over(upto))
-    return inside.join(bins, [*keys, bin_col]).withColumn(out, F.col("_before") + F.col("_inside")).drop(
-        "_before", "_inside", "_all"
-    )
+    inside = df.withColumns({out: F.sum(value).over(upto) for out, value in totals.items()})
+    return inside.join(bins, [*keys, bin_col]).withColumns(
+        {out: F.col(out) + F.col(f"_{out}") for out in totals}
+    ).drop("_all", *[f"_{out}" for out in totals])
 
 
 def positions(

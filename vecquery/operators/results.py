@@ -112,7 +112,7 @@ def clean_expired(tier: DataFrame, now_us: int) -> DataFrame:
     return tier.filter(~((F.col("expires_us") > 0) & (F.col("expires_us") < now_us)))
 
 
-def keep_recent(tier: DataFrame, accesses: DataFrame, capacity: int, bin_us: int = 3_600_000_000) -> DataFrame:
+def keep_recent(tier: DataFrame, accesses: DataFrame, capacity: int, bin_us: int = 60_000_000) -> DataFrame:
     """The ``capacity`` most recently used keys (ties: smaller key); unused keys count by creation.
 
     Keys are placed within time bins, so a large capacity needs no global sort.

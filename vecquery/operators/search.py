@@ -108,6 +108,8 @@ def search_hashed(
     max_sent_queries: int = MAX_SENT_QUERIES,
 ) -> DataFrame:
     """Exact ranking among vectors that share a hash bucket with the query in at least one band."""
+    if bands << bits > blocks.MAX_CELLS:
+        raise ValueError(f"more than {blocks.MAX_CELLS} buckets")
     found = blocks.cell_top_k(
         hash_cells(index.select("vec_id", F.col("unit_vec").alias("vec")), "vec", dim, bands, bits),
         hash_cells(queries.select("query_id", "vec"), "vec", dim, bands, bits),

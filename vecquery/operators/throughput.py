@@ -86,21 +86,18 @@ def progress(log: DataFrame, tick_sec: int) -> DataFrame:
     Requests are counted per tick first; what is ordered afterwards has one row per tick.
     """
     width = tick_sec * SECOND_US
-    span = log.agg(F.min("ts_us").alias("_t0"), F.max("ts_us").alias("_t1"))
-    one = F.lit(1).alias("_one")
-    counted = (
-        log.select("ts_us", "ok", one).join(F.broadcast(span.select("_t0", one)), "_one")
-        .groupBy(F.floor((F.col("ts_us") - F.col("_t0")) / width).alias("slot"))
-        .agg(F.count_if("ok").alias("_done"), F.count_if(~F.col("ok")).alias("_failed"))
+    start = log.agg(F.min("ts_us")).scalar()
+    counted = log.groupBy(F.floor((F.col("ts_us") - start) / width).alias("slot")).agg(
+        F.count_if("ok").alias("_done"), F.count_if(~F.col("ok")).alias("_failed")
+    )
+    ticks = log.agg(F.floor((F.max("ts_us") - F.min("ts_us")) / width).alias("last")).select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))).alias("slot")
     )
-    last = F.floor((F.col("_t1") - F.col("_t0")) / width)
-    ticks = span.select(F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("slot"))
     every = ticks.join(counted, "slot", "left").select(
         "slot", F.coalesce("_done", F.lit(0)).alias("_done"), F.coalesce("_failed", F.lit(0)).alias("_failed"),
         F.floor(F.col("slot") / 3600).alias("_bin"),
     )
-    done = running_total(every, [], "_bin", ["slot"], "_done", "completed")
-    both = running_total(done, [], "_bin", ["slot"], "_failed", "errors")
+    both = running_total(every, [], "_bin", ["slot"], {"completed": "_done", "errors": "_failed"})
     elapsed = (F.col("slot") + 1) * tick_sec
     return both.select(
         elapsed.alias("elapsed_sec"), "completed", "errors",
@@ -126,11 +123,9 @@ def against_target(log: DataFrame, target_ops: float) -> DataFrame:
 def hot_queries(log: DataFrame, query: str, top: int) -> DataFrame:
     """The ``top`` most repeated queries and their share of all requests."""
     counts = log.groupBy(query).agg(F.count("*").alias("requests"))
-    total = counts.agg(F.sum("requests").alias("_total")).withColumn("_one", F.lit(1))
-    best = counts.orderBy(F.desc("requests"), F.asc(query)).limit(top).withColumn("_one", F.lit(1))
-    return best.join(total, "_one").select(
-        query, "requests", F.round(F.col("requests") / F.col("_total"), 6).alias("share")
-    )
+    best = counts.orderBy(F.desc("requests"), F.asc(query)).limit(top)
+    share = F.col("requests") / log.agg(F.count("*")).scalar()
+    return best.select(query, "requests", F.round(share, 6).alias("share"))
 
 
 def in_flight(log: DataFrame, bin_us: int, start: str = "start_us", end: str = "end_us") -> DataFrame:
@@ -140,7 +135,7 @@ def in_flight(log: DataFrame, bin_us: int, start: str = "start_us", end: str = "
     changes = opened.unionByName(closed).groupBy("at_us").agg(
         F.sum("change").alias("change"), F.count_if(F.col("change") == 1).alias("started")
     ).withColumn("_bin", F.floor(F.col("at_us") / bin_us))
-    return running_total(changes, [], "_bin", ["at_us"], "change", "open").select("at_us", "started", "open")
+    return running_total(changes, [], "_bin", ["at_us"], {"open": "change"}).select("at_us", "started", "open")
 
 
 def trim_warmup(log: DataFrame, keys: Sequence[str], bin_us: int, warmup: int | None = None) -> DataFrame:

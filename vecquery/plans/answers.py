@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vecquery.functions.keys import cache_key
 from vecquery.functions.vectors import unit_query
 from vecquery.operators import context, results, search
+from vecquery.sources.tables import write_stage
 
 VALUE_TYPE = (
     "struct<context:string,answer:string,"
@@ -44,8 +45,12 @@ def answer_batch(
     """
     keyed = requests.withColumn("key", cache_key(F.col("query"), k))
     looked = results.tiered_lookup(keyed, tiers)
-    missed = looked.filter("level = 'none'").groupBy("key").agg(
-        F.min("request_id").alias("query_id"), F.first("query").alias("query")
+    # read several times below: kept as a table, so that neither the lookup nor the reduction is repeated
+    missed = write_stage(
+        looked.filter("level = 'none'").groupBy("key").agg(
+            F.min("request_id").alias("query_id"), F.first("query").alias("query")
+        ),
+        "missed",
     )
     found = retrieve(missed, index, documents, k, embed)
     answer = context.answer_from_context(F.col("context"))

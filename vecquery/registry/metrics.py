@@ -10,6 +10,7 @@ from vecquery.operators.ordered import time_bin
 from vecquery.sources.tables import read_table
 
 HOUR_US = 3_600_000_000
+MINUTE_US = 60_000_000
 LEVELS = [1, 5, 10, 25, 50, 100, 200, 500]  # fixed values: default concurrency levels
 TARGET_OPS = 50_000
 TICK_SEC = 60
@@ -58,8 +59,8 @@ def stage_latency(spark, folder):
 
 
 def ewma(spark, folder):
-    log = request_log(spark, folder).withColumn("hour", time_bin(F.col("ts_us"), HOUR_US))
-    made = latency.ewma(log, ["event_type"], "hour", ["ts_us", "request_id"], "latency_ms", "avg_ms")
+    log = request_log(spark, folder).withColumn("bin", time_bin(F.col("ts_us"), MINUTE_US))
+    made = latency.ewma(log, ["event_type"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_ms")
     return _rounded(made, ["avg_ms"], 6)
 
 
@@ -67,9 +68,9 @@ def search_log_latency(spark, folder):
     """Latency as shown on hits (three decimals) and its decayed average per user."""
     log = request_log(spark, folder).filter("ok").select(
         "user_id", "request_id", "ts_us", F.round("latency_ms", 3).alias("latency_ms"),
-        time_bin(F.col("ts_us"), HOUR_US).alias("hour"),
+        time_bin(F.col("ts_us"), MINUTE_US).alias("bin"),
     )
-    made = latency.ewma(log, ["user_id"], "hour", ["ts_us", "request_id"], "latency_ms", "avg_search_time_ms")
+    made = latency.ewma(log, ["user_id"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_search_time_ms")
     return _rounded(made, ["avg_search_time_ms"], 3)
 
 
@@ -91,7 +92,7 @@ def in_flight(spark, folder):
         F.col("ts_us").alias("start_us"),
         (F.col("ts_us") + F.round(F.col("latency_ms") * 60_000_000).cast("bigint")).alias("end_us"),
     )
-    return throughput.in_flight(log, HOUR_US)
+    return throughput.in_flight(log, MINUTE_US)
 
 
 def embedding_stats(spark, folder):
@@ -103,7 +104,7 @@ def embedding_stats(spark, folder):
 
 
 def warmup_trim(spark, folder):
-    kept = throughput.trim_warmup(request_log(spark, folder), ["event_type"], HOUR_US)
+    kept = throughput.trim_warmup(request_log(spark, folder), ["event_type"], MINUTE_US)
     return kept.select("event_type", "request_id")
 
 
