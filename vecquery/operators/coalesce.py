@@ -40,8 +40,9 @@ def leader_scan(
     ``span_us`` is not negative.
 
     Keys of up to ``group_rows`` events share bounded groups and are walked there. Longer ones never
-    meet in one task: their events get a pointer to the leader that would come next, and the leaders
-    are found by pointer doubling, in about log2(leaders) joins on the event id.
+    meet in one task: their events are cut into even bins and get a pointer to the leader that would come
+    next, bins shrink to their entries and exits, and the entries really reached are found by pointer
+    doubling, in about log2(bins) joins on the event id.
     """
     events = events.select(
         F.col("key").cast("string").alias("key"), "ts_us", "id",
@@ -113,29 +114,33 @@ def _scan_long(events: DataFrame, bins: int) -> DataFrame:
             F.struct(F.col("ts_us").alias("at"), F.lit(1).alias("there")),
             F.struct(F.col("free_us").alias("at"), F.lit(0).alias("there")),
         )),
-    ).withColumn("event", F.when(F.col("there") == 1, F.col("id")))
+    )
     place = ["at", "there", "id"]
     line = checkpointed(
         line.repartitionByRange(bins, "key", *place).withColumn("bin", F.spark_partition_id())
-    )
+    ).withColumn("event", F.when(F.col("there") == 1, F.struct("id", "bin")))
     timed = line.filter("there = 1").select("key", "bin", F.col("at").alias("ts_us"), "id", "cover_id")
     # walking backwards, a moment has just passed the first instant that may lead from then on
     found = carried(line, ["key"], "bin", place, "event", "next", backwards=True)
-    jump = checkpointed(found.filter("there = 0 AND next IS NOT NULL").select("id", "next"))
-    first = timed.groupBy("key").agg(F.min_by("id", "ts_us").alias("id"))
-    reached = checkpointed(first.select("id"))
-    while True:
-        # reached: the first 2^r leading instants of each key; jump: 2^r leading instants ahead
+    pointers = checkpointed(timed.join(
+        found.filter("there = 0").select("id", F.col("next.id").alias("next_id"), F.col("next.bin").alias("next_bin")), "id"
+    ))
+    # a bin is left once: keep for each instant only where the leaders after it enter another bin
+    exits = checkpointed(pointers.groupBy("key", "bin").applyInArrow(_leave_bin, "id bigint, next bigint"))
+    first = timed.groupBy("key").agg(F.min_by("id", "ts_us").alias("id")).select("id")
+    onward = exits.filter("next IS NOT NULL")
+    entries = first.unionByName(onward.select(F.col("next").alias("id"))).distinct()
+    jump = checkpointed(onward.join(entries, "id", "left_semi"))
+    reached = new = checkpointed(first)
+    while not new.isEmpty():
+        # reached: the first 2^r bin entries of each key; jump: 2^r entries ahead
         new = checkpointed(reached.join(jump, "id").select(F.col("next").alias("id")))
-        if new.isEmpty():
-            break
-        reached = checkpointed(reached.unionByName(new))
+        reached = reached.unionByName(new)
         far = jump.select(F.col("id").alias("next"), F.col("next").alias("far"))
         jump = checkpointed(jump.join(far, "next").select("id", F.col("far").alias("next")))
-    marked = timed.join(reached.withColumn("_leads", F.lit(True)), "id", "left").select(
-        "key", "bin", "ts_us", "cover_id", F.coalesce("_leads", F.lit(False)).alias("leads"),
-        F.when(F.col("_leads"), F.struct(F.col("cover_id").alias("id"), "ts_us")).alias("mark"),
-    )
+    marked = pointers.join(reached.withColumn("entry", F.lit(True)), "id", "left").groupBy("key", "bin").applyInArrow(
+        _walk_bin, "key string, bin int, ts_us bigint, cover_id bigint, leads boolean"
+    ).withColumn("mark", F.when(F.col("leads"), F.struct(F.col("cover_id").alias("id"), "ts_us")))
     led = carried(marked, ["key"], "bin", ["ts_us"], "mark", "leader").select(
         "key", "ts_us", "leads", "cover_id", "leader"
     )
@@ -148,6 +153,37 @@ def _scan_long(events: DataFrame, bins: int) -> DataFrame:
     )
 
 
+def _next_in_bin(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each instant of one key and bin: does its next leader lie in the bin, and in which row."""
+    ids = rows["id"].to_numpy()
+    order = np.argsort(ids)
+    inside = pc.fill_null(pc.equal(rows["next_bin"], rows["bin"]), False).to_numpy()
+    wanted = pc.fill_null(rows["next_id"], 0).to_numpy()[inside]
+    row = np.arange(len(ids))
+    row[inside] = order[np.searchsorted(ids[order], wanted)]
+    return inside, row
+
+
+def _leave_bin(rows: pa.Table) -> pa.Table:
+    _, last = _next_in_bin(rows)
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    return pa.table({"id": rows["id"], "next": rows["next_id"].take(pa.array(last))})
+
+
+def _walk_bin(rows: pa.Table) -> pa.Table:
+    inside, following = _next_in_bin(rows)
+    leads = pc.fill_null(rows["entry"], False).to_numpy().copy()
+    for at in np.flatnonzero(leads).tolist():
+        while inside[at]:
+            at = following[at]
+            leads[at] = True
+    return rows.select(["key", "bin", "ts_us", "cover_id"]).append_column("leads", pa.array(leads))
+
+
 def merge_in_flight(log: DataFrame, **sizes: int) -> DataFrame:
     """key, ts_us, id, span_us (how long the work takes): a request joins the one still running."""
     return leader_scan(log, closed=False, **sizes)
