@@ -88,13 +88,17 @@ def test_add_to_empty_index_and_to_lists(points, stored):
     }
 
 
-def test_attached_documents_skip_missing_and_default_metadata(spark, stored, queries):
+def test_attached_documents_skip_missing_and_default_metadata(spark, stored, queries, monkeypatch):
     docs = spark.createDataFrame(
-        [(0, "doc_000000", "zero", {"a": "1"}), (1, "doc_000001", "one", None)],
-        "vec_id bigint, id string, content string, metadata map<string,string>",
+        [(0, "doc_000000", "zero"), (1, "doc_000001", "one")], "vec_id bigint, id string, content string"
     )
+    known = spark.createDataFrame([(0, {"a": "1"}), (7, {"b": "2"})], "vec_id bigint, metadata map<string,string>")
     hits = search.search_exact(stored, queries.filter("query_id IN (0, 1)"), 120)
-    rows = search.attach_documents(hits, docs).collect()
+    rows = search.attach_documents(hits, docs, known).collect()
+    monkeypatch.setattr(search, "MAX_SENT_HITS", 0)
+    assert sorted(search.attach_documents(hits, docs, known).drop("metadata").collect()) == sorted(
+        r for r in search.attach_documents(hits, docs).drop("metadata").collect()
+    )
     assert {(r.query_id, r.id) for r in rows} == {(q, d) for q in (0, 1) for d in ("doc_000000", "doc_000001")}
     assert {r.id: r.metadata for r in rows} == {"doc_000000": {"a": "1"}, "doc_000001": {}}
 

@@ -81,10 +81,7 @@ def test_texts_embedded_by_stream(spark):
 def corpus(spark):
     texts = spark.createDataFrame([(i, f"topic{i} topic{i % 4} about") for i in range(12)], "vec_id bigint, content string")
     vectors = embed.embed_hashed(texts, "content", 16).select("vec_id", "embedding")
-    documents = texts.select(
-        "vec_id", embed.document_id(F.col("vec_id")).alias("id"), "content",
-        F.lit(None).cast("map<string,string>").alias("metadata"),
-    )
+    documents = texts.select("vec_id", embed.document_id(F.col("vec_id")).alias("id"), "content")
     return index.build_flat(vectors), documents
 
 

@@ -65,9 +65,12 @@ def tiered_lookup(requests: DataFrame, tiers: Sequence[DataFrame]) -> DataFrame:
 
 
 def latest_by_key(rows: DataFrame) -> DataFrame:
-    """One row per key, the one created last (ties: the later expiry). Aggregates map-side."""
+    """One row per key, the one created last. Aggregates map-side.
+
+    Ties go to the later expiry, then to the value with the greater hash, so that a rerun agrees.
+    """
     others = [c for c in rows.columns if c != "key"]
-    newest = F.max_by(F.struct(*others), F.struct("created_us", "expires_us"))
+    newest = F.max_by(F.struct(*others), F.struct("created_us", "expires_us", F.xxhash64("value")))
     return rows.groupBy("key").agg(newest.alias("_row")).select("key", *[F.col(f"_row.{c}") for c in others])
 
 

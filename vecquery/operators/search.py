@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from vecquery.functions.vectors import relevance
 from vecquery.operators import blocks
 from vecquery.operators.blocks import MAX_SENT_QUERIES
+from vecquery.sources.tables import write_stage
+
+MAX_SENT_HITS = 1_000_000  # rows of four numbers
 
 
 def rank_hits(candidates: DataFrame, k: int) -> DataFrame:
@@ -120,14 +123,22 @@ def search_hashed(
     return rank_hits(once, k)
 
 
-def attach_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
+def attach_documents(hits: DataFrame, documents: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """Fetch id, content and metadata for the hits only; hits without a document are skipped.
 
-    ``documents``: vec_id, id, content, metadata (map, may be null).
+    ``documents``: vec_id, id, content. ``metadata``: vec_id, metadata (a map), joined after the documents
+    so that only hits meet it. The hits are kept as a table and counted: few of them travel to the
+    documents, whose texts are then filtered where they lie; many are joined by shuffle.
     """
-    no_metadata = F.create_map().cast("map<string,string>")
-    return hits.join(documents, "vec_id").select(
+    kept = write_stage(hits.select("query_id", "rank", "vec_id", "score"), "hits")
+    few = F.broadcast(kept) if kept.count() <= MAX_SENT_HITS else kept
+    found = few.join(documents.select("vec_id", "id", "content"), "vec_id")
+    none = F.create_map().cast("map<string,string>")
+    if metadata is None:
+        found = found.withColumn("metadata", none)
+    else:
+        found = found.join(metadata.select("vec_id", "metadata"), "vec_id", "left")
+    return found.select(
         "query_id", "rank", "id", "content", "score",
-        F.coalesce("metadata", no_metadata).alias("metadata"),
-        F.col("vec_id").alias("index"),
+        F.coalesce("metadata", none).alias("metadata"), F.col("vec_id").alias("index"),
     )

@@ -65,9 +65,12 @@ def user_log(spark, folder) -> DataFrame:
 # ---- queries ----------------------------------------------------------------------------------
 
 def coalesce_batch(spark, folder):
-    """Each distinct request key is answered once (answer: its length) and all requests get it."""
+    """Each distinct request key is answered once and all its requests get the answer."""
+    def work(distinct):
+        words = ["answer to ", F.col("event_type"), " ", F.length("key").cast("string")]
+        return distinct.select("key", F.concat(*[F.lit(w) if isinstance(w, str) else w for w in words]).alias("answer"))
+
     log = request_log(spark, folder).select("request_id", "key", "event_type")
-    work = lambda d: d.select("key", F.concat(F.lit("answer to "), "event_type", F.lit(" "), F.length("key").cast("string")).alias("answer"))
     return coalesce.run_once(log, work, ["event_type"]).select("request_id", "key", "answer")
 
 

@@ -40,18 +40,20 @@ def vector_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents_for_hits(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents by vector id; metadata from the labels, null where a document has none."""
-    texts = read_table(spark, folder, "documents").select(
+    return read_table(spark, folder, "documents").select(
         F.col("doc_id").alias("vec_id"), embed.document_id(F.col("doc_id")).alias("id"),
         F.col("text").alias("content"),
     )
-    labels = read_table(spark, folder, "labels").select(
+
+
+def metadata_for_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata from the labels; not every document has some."""
+    return read_table(spark, folder, "labels").select(
         F.col("doc_id").alias("vec_id"),
         F.create_map(
             F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string")
         ).alias("metadata"),
     )
-    return texts.join(labels, "vec_id", "left")
 
 
 def label_centroids(spark: SparkSession, folder: str):
@@ -167,7 +169,9 @@ def knn_with_docs(spark, folder):
 
 
 def knn_metadata(spark, folder):
-    hits = search.attach_documents(exact_hits(spark, folder, 5), documents_for_hits(spark, folder))
+    hits = search.attach_documents(
+        exact_hits(spark, folder, 5), documents_for_hits(spark, folder), metadata_for_hits(spark, folder)
+    )
     return hits.select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "id",
         F.size("metadata").cast("bigint").alias("n_metadata"),
