@@ -57,27 +57,27 @@ class BestHits:
 
     def add(self, positions: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
         for v in range(0, len(ids), _ROWS_AT_ONCE):
-            for q in range(0, len(positions), _QUERIES_AT_ONCE):
-                self._add_piece(
-                    positions[q : q + _QUERIES_AT_ONCE],
-                    queries[q : q + _QUERIES_AT_ONCE],
-                    ids[v : v + _ROWS_AT_ONCE],
-                    vectors[v : v + _ROWS_AT_ONCE],
-                )
-
-    def _add_piece(self, positions, queries, ids, vectors):
+            some_ids, some = ids[v : v + _ROWS_AT_ONCE], vectors[v : v + _ROWS_AT_ONCE]
+            pieces = [
+                self._better(positions[q : q + _QUERIES_AT_ONCE], queries[q : q + _QUERIES_AT_ONCE], some_ids, some)
+                for q in range(0, len(positions), _QUERIES_AT_ONCE)
+            ]
+            query, vec, dot = (np.concatenate(c) for c in zip(*pieces)) if pieces else ([], [], [])
+            if len(query):
+                self._merge(query, vec, dot)
+
+    def _better(self, positions, queries, ids, vectors):
+        """Pairs that may enter the k best, scored term by term."""
         rough = queries @ vectors.T
         least = self.floor[positions]
         if len(ids) > self.k and np.isneginf(least).any():
             cut = len(ids) - self.k
             least = np.maximum(least, np.partition(rough, cut, axis=1)[:, cut])
         row, col = np.nonzero(rough >= (least - _SLACK)[:, None])
-        if not len(row):
-            return
         dot = np.zeros(len(row))
         for j in range(queries.shape[1]):
             dot += queries[row, j] * vectors[col, j]
-        self._merge(positions[row], ids[col], dot)
+        return positions[row], ids[col], dot
 
     def _merge(self, query, vec, dot):
         query = np.concatenate([self.query, query])

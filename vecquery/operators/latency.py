@@ -21,7 +21,8 @@ def percentiles(
     """Exact order statistics per group: the value at index ``int(n * p)``, with min, max and n.
 
     Equal values collapse before the shuffle. Bins of ``width`` locate each wanted rank, and only the
-    bins that hold one are ordered, so no task ever holds a group.
+    bins that hold one are ordered, so no task ever holds a group. ``width`` is the finest step worth
+    telling apart: a task orders the distinct values of one bin.
     """
     counts = log.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn(
         "_bin", F.floor(F.col(value) / width)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecquery.operators import latency, throughput
@@ -16,8 +16,11 @@ TARGET_OPS = 50_000
 TICK_SEC = 60
 
 
-def request_log(spark: SparkSession, folder: str) -> DataFrame:
+def request_log(spark: SparkSession, folder: str, where: Column | None = None) -> DataFrame:
+    """``where`` is a condition on the raw columns, so that it reaches the scan."""
     raw = read_table(spark, folder, "events")
+    if where is not None:
+        raw = raw.filter(where)
     k = F.get_json_object("props", "$.k").cast("int")
     level = F.element_at(F.array(*[F.lit(x) for x in LEVELS]), (k / 13).cast("int") + 1)
     ts_us = F.unix_micros(F.col("ts").cast("timestamp"))

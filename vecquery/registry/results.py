@@ -14,21 +14,26 @@ from vecquery.operators import coalesce, results
 from vecquery.registry.metrics import LOG, request_log
 
 DAY_US = 86_400_000_000
-SPLIT_US = 1_706_140_800_000_000  # 2024-01-25 00:00 UTC
+SPLIT = "2024-01-25 00:00:00"
+SPLIT_US = 1_706_140_800_000_000  # the same in microseconds, UTC
 TTLS_MS = (43_200_000, 345_600_000, 0)  # half a day, four days, for ever
 CAPACITY = 1_000
 
 
 # ---- inputs -----------------------------------------------------------------------------------
 
-def accesses(spark, folder) -> DataFrame:
+def since_split():
+    return F.col("ts") >= F.expr(f"TIMESTAMP_NTZ'{SPLIT}'")
+
+
+def accesses(spark, folder, where=None) -> DataFrame:
     """Requests for a (user, k) question."""
     query = F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit(" k"), F.col("k").cast("string"))
-    return request_log(spark, folder).withColumn("key", cache_key(query, 5))
+    return request_log(spark, folder, where).withColumn("key", cache_key(query, 5))
 
 
 def requests(spark, folder) -> DataFrame:
-    later = accesses(spark, folder).filter(F.col("ts_us") >= SPLIT_US)
+    later = accesses(spark, folder, since_split())
     return later.select("request_id", "key", F.col("ts_us").alias("now_us"))
 
 
@@ -39,7 +44,7 @@ def writes(log: DataFrame) -> DataFrame:
 
 def tiers(spark, folder) -> list[DataFrame]:
     """l1 holds every question of the past, l2 views and clicks, l3 purchases."""
-    past = accesses(spark, folder).filter(F.col("ts_us") < SPLIT_US)
+    past = accesses(spark, folder, ~since_split())
     sources = (past, past.filter(F.col("event_type").isin("view", "click")), past.filter("event_type = 'purchase'"))
     return [results.latest_by_key(results.entries(writes(log), ttl)) for log, ttl in zip(sources, TTLS_MS)]
 
@@ -99,7 +104,7 @@ def cache_backfill(spark, folder):
 
 def cache_upsert(spark, folder):
     """Write-through of all requests as new entries; those of errors ask for a ttl of one hour."""
-    later = accesses(spark, folder).filter(F.col("ts_us") >= SPLIT_US)
+    later = accesses(spark, folder, since_split())
     new = writes(later).withColumn("ttl_ms", F.when(F.col("value.context") == "error", 3_600_000).otherwise(0))
     after = results.write_through(tiers(spark, folder), new, TTLS_MS)
     out = None
@@ -111,7 +116,7 @@ def cache_upsert(spark, folder):
 
 def cache_delete(spark, folder):
     """Every question a purchase was made for leaves all tiers."""
-    gone = accesses(spark, folder).filter("event_type = 'purchase'").select("key").distinct()
+    gone = accesses(spark, folder, F.col("event_type") == "purchase").select("key").distinct()
     out = None
     for level, tier in zip(results.LEVELS, tiers(spark, folder)):
         part = results.delete(tier, gone).select("key", F.lit(level).alias("tier"), "expires_us")
