@@ -17,7 +17,7 @@ def made_log(n, seed=1, run="a"):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 20, 100, 101])
-def test_percentiles_take_the_reference_rank(spark, n):
+def test_percentiles_are_order_statistics(spark, n):
     rows = made_log(n) + [("hot", i, i, 7.0 if i % 3 else 9.0, True, False) for i in range(n)]
     found = latency.percentiles(spark.createDataFrame(rows, LOG), ["run"]).collect()
     for r in found:
