@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecquery.sources.tables import write_stage
+
 #: Texts are handed to NumPy in slices of about so many characters, which bounds a worker's memory.
 SLICE_CHARS = 4_000_000
 
@@ -62,9 +64,9 @@ def labelled_sample(
     known = labelled_ids(labels, label, usable)
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     texts = documents.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = texts.join(known, "doc_id").select(
-        "doc_id", "y", F.length("text").alias("n"), F.xxhash64("text").alias("h"),
-        F.xxhash64(F.col("doc_id"), F.lit(label)).alias("o"),
+    lengths = texts.select("doc_id", F.length("text").alias("n"), F.xxhash64("text").alias("h"))
+    rows = write_stage(
+        lengths.join(known, "doc_id").withColumn("o", F.xxhash64(F.col("doc_id"), F.lit(label))), "labelled"
     )
     chosen: dict[int, int] = {}
     for y in (0, 1):
