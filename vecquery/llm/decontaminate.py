@@ -148,14 +148,13 @@ def find_near(index: DataFrame, windows: DataFrame, span: int = 2 * WINDOW) -> D
     )
 
 
-def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``doc_id, doc_key, n_words, n_hit, item_ids, contaminated`` for every document row.
+def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``doc_id, doc_key, n_hit, item_ids`` for the documents with occurrences of item windows.
 
     ``n_hit`` is the length of the union of all occurrences; ``item_ids`` are sorted as strings.
     """
     windows = item_windows(items, size)
-    index = build_index(documents, windows.select("token"))
-    found = write_stage(find_windows(index, windows), "occurrences")
+    found = write_stage(find_windows(build_index(documents, windows.select("token")), windows), "occurrences")
     key = ["doc_id", "doc_key"]
     # occurrences in one document: merged from left to right, which is the work of one row of documents
     order = W.partitionBy(*key).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
@@ -170,13 +169,27 @@ def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW) ->
         found.select(*key, F.col("item_id").cast("string").alias("item")).distinct()
         .groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("item_ids"))
     )
-    hits = covered.alias("h").join(named.alias("n"), _same_document("h", "n")).select("h.*", "n.item_ids").alias("h")
+    return covered.alias("h").join(named.alias("n"), _same_document("h", "n")).select("h.*", "n.item_ids")
+
+
+def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``doc_id, doc_key, n_words, n_hit, item_ids, contaminated`` for every document row."""
     rows = documents.select(
         "doc_id", F.xxhash64("text").alias("doc_key"), count_words(F.col("text")).alias("n_words")
     ).alias("d")
-    return rows.join(hits, _same_document("d", "h"), "left").select(
+    return rows.join(hits(documents, items, size).alias("h"), _same_document("d", "h"), "left").select(
         "d.doc_id", "d.doc_key", "d.n_words",
         F.coalesce("h.n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("h.item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.col("h.n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def without_contaminated(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The documents in which no window of an item occurs."""
+    found = write_stage(hits(documents, items, size).select("doc_id", "doc_key"), "contaminated")
+    small = found.limit(SENT_DOCUMENTS + 1).count() <= SENT_DOCUMENTS
+    keyed = documents.withColumn("_doc_key", F.xxhash64("text")).alias("d")
+    found = (F.broadcast(found) if small else found).alias("h")
+    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d._doc_key") == F.col("h.doc_key"))
+    return keyed.join(found, same, "left_anti").select(*documents.columns)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecquery.llm import decontaminate, quality, simhash
+from vecquery.llm import decontaminate, packing, pii, quality, simhash
 from vecquery.sources.tables import read_table
 
 WANTED = 0.3
@@ -25,6 +26,11 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", spread_by="doc_id")
+    return pii.find(docs, pii.train_network(docs))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", spread_by="doc_id")
     found = decontaminate.contamination(docs, read_table(spark, folder, "benchmark"))
@@ -34,6 +40,11 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", spread_by="doc_id")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 _SQL_WORDS = (
     "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -59,5 +70,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 ENTRIES = {
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op3_simhash_near_dedup": (op3_simhash_near_dedup, None),
+    "op4_pii": (op4_pii, None),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
