@@ -54,9 +54,9 @@ def labelled_ids(labels: DataFrame, label: str, usable: Column) -> DataFrame:
 
 
 def labelled_sample(
-    documents: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, most_chars: int
+    documents: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: tuple[int, int], most_chars: int
 ) -> Sample:
-    """At most ``per_class`` texts of each class and ``most_chars`` characters, chosen by a hash of the id.
+    """At most ``per_class`` texts of labels 0 and 1 and ``most_chars`` characters, chosen by a hash of the id.
 
     Ids and lengths are chosen first, so that only the chosen texts reach the driver. A text occurs once,
     however many ids carry it; null texts are left out.
@@ -71,7 +71,7 @@ def labelled_sample(
     chosen: dict[int, int] = {}
     for y in (0, 1):
         left, seen = most_chars // 2, set()
-        for r in rows.filter(F.col("y") == y).orderBy("o", "doc_id").limit(per_class).collect():
+        for r in rows.filter(F.col("y") == y).orderBy("o", "doc_id").limit(per_class[y]).collect():
             if r["h"] in seen or r["n"] > left:
                 continue
             seen.add(r["h"])

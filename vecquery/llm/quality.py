@@ -102,7 +102,7 @@ def fit(sample: Sample) -> QualityModel:
 
 def train(documents: DataFrame, labels: DataFrame, usable: Column) -> QualityModel:
     """Fit on a bounded sample of the labelled documents that ``usable`` admits."""
-    return fit(labelled_sample(documents, labels, "quality", usable, SAMPLE_PER_CLASS, SAMPLE_CHARS))
+    return fit(labelled_sample(documents, labels, "quality", usable, (SAMPLE_PER_CLASS, SAMPLE_PER_CLASS), SAMPLE_CHARS))
 
 
 def scores(model: QualityModel, texts: list[str]) -> np.ndarray:

@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecquery.llm import decontaminate, packing, pii, quality, simhash
+from vecquery.llm import decontaminate, html_text, packing, pii, quality, simhash, toxicity
 from vecquery.sources.tables import read_table
 
 WANTED = 0.3
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages", spread_by="page_id")
+    text = html_text.text_column(html_text.learn_from(pages)).alias("text")
+    return pages.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", spread_by="doc_id")
     model = quality.train(docs, read_table(spark, folder, "labels"), ~quality.held_out())
@@ -40,6 +46,15 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, folder, "labels"), ~toxicity.held_out())
+    scored = docs.select("doc_id", toxicity.score_column(model).alias("score"))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= WANTED).cast("int").alias("predicted")
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", spread_by="doc_id")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -68,9 +83,11 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
 ENTRIES = {
+    "op1_html_extraction": (op1_html_extraction, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op3_simhash_near_dedup": (op3_simhash_near_dedup, None),
     "op4_pii": (op4_pii, None),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+    "op7_toxicity": (op7_toxicity, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
