@@ -6,8 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecquery.llm import decontaminate, html_text, packing, pii, quality, simhash, toxicity
-from vecquery.sources.tables import read_table
+from vecquery.llm import (
+    decontaminate,
+    edit_embedding,
+    html_text,
+    packing,
+    pii,
+    quality,
+    rollups,
+    simhash,
+    toxicity,
+    url_lists,
+)
+from vecquery.sources.tables import new_path, read_table, write_stage
 
 WANTED = 0.3
 
@@ -46,6 +57,10 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_embedding.fingerprints(read_table(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text")
     model = toxicity.train(docs, read_table(spark, folder, "labels"), ~toxicity.held_out())
@@ -55,6 +70,65 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _captures_and_entries(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every page as a capture with a fetch date, and as a dated entry for a key of its own URL on one of five lists.
+
+    The pages carry no dates and no lists, so both come from checksums of the URL.
+    """
+    crc = F.crc32("url")
+    day = lambda number: F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int"))
+    captures = pages.select("page_id", "url", day(F.crc32(F.concat(F.lit("fetch "), "url")) % 365).alias("day"))
+    keys = url_lists.url_keys(F.col("url"))
+    key = F.get(keys, (crc % F.size(keys)).cast("int"))
+    entries = pages.filter("url IS NOT NULL").select(
+        key.alias("k"),
+        F.element_at(
+            F.array(*map(F.lit, ("adult", "allow_partners", "malware", "phishing", "spam"))), (F.floor(crc / 7) % 5 + 1).cast("int")
+        ).alias("list"),
+        day(F.floor(crc / 11) % 365 - 60).alias("day"),
+        F.when(F.floor(crc / 13) % 4 == 0, "remove").otherwise("add").alias("action"),
+        F.when(F.floor(crc / 17) % 2 == 0, (F.floor(crc / 19) % 90 + 1).cast("int")).alias("days"),
+    )
+    return captures, entries.select("k.kind", "k.value", "list", "day", "action", "days")
+
+
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    captures, entries = _captures_and_entries(read_table(spark, folder, "pages").select("page_id", "url"))
+    return url_lists.judge(captures, entries).withColumn("day", F.col("day").cast("string"))
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches over all documents: counts come in, counts with an end token replace them, exact copies leave."""
+    docs = read_table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text", "source", "lang")
+    path = public_tokenizers.path
+    counted = write_stage(
+        docs.select(
+            "doc_id", "source", "lang", F.sha2("text", 256).alias("copy"),
+            F.array(
+                F.struct(F.lit("word_bpe_49k").alias("tokenizer"), rollups.word_counts(path("word_bpe_49k.json")).alias("n_tokens")),
+                F.struct(
+                    F.lit("byte_bpe_50k").alias("tokenizer"),
+                    rollups.byte_counts(path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).alias("n_tokens"),
+                ),
+            ).alias("t"),
+        ),
+        "counted",
+    )
+    counts = counted.select("doc_id", "source", "lang", "copy", F.explode("t").alias("t")).select(
+        "doc_id", "source", "lang", "copy", "t.tokenizer", "t.n_tokens"
+    )
+    revised = counts.withColumn("new_tokens", F.col("n_tokens") + 1)
+    first = counted.groupBy("copy").agg(F.min("doc_id").alias("first_id"))
+    copies = revised.join(first, "copy").filter("doc_id > first_id").drop("n_tokens").withColumnRenamed("new_tokens", "n_tokens")
+    totals = rollups.Rollup(spark, new_path(spark, "rollup"))
+    totals.commit(1, rollups.inserts(counts))
+    totals.commit(2, rollups.revisions(revised))
+    totals.commit(2, rollups.revisions(revised))  # delivered twice, counted once
+    totals.compact()
+    totals.commit(3, rollups.deletes(copies))
+    return totals.totals()
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", spread_by="doc_id")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -82,12 +156,54 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+def _sql_keys(url: str) -> str:
+    """The keys of a URL as a list of structs, in the order of ``url_lists.url_keys``."""
+    name = f"regexp_extract(lower({url}), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)"
+    path = f"regexp_extract({url}, '^[a-z][a-z0-9+.-]*://[^/?#]*(/[^/?#]*)', 1)"
+    labels = f"string_split({name}, '.')"
+    return f"""list_concat(list_concat([{{'kind': 'url', 'value': {url}}}],
+      CASE WHEN {name} <> '' THEN [{{'kind': 'host', 'value': {name}}}, {{'kind': 'prefix', 'value': {name} || {path}}}] ELSE [] END),
+      CASE WHEN len({labels}) >= 2 THEN list_transform(range(2, len({labels}) + 1),
+        lambda n: {{'kind': 'domain', 'value': array_to_string(list_slice({labels}, len({labels}) - n + 1, len({labels})), '.')}}) ELSE [] END)"""
+
+
+OP8_SQL = f"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS step, i AS c FROM range(256) t(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM bits WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+crcs AS (SELECT u, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(u) + 1), lambda k:
+    ('0x' || substr(hex(encode(u)), (2 * k - 1)::INT, 2))::BIGINT)),
+    lambda a, b: xor(a // 256, t[(xor(a % 256, b) + 1)::INT])), 4294967295) AS crc
+  FROM (SELECT DISTINCT url AS u FROM pages WHERE url IS NOT NULL UNION SELECT DISTINCT 'fetch ' || url FROM pages WHERE url IS NOT NULL), crc_table),
+captures AS (SELECT page_id, url, DATE '2024-01-01' + (crc % 365)::INT AS day FROM pages LEFT JOIN crcs ON u = 'fetch ' || url),
+keyed AS (SELECT url, crc, {_sql_keys('url')} AS k FROM pages JOIN crcs ON u = url),
+entries AS (SELECT k[(crc % len(k) + 1)::INT].kind AS kind, k[(crc % len(k) + 1)::INT].value AS value,
+    ['adult', 'allow_partners', 'malware', 'phishing', 'spam'][(crc // 7 % 5 + 1)::INT] AS list,
+    DATE '2024-01-01' + (crc // 11 % 365 - 60)::INT AS day, crc // 13 % 4 = 0 AS off,
+    CASE WHEN crc // 17 % 2 = 0 THEN (crc // 19 % 90 + 1)::INT END AS days FROM keyed),
+daily AS (SELECT kind, value, list, day, bool_or(off) AS off, max(CASE WHEN NOT off THEN coalesce(days, 2000000) END) AS term
+  FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(day) OVER (PARTITION BY kind, value, list ORDER BY day) AS next FROM daily),
+valid AS (SELECT kind, value, list, day AS valid_from,
+    least(CASE WHEN term < 2000000 THEN day + term::INT END, next) AS valid_to FROM spans WHERE NOT off),
+asked AS (SELECT DISTINCT c.url, c.day, unnest(k) AS k FROM captures c JOIN keyed USING (url)),
+found AS (SELECT a.url, a.day, list_sort(list(DISTINCT v.list)) AS names FROM asked a
+  JOIN valid v ON v.kind = a.k.kind AND v.value = a.k.value AND v.valid_from <= a.day AND (v.valid_to IS NULL OR a.day < v.valid_to)
+  GROUP BY ALL)
+SELECT page_id, url, c.day::DATE::VARCHAR AS day, coalesce(len(names), 0)::BIGINT AS n_lists, coalesce(array_to_string(names, ','), '') AS lists,
+  coalesce(len(names) > 0 AND NOT list_contains(names, 'allow_partners'), false) AS blocked
+FROM captures c LEFT JOIN found USING (url, day)
+"""
+
 ENTRIES = {
     "op1_html_extraction": (op1_html_extraction, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
     "op3_simhash_near_dedup": (op3_simhash_near_dedup, None),
     "op4_pii": (op4_pii, None),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+    "op6_document_fingerprints": (op6_document_fingerprints, None),
     "op7_toxicity": (op7_toxicity, None),
+    "op8_url_filters": (op8_url_filters, OP8_SQL),
+    "op9_token_counts": (op9_token_counts, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
