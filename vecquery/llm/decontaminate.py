@@ -9,7 +9,7 @@ proximity: all distinct terms of a window inside a span of bounded length, in an
 A document row is known by its id and a hash of its text, so rows that share an id are judged one by one.
 
 Defined results: a null or empty text has no words, no hits and ``contaminated`` false; an item without words has
-no window; repeated items and windows count once per ``item_id``; repeated document rows each get their result.
+no window; an item without an id counts for hits but is not named; repeated items and windows count once per ``item_id``; repeated document rows each get their result.
 Extra columns are ignored.
 """
 

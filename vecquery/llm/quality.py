@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import Sample, fit_logistic, id_crc, labelled_sample
+from vecquery.llm.common import Sample, every_nth, fit_logistic, id_crc, labelled_sample
 
 #: Bounds of the labelled sample that dictionaries and calibration are fitted on.
 SAMPLE_PER_CLASS = 3_000
@@ -83,7 +83,7 @@ def fit(sample: Sample) -> QualityModel:
     """Dictionaries from one half of the sample, calibration on the other half."""
     total = sum(sample.totals)
     prior = sample.totals[1] / total if total else 0.5
-    half = np.arange(len(sample.texts)) % 2 == 0
+    half = every_nth(sample.labels, 2)
     use = [[sample.texts[i] for i in np.flatnonzero(half & (sample.labels == y))] for y in (1, 0)]
     y = sample.labels[~half].astype(float)
     if not all(use) or not 0 < y.sum() < len(y):

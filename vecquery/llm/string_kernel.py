@@ -90,15 +90,20 @@ class Machine:
 
 
 def train_machine(marks: Landmarks, good: list[str], bad: list[str], cost: float = 30_000.0) -> Machine:
-    """Squared-hinge support vector machine on Nyström features; both classes weigh the same."""
+    """Squared-hinge support vector machine on Nyström features; both classes weigh the same.
+
+    A tenth of the good examples are words that no landmark has anything in common with.
+    """
     own = kernel(list(marks.words), marks).astype(float)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     keep = values > 1e-4
     root = vectors[:, keep] / np.sqrt(values[keep])
     x = kernel([*bad, *good], marks).astype(float) @ root
-    x = np.column_stack([x, np.ones(len(x))])
-    y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
-    weight = np.r_[np.full(len(bad), cost / max(1, len(bad))), np.full(len(good), cost / max(1, len(good)))]
+    unlike = len(good) // 10 + 1
+    x = np.column_stack([np.vstack([x, np.zeros((unlike, x.shape[1]))]), np.ones(len(x) + unlike)])
+    clean = len(good) + unlike
+    y = np.r_[np.ones(len(bad)), -np.ones(clean)]
+    weight = np.r_[np.full(len(bad), cost / max(1, len(bad))), np.full(clean, cost / clean)]
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import Sample, fit_logistic, id_crc, labelled_sample, slices
+from vecquery.llm.common import Sample, every_nth, fit_logistic, id_crc, labelled_sample, slices
 from vecquery.llm.string_kernel import LENGTH, WIDTH, Machine, kernel, landmarks, train_machine
 
 #: Bounds of the labelled sample (clean, toxic texts) and of what is learned from it.
@@ -94,14 +94,15 @@ def _unlikely(toxic: int, clean: int, share: float) -> float:
 
 
 def toxic_words(texts: list[str], labels: np.ndarray) -> tuple[list[str], list[str]]:
-    """(toxic words, words of clean texts). Copies of a text count once, known by the least hashes of its words."""
+    """(toxic words, words of clean texts). Copies of a text count once, known by the least hash of its word triples."""
     seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
     copies: dict[str, set] = {}
     for text, y in zip(texts, labels, strict=True):
-        own = set(words(text))
+        order = words(text)
+        own = set(order)
         seen[bool(y)].update(own)
         if y and own:
-            print_ = min(xxhash.xxh32_intdigest(w) for w in own)
+            print_ = min(xxhash.xxh32_intdigest(" ".join(order[i : i + 3])) for i in range(max(1, len(order) - 2)))
             for w in own:
                 copies.setdefault(w, set()).add(print_)
     share = float(np.mean(labels))
@@ -137,7 +138,7 @@ def _disguised(bad: list[str]) -> list[str]:
 def fit(sample: Sample) -> ToxicityModel:
     total = sum(sample.totals)
     prior = sample.totals[1] / total if total else 0.0
-    half = np.arange(len(sample.texts)) % 3 != 0
+    half = ~every_nth(sample.labels, 4)
     part = [[t for t, h in zip(sample.texts, half, strict=True) if h == side] for side in (True, False)]
     y = sample.labels
     bad, good = toxic_words(part[0], y[half]) if len(y) else ([], [])
