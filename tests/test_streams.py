@@ -10,6 +10,10 @@ from vecquery.sources.tables import new_path
 from vecquery.streaming import index as stream_index
 from vecquery.streaming import leaders, runs, throughput
 
+def mock(prompts):
+    return prompts.withColumns({"answer": generate.mock_reply(F.col("prompt")), "error": F.lit(None).cast("string")})
+
+
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
@@ -99,7 +103,7 @@ def test_answers_by_stream_equal_the_batch(spark, corpus):
     tiers = no_tiers(spark)
 
     def work(batch):
-        return answers.answer_batch(batch, tiers, *corpus, 3, embed_query, generate.mock_reply).select("request_id", "answer", "context")
+        return answers.answer_batch(batch, tiers, answers.flat_search(corpus[0]), corpus[1], 3, embed_query, mock).select("request_id", "answer", "context")
 
     made = runs.drain_batches(files(spark, asked, 3, "request_id"), "a", work, "request_id bigint, answer string, context string")
     assert sorted(made.collect()) == sorted(work(asked).collect())
@@ -107,10 +111,10 @@ def test_answers_by_stream_equal_the_batch(spark, corpus):
 
 def test_answers_are_reused_from_the_table_they_were_stored_in(spark, corpus):
     asked = spark.createDataFrame([(i, f"topic{i % 5}", 10) for i in range(20)], "request_id bigint, query string, now_us bigint")
-    first = answers.answer_batch(asked, no_tiers(spark), *corpus, 3, embed_query)
+    first = answers.answer_batch(asked, no_tiers(spark), answers.flat_search(corpus[0]), corpus[1], 3, embed_query)
     stored = results.write_through(no_tiers(spark), results.answer_entries(first, F.col("now_us")), (1, 100))
     later = asked.withColumn("now_us", F.lit(5_000))
-    again = {r.request_id: r for r in answers.answer_batch(later, stored, *corpus, 3, embed_query).collect()}
+    again = {r.request_id: r for r in answers.answer_batch(later, stored, answers.flat_search(corpus[0]), corpus[1], 3, embed_query).collect()}
     once = {r.request_id: r for r in first.collect()}
     assert {r.cache_level for r in again.values()} == {"l2"} and not once[0].cache_hit
     assert all(again[i].answer == once[i].answer == once[i].context and again[i].docs == once[i].docs for i in range(20))
@@ -118,5 +122,5 @@ def test_answers_are_reused_from_the_table_they_were_stored_in(spark, corpus):
 
 def test_question_without_corpus_gets_the_fallback(spark, corpus):
     asked = spark.createDataFrame([(1, "x", 10)], "request_id bigint, query string, now_us bigint")
-    empty = answers.answer_batch(asked, no_tiers(spark), corpus[0].limit(0), corpus[1], 3, embed_query, generate.mock_reply).first()
+    empty = answers.answer_batch(asked, no_tiers(spark), answers.flat_search(corpus[0].limit(0)), corpus[1], 3, embed_query, mock).first()
     assert (empty.context, empty.answer, empty.docs) == ("", "未找到相关信息", [])

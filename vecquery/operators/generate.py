@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecquery.functions.text import tokens
+from vecquery.functions.text import WHITESPACE, tokens
 
 # Service defaults and the stand-in reply texts.
 DEFAULT_MODEL = "gpt-3.5-turbo"
@@ -92,26 +92,24 @@ def parse_reply(reply: Column) -> Column:
     )
 
 
-def assemble_streams(lines: DataFrame) -> DataFrame:
-    """stream_id, line_no, line -> stream_id, text.
+def assemble_streams(lines: DataFrame, ids: Sequence[str] = ("stream_id",)) -> DataFrame:
+    """The id columns, line_no, line -> the id columns, text.
 
-    Only ``data: `` lines count, up to the first ``[DONE]``; bad JSON and empty deltas are skipped. Bare
-    deltas are grouped, so a group is as large as the text it becomes.
+    Only ``data: `` lines count, up to the first ``[DONE]``, white space around a line aside; bad JSON and empty deltas are
+    skipped. Bare deltas before the end are grouped, so a group is as large as the text it becomes.
     """
-    body = F.substring(F.trim("line"), 7, 2**31 - 1)
+    clean = F.regexp_replace("line", f"^{WHITESPACE}|{WHITESPACE}$", "")
+    body = F.substring(F.col("clean"), 7, 2**31 - 1)
     delta = F.get(F.from_json(body, DELTA_SCHEMA)["choices"], F.lit(0))["delta"]["content"]
-    data = lines.filter(F.trim("line").startswith("data: ")).select(
-        "stream_id", "line_no", (body == "[DONE]").alias("done"), delta.alias("delta")
+    data = lines.select(*ids, "line_no", clean.alias("clean")).filter(F.col("clean").startswith("data: "))
+    data = data.select(*ids, "line_no", (F.trim(body) == "[DONE]").alias("done"), delta.alias("delta"))
+    ends = data.filter("done").groupBy(*ids).agg(F.min("line_no").alias("end"))
+    told = data.filter("delta <> ''").join(ends, list(ids), "left").filter("end IS NULL OR line_no < end")
+    grouped = told.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("line_no", "delta"))).alias("deltas"))
+    text = F.array_join(F.transform("deltas", lambda d: d["delta"]), "")
+    return lines.select(*ids).distinct().join(grouped.select(*ids, text.alias("text")), list(ids), "left").select(
+        *ids, F.coalesce("text", F.lit("")).alias("text")
     )
-    grouped = data.groupBy("stream_id").agg(
-        F.min(F.when(F.col("done"), F.col("line_no"))).alias("end"),
-        F.sort_array(F.collect_list(F.when(F.col("delta") != "", F.struct("line_no", "delta")))).alias("deltas"),
-    )
-    before = F.filter("deltas", lambda d: F.col("end").isNull() | (d["line_no"] < F.col("end")))
-    text = F.array_join(F.transform(before, lambda d: d["delta"]), "")
-    return lines.select("stream_id").distinct().join(
-        grouped.select("stream_id", text.alias("text")), "stream_id", "left"
-    ).select("stream_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def token_chunks(df: DataFrame, text: str) -> DataFrame:

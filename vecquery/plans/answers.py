@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecquery.functions.keys import cache_key
@@ -17,64 +17,111 @@ VALUE_TYPE = (
     "docs:array<struct<rank:int,id:string,content:string,score:double>>>"
 )
 
+#: Finds hits ``query_id, rank, vec_id, score`` for queries ``query_id, vec`` and a greatest rank.
+Search = Callable[[DataFrame, int], DataFrame]
+
+
+def flat_search(index: DataFrame) -> Search:
+    """Search that compares with every vector of ``index`` (vec_id, unit_vec)."""
+    return lambda queries, k: search.search_exact(index, queries, k)
+
+
+def list_search(index: DataFrame, centroids, nprobe: int) -> Search:
+    """Search in the ``nprobe`` nearest lists of ``index`` (centroid_id, vec_id, unit_vec)."""
+    return lambda queries, k: search.search_lists(index, queries, centroids, k, nprobe)
+
+
+def hash_search(index: DataFrame, dim: int, bands: int, bits: int) -> Search:
+    """Search among vectors that share a hash bucket with the query."""
+    return lambda queries, k: search.search_hashed(index, queries, k, dim, bands, bits)
+
 
 def retrieve(
-    queries: DataFrame, index: DataFrame, documents: DataFrame, k: int, embed: Callable[[DataFrame], DataFrame]
+    queries: DataFrame, find: Search, documents: DataFrame, k: int, embed: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """query_id, query -> query_id, query, context, docs. ``embed`` adds ``embedding`` to ``query``."""
-    vectors = embed(queries).select("query_id", unit_query(F.col("embedding")).alias("vec"))
-    hits = search.attach_documents(search.search_exact(index, vectors, k), documents)
-    return context.with_contexts(queries, hits)
+    """query_id, query -> the same with context, docs. ``embed`` adds ``embedding`` to ``query``.
+
+    A column ``top_k`` of the queries limits a query to fewer than ``k`` hits.
+    """
+    vectors = embed(queries.select("query_id", "query")).select("query_id", unit_query(F.col("embedding")).alias("vec"))
+    hits = find(vectors, k)
+    if "top_k" in queries.columns:
+        limits = queries.select("query_id", "top_k")
+        hits = hits.join(limits, "query_id").filter(F.col("rank") <= F.col("top_k")).drop("top_k")
+    return context.with_contexts(queries, search.attach_documents(hits, documents))
 
 
 def answer_batch(
     requests: DataFrame,
     tiers: Sequence[DataFrame],
-    index: DataFrame,
+    find: Search,
     documents: DataFrame,
     k: int,
     embed: Callable[[DataFrame], DataFrame],
-    generate: Callable[[Column], Column] | None = None,
+    generate: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Responses for ``requests`` (request_id bigint, query, now_us), one row each.
+    """Responses for ``requests`` (query, now_us, and any columns that name a request), one row each.
 
-    A valid tier entry answers at once. The other requests are reduced to one per key, and only those are
-    embedded, searched and answered; the smallest request id of a key is its query id. ``generate`` maps
-    the prompt column to answers (a mock, or one joined in by the caller); without it, or without a
-    context, the answer is the context.
+    Optional columns of a request are ``top_k`` (default ``k``) and ``use_llm`` (default true). A valid tier entry answers
+    at once. The other requests are reduced to one per key and ``use_llm``, and only those are embedded,
+    searched and answered. ``generate`` gets rows with ``prompt`` and adds ``answer`` and ``error``, as
+    ``generate_batch`` does; it sees only requests that want it and have a context. Without it the answer is the
+    context. A null question is answered like one that finds nothing.
+
+    Adds ``key``, ``context``, ``answer``, ``docs``, ``error``, ``cache_hit`` and ``cache_level``.
     """
-    keyed = requests.withColumn("key", cache_key(F.col("query"), k))
-    looked = results.tiered_lookup(keyed, tiers)
+    own = requests.columns
+    top_k = F.coalesce("top_k", F.lit(k)) if "top_k" in own else F.lit(k)
+    wants = F.coalesce("use_llm", F.lit(True)) if "use_llm" in own else F.lit(True)
+    keyed = requests.withColumns({"_top_k": top_k.cast("int"), "_use_llm": wants}).withColumn(
+        "key", cache_key(F.col("query"), F.col("_top_k"))
+    )
     # read several times below: kept as a table, so that neither the lookup nor the reduction is repeated
+    looked = write_stage(results.tiered_lookup(keyed, tiers), "looked")
     missed = write_stage(
-        looked.filter("level = 'none'").groupBy("key").agg(
-            F.min("request_id").alias("query_id"), F.first("query").alias("query")
-        ),
+        looked.filter("level = 'none' AND key IS NOT NULL").groupBy("key", "_use_llm").agg(
+            F.first("query").alias("query"), F.first("_top_k").alias("top_k")
+        ).withColumn("query_id", F.monotonically_increasing_id()),
         "missed",
     )
-    found = retrieve(missed, index, documents, k, embed)
-    answer = context.answer_from_context(F.col("context"))
-    if generate is not None:
-        made = generate(context.build_prompt(F.col("context"), F.col("query")))
-        answer = F.when(F.col("context") != "", made).otherwise(answer)
-    fresh = found.select(
-        "key", F.struct("context", answer.alias("answer"), "docs").cast(VALUE_TYPE).alias("_fresh")
-    )
-    value = F.coalesce(F.col("value").cast(VALUE_TYPE), F.col("_fresh"))
-    return looked.join(fresh, "key", "left").select(
-        "request_id", "query", "key", "now_us", value.alias("value"),
+    widest = missed.agg(F.coalesce(F.max("top_k"), F.lit(1))).first()[0]
+    found = retrieve(missed, find, documents, widest, embed)
+    value = F.struct("context", "answer", "docs").cast(VALUE_TYPE).alias("_fresh")
+    if generate is None:
+        made = found.withColumns({"answer": context.answer_from_context(F.col("context")), "error": F.lit(None).cast("string")})
+    else:
+        found = write_stage(found, "found")
+        asks = F.col("_use_llm") & (F.col("context") != "")
+        plain = found.filter(~asks).withColumns(
+            {"answer": context.answer_from_context(F.col("context")), "error": F.lit(None).cast("string")}
+        )
+        prompts = found.filter(asks).withColumn("prompt", context.build_prompt(F.col("context"), F.col("query")))
+        made = generate(prompts).drop("prompt").unionByName(plain)
+    fresh = made.select("key", "_use_llm", value, F.col("error").alias("error"))
+    both = looked.join(fresh, ["key", "_use_llm"], "left")
+    nothing = F.struct(
+        F.lit("").alias("context"), context.answer_from_context(F.lit("")).alias("answer"), F.array().alias("docs")
+    ).cast(VALUE_TYPE)
+    value = F.coalesce(F.col("value").cast(VALUE_TYPE), F.col("_fresh"), nothing)
+    return both.select(
+        *own, "key", value.alias("value"), "error",
         (F.col("level") != "none").alias("cache_hit"), F.col("level").alias("cache_level"),
-    ).select("request_id", "query", "key", "now_us", "value.*", "cache_hit", "cache_level")
+    ).select(*own, "key", "value.*", "error", "cache_hit", "cache_level")
+
 
+def assemble_responses(answers: DataFrame, timings: DataFrame, ids: Sequence[str], stages: Sequence[str]) -> DataFrame:
+    """Response rows: answers with nested documents, the cache fields, and a latency map.
 
-def assemble_responses(requests: DataFrame, contexts: DataFrame, stages: Sequence[str]) -> DataFrame:
-    """Response rows with nested documents and a latency map from one ``{stage}_ms`` column per stage."""
-    latency = F.map_from_arrays(
-        F.array(*[F.lit(s) for s in stages]), F.array(*[F.round(F.col(f"{s}_ms"), 2) for s in stages])
+    ``timings`` has the ``ids`` columns and one ``{stage}_ms`` column per stage; an answer without timings, as one from a
+    tier may be, keeps an empty map and no latency.
+    """
+    known = [F.col(f"{s}_ms") for s in stages]
+    latency = F.map_filter(
+        F.map_from_arrays(F.array(*[F.lit(s) for s in stages]), F.array(*[F.round(c, 2) for c in known])),
+        lambda _, ms: ms.isNotNull(),
     )
-    total = sum((F.col(f"{s}_ms") for s in stages), F.lit(0.0))
-    return requests.join(contexts, "query_id").select(
-        "request_id", "query_id", "context", context.answer_from_context(F.col("context")).alias("answer"),
-        F.col("docs").alias("retrieved_docs"), latency.alias("stages_latency"),
-        F.round(total, 2).alias("total_latency_ms"), F.lit(False).alias("cache_hit"), F.lit("none").alias("cache_level"),
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in known), F.lit(0.0))
+    return answers.join(timings.select(*ids, *[f"{s}_ms" for s in stages]), list(ids), "left").select(
+        *ids, "query", "context", "answer", "error", F.col("docs").alias("retrieved_docs"),
+        latency.alias("stages_latency"), F.round(total, 2).alias("total_latency_ms"), "cache_hit", "cache_level",
     )

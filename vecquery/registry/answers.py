@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vecquery.functions import keys
 from vecquery.functions.text import WHITESPACE, tokens
 from vecquery.functions.vectors import unit_vector
-from vecquery.operators import context, embed, generate, results
+from vecquery.operators import context, embed, generate, index, results
 from vecquery.plans import answers
 from vecquery.registry import search, sql
 from vecquery.registry.metrics import LOG, request_log
@@ -20,7 +20,8 @@ from vecquery.sources.tables import read_table
 DIM = search.DIM
 K = 5
 NOW_US = 1_706_140_800_000_000
-TURN_IDS = 1_000  # a conversation has fewer turns than this, so conv_id * 1000 + turn is unique
+#: What names a turn.
+TURN = ("conv_id", "turn")
 
 
 # ---- inputs -----------------------------------------------------------------------------------
@@ -40,28 +41,31 @@ def benchmark_queries(spark, folder) -> DataFrame:
 
 def benchmark_contexts(spark, folder) -> DataFrame:
     return answers.retrieve(
-        benchmark_queries(spark, folder), text_index(spark, folder),
+        benchmark_queries(spark, folder), answers.flat_search(text_index(spark, folder)),
         search.documents_for_hits(spark, folder), K, embed_query,
     )
 
 
 def turns(spark, folder, role: str, spread_by: str | None = None) -> DataFrame:
     talk = read_table(spark, folder, "conversations", spread_by).filter(F.col("role") == role)
-    return talk.select((F.col("conv_id") * TURN_IDS + F.col("turn")).alias("id"), "conv_id", "turn", "text")
+    return talk.select(*TURN, "text")
 
 
 def user_requests(spark, folder) -> DataFrame:
-    return turns(spark, folder, "user").select(
-        F.col("id").alias("request_id"), F.col("text").alias("query"), F.lit(NOW_US).alias("now_us")
-    )
+    return turns(spark, folder, "user").select(*TURN, F.col("text").alias("query"), F.lit(NOW_US).alias("now_us"))
 
 
 def answered_turns(spark, folder) -> list[DataFrame]:
-    """Opening questions that got a reply are known: l1 holds expired entries, l2 valid ones."""
-    asked = turns(spark, folder, "user").filter("turn = 0")
-    reply = turns(spark, folder, "assistant").filter("turn = 1").select("conv_id", F.col("text").alias("answer"))
+    """Questions with a reply right behind that says more than they do are known; l1 holds expired entries, l2 valid ones.
+
+    Of several replies to one question the one that was given last counts.
+    """
+    asked = turns(spark, folder, "user")
+    reply = turns(spark, folder, "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     value = F.struct(F.lit("").alias("context"), F.col("answer"), F.array().alias("docs")).cast(answers.VALUE_TYPE)
-    known = asked.join(reply, "conv_id").select(
+    pairs = asked.join(reply, list(TURN)).filter("length(answer) > length(text)")
+    last = pairs.groupBy("text").agg(F.max_by("answer", F.struct(*TURN)).alias("answer"))
+    known = last.select(
         keys.cache_key(F.col("text"), K).alias("key"), value.alias("value"),
         F.lit(NOW_US - 30_000_000).alias("created_us"), F.lit(0).alias("ttl_ms"),
     )
@@ -74,14 +78,14 @@ def captured_lines(spark, folder) -> DataFrame:
         content = F.to_json(F.struct(F.array(F.struct(F.struct(text.alias("content")).alias("delta"))).alias("choices")))
         return F.concat(F.lit("data: "), content)
 
-    words = F.transform(tokens(F.col("text")), lambda w: delta(F.concat(w, F.lit(" "))))
+    words = F.transform(
+        tokens(F.col("text")), lambda w: F.concat(F.lit("\t"), delta(F.concat(w, F.lit(" "))), F.lit("\r\n"))
+    )
     lines = F.concat(
         F.array(F.lit(": keep-alive"), F.lit('data: {"choices":[{"delta":{"content":"cut'), delta(F.lit(""))),
-        words, F.array(F.lit("  data: [DONE]  "), delta(F.lit("late"))),
-    )
-    return turns(spark, folder, "assistant", "conv_id").select(
-        F.col("id").alias("stream_id"), F.posexplode(lines).alias("line_no", "line")
+        words, F.array(F.lit("\tdata: [DONE] \r\n"), delta(F.lit("late"))),
     )
+    return turns(spark, folder, "assistant", "conv_id").select(*TURN, F.posexplode(lines).alias("line_no", "line"))
 
 
 # ---- queries ----------------------------------------------------------------------------------
@@ -100,12 +104,15 @@ def answer_retrieval_only(spark, folder):
     return benchmark_contexts(spark, folder).select("query_id", "query", answer.alias("answer"))
 
 
-def generate_batch(spark, folder):
+def stand_in(prompts: DataFrame) -> DataFrame:
     """The stand-in model in Python batches, as a caller's model would run."""
     start, end, shown = generate.MOCK_REPLY
-    prompts = turns(spark, folder, "user").select("id", F.col("text").alias("prompt"))
-    model = lambda: lambda batch: [f"{start}{p[:shown]}{end}" for p in batch]
-    return generate.generate_batch(prompts, "prompt", model).select("id", "answer", "error")
+    return generate.generate_batch(prompts, "prompt", lambda: lambda batch: [f"{start}{p[:shown]}{end}" for p in batch])
+
+
+def generate_batch(spark, folder):
+    prompts = turns(spark, folder, "user").select(*TURN, F.col("text").alias("prompt"))
+    return stand_in(prompts).select(*TURN, "answer", "error")
 
 
 def llm_payload(spark, folder):
@@ -113,9 +120,9 @@ def llm_payload(spark, folder):
         F.col("text"), temperature=F.when(F.col("turn") == 0, 0.7),
         max_tokens=F.when(F.length("text") > 500, 1024),
     )
-    made = turns(spark, folder, "user").select("id", payload.alias("payload"))
+    made = turns(spark, folder, "user").select(*TURN, payload.alias("payload"))
     return made.select(
-        "id", *[F.get_json_object("payload", f"$.{path}").alias(name) for name, path in (
+        *TURN, *[F.get_json_object("payload", f"$.{path}").alias(name) for name, path in (
             ("model", "model"), ("role", "messages[0].role"), ("content", "messages[0].content"),
             ("temperature", "temperature"), ("max_tokens", "max_tokens"))],
     )
@@ -126,17 +133,17 @@ def llm_reply_parse(spark, folder):
     choice = F.struct(F.struct(F.lit("assistant").alias("role"), F.col("text").alias("content")).alias("message"))
     used = F.when(F.col("turn") < 4, F.struct(F.length("text").cast("bigint").alias("total_tokens")))
     reply = F.to_json(F.struct(F.array(choice).alias("choices"), used.alias("usage")))
-    made = turns(spark, folder, "assistant").select("id", generate.parse_reply(reply).alias("r"))
-    return made.select("id", "r.content", "r.total_tokens")
+    made = turns(spark, folder, "assistant").select(*TURN, generate.parse_reply(reply).alias("r"))
+    return made.select(*TURN, "r.content", "r.total_tokens")
 
 
 def stream_assemble(spark, folder):
-    return generate.assemble_streams(captured_lines(spark, folder))
+    return generate.assemble_streams(captured_lines(spark, folder), TURN)
 
 
 def token_chunks(spark, folder):
     text = generate.mock_stream_text(F.col("text"))
-    made = generate.token_chunks(turns(spark, folder, "user").select("id", text.alias("t")), "t")
+    made = generate.token_chunks(turns(spark, folder, "user").select(*TURN, text.alias("t")), "t")
     return made.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
@@ -145,20 +152,42 @@ def llm_usage(spark, folder):
         F.col("event_type").alias("model"), F.col("k").cast("bigint").alias("tokens"), "latency_ms"))
 
 
-def user_answers(spark, folder) -> DataFrame:
+def user_answers(spark, folder, find=None, use_llm=None) -> DataFrame:
+    requests = user_requests(spark, folder)
+    if use_llm is not None:
+        requests = requests.withColumns({"use_llm": use_llm, "top_k": F.when(F.col("turn") % 4 == 2, 2)})
     return answers.answer_batch(
-        user_requests(spark, folder), answered_turns(spark, folder), text_index(spark, folder),
-        search.documents_for_hits(spark, folder), K, embed_query, generate.mock_reply,
+        requests, answered_turns(spark, folder), find or answers.flat_search(text_index(spark, folder)),
+        search.documents_for_hits(spark, folder), K, embed_query, stand_in,
     )
 
 
-def rag_batch(spark, folder):
-    return user_answers(spark, folder).select(
-        "request_id", "query", "context", "answer", "cache_hit", "cache_level",
+def _shown_answers(made: DataFrame) -> DataFrame:
+    return made.select(
+        *TURN, "query", "context", "answer", "error", "cache_hit", "cache_level",
         F.array_join(F.transform("docs", lambda d: d["id"]), ",").alias("doc_ids"),
     )
 
 
+def rag_batch(spark, folder):
+    return _shown_answers(user_answers(spark, folder))
+
+
+def rag_batch_lists(spark, folder):
+    """The same over stored inverted lists, all of which are probed, so the answers are the exact ones."""
+    docs = read_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("vec_id"), F.col("source").alias("label"), "text")
+    flat = embed.embed_hashed(docs, "text", DIM).select("vec_id", "label", unit_vector(F.col("embedding")).alias("unit_vec"))
+    numbered = flat.withColumn("label", F.crc32("label"))
+    centroids = index.centroid_table(index.group_centroids(numbered))
+    lists = index.store_lists(index.assign_lists(flat.drop("label"), centroids))
+    return _shown_answers(user_answers(spark, folder, answers.list_search(lists, centroids, centroids.num_rows)))
+
+
+def rag_batch_settings(spark, folder):
+    """Requests with settings of their own: every other turn wants no model, some want two documents."""
+    return _shown_answers(user_answers(spark, folder, use_llm=F.col("turn") % 4 < 2))
+
+
 def cache_store(spark, folder):
     """Answers of this run that were not cached, as l2 rows."""
     fresh = user_answers(spark, folder).filter(~F.col("cache_hit"))
@@ -175,22 +204,22 @@ def request_ids(spark, folder):
 
 
 def response_assemble(spark, folder):
-    """Benchmark answers; the event with the question's number gives the stage times."""
+    """User turns' answers, hits and misses; requests of the log with the turns' numbers give the stage times of some."""
     log = request_log(spark, folder).select(
-        F.col("request_id").alias("query_id"), F.col("latency_ms").alias("embedding_ms"),
-        F.col("k").cast("double").alias("vector_search_ms"), F.concat(F.lit("req_"), F.col("request_id").cast("string")).alias("request_id"),
+        F.floor(F.col("request_id") / 8).alias("conv_id"), (F.col("request_id") % 8).alias("turn"),
+        F.col("latency_ms").alias("embedding_ms"), F.col("k").cast("double").alias("vector_search_ms"),
     )
-    made = answers.assemble_responses(log, benchmark_contexts(spark, folder), ["embedding", "vector_search"])
+    made = answers.assemble_responses(user_answers(spark, folder), log, TURN, ["embedding", "vector_search"])
     return made.select(
-        "request_id", "answer", F.size("retrieved_docs").cast("bigint").alias("n_docs"),
+        *TURN, "answer", F.size("retrieved_docs").cast("bigint").alias("n_docs"),
         F.array_join(F.transform("retrieved_docs", lambda d: d["id"]), ",").alias("doc_ids"),
-        F.col("stages_latency")["embedding"].alias("embedding_ms"), "total_latency_ms", "cache_hit", "cache_level",
+        F.try_element_at("stages_latency", F.lit("embedding")).alias("embedding_ms"), "total_latency_ms", "cache_hit", "cache_level",
     )
 
 
 # ---- the same in SQL --------------------------------------------------------------------------
 
-_ID = f"conv_id * {TURN_IDS} + turn"
+_ID = "conv_id, turn"
 
 
 def retrieval(queries: str) -> str:
@@ -215,13 +244,21 @@ def _words(text: str) -> str:
 
 
 _TURNS = f"""
-u AS (SELECT {_ID} AS id, conv_id, turn, text FROM conversations WHERE role = 'user'),
-known AS (SELECT u.text, a.text AS answer FROM u JOIN conversations a
-  ON u.turn = 0 AND a.conv_id = u.conv_id AND a.turn = 1 AND a.role = 'assistant'),
-miss AS (SELECT * FROM u WHERE text NOT IN (SELECT text FROM known))"""
-_ANSWERS = f"{_TURNS}, {retrieval('SELECT id, text FROM miss')}"
+u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user'),
+known AS (SELECT u.text, arg_max(a.text, [u.conv_id, u.turn]) AS answer FROM u JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' AND length(a.text) > length(u.text) GROUP BY u.text),
+miss AS (SELECT DISTINCT text FROM u WHERE text NOT IN (SELECT text FROM known))"""
+_ANSWERS = f"{_TURNS}, {retrieval('SELECT text AS id, text FROM miss')}"
 _MOCK = f"'[Mock LLM Response for: ' || substr({_PROMPT.format(q='text')}, 1, 50) || '...]'"
 
+_RAG = f"""
+WITH {_ANSWERS}
+SELECT u.conv_id, u.turn, u.text AS query, coalesce(context, '') AS context,
+  CASE WHEN k.text IS NOT NULL THEN k.answer ELSE {_MOCK.replace("|| text ||", "|| u.text ||")} END AS answer,
+  NULL::VARCHAR AS error, k.text IS NOT NULL AS cache_hit, CASE WHEN k.text IS NULL THEN 'none' ELSE 'l2' END AS cache_level,
+  coalesce(doc_ids, '') AS doc_ids
+FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = u.text"""
+
 ENTRIES = {
     "context_format": (context_format, f"WITH {_BENCH} SELECT query_id, context FROM con"),
     "prompt_build": (prompt_build, f"""
@@ -230,41 +267,53 @@ WITH {_BENCH} SELECT query_id, {_PROMPT.format(q='text')} AS prompt FROM con JOI
 WITH {_BENCH} SELECT item_id AS query_id, text AS query, coalesce(context, '未找到相关信息') AS answer
 FROM benchmark LEFT JOIN con ON item_id = query_id"""),
     "generate_batch": (generate_batch, f"""
-SELECT {_ID} AS id, '[Mock LLM Response for: ' || substr(text, 1, 50) || '...]' AS answer, NULL::VARCHAR AS error
+SELECT {_ID}, '[Mock LLM Response for: ' || substr(text, 1, 50) || '...]' AS answer, NULL::VARCHAR AS error
 FROM conversations WHERE role = 'user'"""),
     "llm_payload": (llm_payload, f"""
-SELECT {_ID} AS id, '{generate.DEFAULT_MODEL}' AS model, 'user' AS role, text AS content,
+SELECT {_ID}, '{generate.DEFAULT_MODEL}' AS model, 'user' AS role, text AS content,
   CASE WHEN turn = 0 THEN '0.7' ELSE '0.0' END AS temperature,
   CASE WHEN length(text) > 500 THEN '1024' ELSE '512' END AS max_tokens
 FROM conversations WHERE role = 'user'"""),
     "llm_reply_parse": (llm_reply_parse, f"""
-SELECT {_ID} AS id, text AS content, CASE WHEN turn < 4 THEN length(text) ELSE 0 END AS total_tokens
+SELECT {_ID}, text AS content, CASE WHEN turn < 4 THEN length(text) ELSE 0 END AS total_tokens
 FROM conversations WHERE role = 'assistant'"""),
     "stream_assemble": (stream_assemble, f"""
-SELECT {_ID} AS stream_id, array_to_string(list_transform({_words('text')}, lambda w: w || ' '), '') AS text
+SELECT {_ID}, array_to_string(list_transform({_words('text')}, lambda w: w || ' '), '') AS text
 FROM conversations WHERE role = 'assistant'"""),
     "token_chunks": (token_chunks, f"""
-SELECT id, unnest(range(len(w))) AS chunk_no, unnest(w) || ' ' AS chunk FROM (
-  SELECT {_ID} AS id, {_words("'[Mock response for: ' || substr(text, 1, 30) || '...]'")} AS w
+SELECT {_ID}, unnest(range(len(w))) AS chunk_no, unnest(w) || ' ' AS chunk FROM (
+  SELECT {_ID}, {_words("'[Mock response for: ' || substr(text, 1, 30) || '...]'")} AS w
   FROM conversations WHERE role = 'user')"""),
     "llm_usage": (llm_usage, f"""
 WITH {LOG} SELECT event_type AS model, count(*) AS total_requests, sum(k)::BIGINT AS total_tokens,
   round(avg(latency_ms), 1) AS avg_latency_ms FROM log GROUP BY 1"""),
-    "rag_batch": (rag_batch, f"""
-WITH {_ANSWERS}
-SELECT id AS request_id, u.text AS query, coalesce(context, '') AS context,
-  CASE WHEN k.text IS NOT NULL THEN k.answer ELSE {_MOCK.replace("|| text ||", "|| u.text ||")} END AS answer,
-  k.text IS NOT NULL AS cache_hit, CASE WHEN k.text IS NULL THEN 'none' ELSE 'l2' END AS cache_level,
-  coalesce(doc_ids, '') AS doc_ids
-FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = id"""),
+    "rag_batch": (rag_batch, _RAG),
+    "rag_batch_lists": (rag_batch_lists, _RAG),
+    "rag_batch_settings": (rag_batch_settings, f"""
+WITH {_TURNS}, want AS (SELECT DISTINCT text, turn % 4 < 2 AS llm, CASE WHEN turn % 4 = 2 THEN 2 ELSE {K} END AS n FROM u
+  WHERE text NOT IN (SELECT text FROM known) OR turn % 4 = 2),
+miss2 AS (SELECT DISTINCT text FROM want), {retrieval('SELECT text AS id, text FROM miss2')},
+few AS (SELECT query_id, string_agg('[文档 ' || rank || '] (相关度: ' || printf('%.3f', score) || ')' || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS context,
+  string_agg({search._PAD}, ',' ORDER BY rank) AS doc_ids FROM hit JOIN documents ON doc_id = vec_id WHERE rank <= 2 GROUP BY query_id),
+each AS (SELECT u.*, turn % 4 < 2 AS llm, turn % 4 <> 2 AND k.text IS NOT NULL AS cached, k.answer AS known_answer,
+  CASE WHEN turn % 4 = 2 THEN f.context ELSE c.context END AS context, CASE WHEN turn % 4 = 2 THEN f.doc_ids ELSE c.doc_ids END AS doc_ids
+  FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con c ON c.query_id = u.text LEFT JOIN few f ON f.query_id = u.text)
+SELECT {_ID}, text AS query, CASE WHEN cached THEN '' ELSE coalesce(context, '') END AS context,
+  CASE WHEN cached THEN known_answer WHEN context IS NULL THEN '未找到相关信息' WHEN llm THEN {_MOCK} ELSE context END AS answer,
+  NULL::VARCHAR AS error, cached AS cache_hit, CASE WHEN cached THEN 'l2' ELSE 'none' END AS cache_level,
+  CASE WHEN cached THEN '' ELSE coalesce(doc_ids, '') END AS doc_ids FROM each"""),
     "cache_store": (cache_store, f"""
 WITH {_ANSWERS}
 SELECT 'rag:' || text || ':{K}' AS key, {NOW_US} + 60000000 AS expires_us, {NOW_US} AS created_us, context,
-  {_MOCK} AS answer, n_docs FROM miss JOIN con ON query_id = id
+  {_MOCK} AS answer, n_docs FROM miss JOIN con ON query_id = text
 UNION ALL SELECT 'rag:' || text || ':{K}', {NOW_US} + 30000000, {NOW_US} - 30000000, '', answer, 0 FROM known"""),
     "request_ids": (request_ids, "SELECT event_id, 'req_' || epoch_us(ts) || '_' || event_id AS request_id FROM events"),
     "response_assemble": (response_assemble, f"""
-WITH {LOG}, {_BENCH} SELECT 'req_' || request_id AS request_id, context AS answer, n_docs, doc_ids,
-  round(latency_ms, 2) AS embedding_ms, round(latency_ms + k, 2) AS total_latency_ms, false AS cache_hit, 'none' AS cache_level
-FROM con JOIN log ON request_id = query_id"""),
+WITH {LOG}, {_ANSWERS}
+SELECT u.conv_id, u.turn, CASE WHEN k.text IS NOT NULL THEN k.answer ELSE {_MOCK.replace("|| text ||", "|| u.text ||")} END AS answer,
+  coalesce(n_docs, 0) AS n_docs, coalesce(doc_ids, '') AS doc_ids, round(latency_ms, 2) AS embedding_ms,
+  coalesce(round(latency_ms + log.k, 2), 0.0) AS total_latency_ms,
+  k.text IS NOT NULL AS cache_hit, CASE WHEN k.text IS NULL THEN 'none' ELSE 'l2' END AS cache_level
+FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = u.text
+LEFT JOIN log ON log.request_id // 8 = u.conv_id AND log.request_id % 8 = u.turn"""),
 }

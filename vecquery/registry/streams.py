@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vecquery.operators import generate
 from vecquery.plans import answers as plan
 from vecquery.registry import answers, results, search, sql
 from vecquery.registry.metrics import HOUR_US, LOG
@@ -26,8 +25,7 @@ def stream_throughput(spark, folder):
 def stream_search(spark, folder):
     """User turns arrive as questions and are answered per micro-batch."""
     asked = _stream(spark, folder, "conversations").filter("role = 'user'").select(
-        (F.col("conv_id") * answers.TURN_IDS + F.col("turn")).alias("request_id"),
-        F.col("text").alias("query"), F.lit(answers.NOW_US).alias("now_us"),
+        *answers.TURN, F.col("text").alias("query"), F.lit(answers.NOW_US).alias("now_us")
     )
     tiers = answers.answered_turns(spark, folder)
     vectors = write_stage(answers.text_index(spark, folder), "text-index")
@@ -35,10 +33,10 @@ def stream_search(spark, folder):
 
     def work(batch):
         return plan.answer_batch(
-            batch, tiers, vectors, documents, answers.K, answers.embed_query, generate.mock_reply
-        ).select("request_id", "answer", "cache_hit")
+            batch, tiers, plan.flat_search(vectors), documents, answers.K, answers.embed_query, answers.stand_in
+        ).select(*answers.TURN, "answer", "cache_hit")
 
-    return runs.drain_batches(asked, "answers", work, "request_id bigint, answer string, cache_hit boolean")
+    return runs.drain_batches(asked, "answers", work, "conv_id bigint, turn bigint, answer string, cache_hit boolean")
 
 
 def stream_coalesce(spark, folder):
@@ -70,9 +68,9 @@ WITH {LOG} SELECT ts_us // {HOUR_US} * {HOUR_US} AS start_us, (ts_us // {HOUR_US
 HAVING end_us <= (SELECT max(ts_us) // 1000 * 1000 - 600000000 FROM log)"""),
     "stream_search": (stream_search, f"""
 WITH {answers._ANSWERS}
-SELECT id AS request_id, CASE WHEN k.text IS NOT NULL THEN k.answer
+SELECT u.conv_id, u.turn, CASE WHEN k.text IS NOT NULL THEN k.answer
   ELSE {answers._MOCK.replace("|| text ||", "|| u.text ||")} END AS answer, k.text IS NOT NULL AS cache_hit
-FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = id"""),
+FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = u.text"""),
     "stream_coalesce": (stream_coalesce, f"""
 WITH RECURSIVE {LOG}, ev AS (SELECT 'user:' || user_id AS key, ts_us, request_id AS id, {3 * results.DAY_US} AS span_us FROM log),
 {results.leaders('ev', '>')} SELECT key, id, leader_id, is_leader FROM led"""),
