@@ -54,8 +54,8 @@ def found(spark, vectors, queries, k, sent):
 @pytest.mark.parametrize("sent", [1_000, 0])
 @pytest.mark.parametrize("cells,k", [(1, 5), (4, 5), (3, 1), (2, 500)])
 def test_both_ways_equal_brute_force(spark, monkeypatch, sent, cells, k):
-    monkeypatch.setattr(blocks, "VECTOR_BLOCK_ROWS", 40)
-    monkeypatch.setattr(blocks, "QUERY_BLOCK_ROWS", 6)
+    monkeypatch.setattr(blocks, "VECTOR_BLOCK_BYTES", 40 * 8 * 6)
+    monkeypatch.setattr(blocks, "QUERY_BLOCK_BYTES", 6 * 8 * 6)
     monkeypatch.setattr(blocks, "_ROWS_AT_ONCE", 16)
     monkeypatch.setattr(blocks, "_QUERIES_AT_ONCE", 4)
     vectors, queries = sample(7, 200, 15, cells)
@@ -84,3 +84,30 @@ def test_empty_sides(spark, sent):
 def test_k_must_be_positive(spark):
     with pytest.raises(ValueError):
         blocks.cell_top_k(spark.createDataFrame([], VECTORS), spark.createDataFrame([], QUERIES), 0)
+
+
+@pytest.mark.parametrize("kind", ["equal", "zero", "some"])
+def test_copies_stay_few(kind):
+    """Equal vectors tie, so only the k smallest ids of each are scored."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(5_000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if kind == "equal":
+        vectors[:] = vectors[0]
+    elif kind == "zero":
+        vectors[:] = 0
+        vectors[::2] = -0.0
+    else:
+        vectors[1_000:4_000] = vectors[7]
+    ids = rng.permutation(5_000)
+    queries = vectors[rng.integers(0, 5_000, 200)] + 0.0
+    kept, rows = blocks.first_copies(ids, vectors, 5)
+    assert len(kept) <= {"equal": 5, "zero": 5, "some": 2_005}[kind]
+    best = blocks.BestHits(200, 5)
+    best.add(np.arange(200), queries, ids, vectors)
+    dots = np.zeros((200, 5_000))
+    for j in range(16):
+        dots += queries[:, j, None] * vectors[None, :, j]
+    for q in range(0, 200, 17):
+        order = np.lexsort((ids, -dots[q]))[:5]
+        assert best.vec[best.query == q].tolist() == ids[order].tolist()

@@ -28,7 +28,7 @@ def test_percentiles_are_order_statistics(spark, n):
 
 def test_percentiles_of_negative_and_wide_values(spark):
     rows = [("a", i, i, v, True, False) for i, v in enumerate([-5.5, -0.1, 0.0, 1e9, 3.2, 3.1])]
-    r = latency.percentiles(spark.createDataFrame(rows, LOG), ["run"], width=0.5).first()
+    r = latency.percentiles(spark.createDataFrame(rows, LOG), ["run"], bins=4).first()
     assert (r.min, r.max, r.p50, r.p99) == (-5.5, 1e9, 3.1, 1e9)
 
 
@@ -82,7 +82,7 @@ def test_run_totals_are_zero_safe(spark):
 
 def test_in_flight_counts_open_requests(spark):
     df = spark.createDataFrame([(0, 10), (5, 8), (8, 12), (10, 11)], "start_us bigint, end_us bigint")
-    rows = sorted(tuple(r) for r in throughput.in_flight(df, 4).collect())
+    rows = sorted(tuple(r) for r in throughput.in_flight(df, rows=2).collect())
     assert rows == [(0, 1, 1), (5, 1, 2), (8, 1, 2), (10, 1, 2), (11, 0, 1), (12, 0, 0)]
 
 
@@ -97,9 +97,9 @@ def test_progress_shows_quiet_ticks(spark):
 def test_warmup_is_trimmed(spark):
     rows = made_log(60) + made_log(1000, 4, "b")
     df = spark.createDataFrame(rows, LOG)
-    counts = dict(throughput.trim_warmup(df, ["run"], 10_000).groupBy("run").count().collect())
+    counts = dict(throughput.trim_warmup(df, ["run"], rows=20).groupBy("run").count().collect())
     assert counts == {"a": 10, "b": 900}
-    assert throughput.trim_warmup(df, ["run"], 10_000, warmup=60).filter("run = 'a'").count() == 0
+    assert throughput.trim_warmup(df, ["run"], 60, 20).filter("run = 'a'").count() == 0
 
 
 def test_summary_leaves_out_the_cache_line_without_hits(spark):

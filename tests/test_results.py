@@ -67,7 +67,7 @@ def test_delete_and_clean(spark):
 def test_least_recently_used_keys_leave(spark, capacity):
     held = tier(spark, *[(k, k, 0, i) for i, k in enumerate("abcde")])
     used = spark.createDataFrame([("a", 100), ("b", 7), ("a", 3), ("c", 100)], "key string, ts_us bigint")
-    kept = [r.key for r in results.keep_recent(held, used, capacity, bin_us=10).collect()]
+    kept = [r.key for r in results.keep_recent(held, used, capacity, rows=2).collect()]
     assert sorted(kept) == sorted(["a", "c", "b", "e", "d"][:capacity])
 
 

@@ -109,6 +109,6 @@ def test_score_is_clamped(spark):
 
 
 def test_description_of_an_index_never_searched(stored, spark):
-    log = spark.createDataFrame([], "latency_ms double")
+    log = spark.createDataFrame([], "ts_us bigint, request_id bigint, latency_ms double")
     row = index.describe(stored, log, "flat", 16).first()
     assert (row["size"], row.dimension, row.total_searches, row.avg_search_time_ms) == (120, 8, 0, 0.0)

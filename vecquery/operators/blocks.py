@@ -22,13 +22,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vecquery.sources.tables import write_stage
+
+#: Cells whose sizes travel to every task; with more, sizes are joined by shuffle.
 MAX_CELLS = 1_000_000
 MAX_SENT_QUERIES = 20_000
 MAX_SENT_BYTES = 128 * 1024 * 1024
-VECTOR_BLOCK_ROWS = 65_536
-QUERY_BLOCK_ROWS = 16_384
+#: Blocks are cut by bytes of 8-byte numbers, so that their rows fall as the dimension grows.
+VECTOR_BLOCK_BYTES = 32 * 1024 * 1024
+QUERY_BLOCK_BYTES = 8 * 1024 * 1024
+#: Candidates kept side by side before they are merged into the best ones.
+MERGE_ROWS = 1_000_000
+#: Cells that are asked for by value; more of them are asked for by a join.
+NAMED_CELLS = 1_000
 
 _HITS = "query_id bigint, vec_id bigint, dot double"
 _SLACK = 1e-9  # far above the rounding error of a BLAS dot product of unit vectors
@@ -45,6 +54,24 @@ def to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(array), -1) if len(array) else np.zeros((0, 0))
 
 
+def first_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors only the ``k`` with the smallest ids: ties go to them, so no other can be among the k best."""
+    if len(ids) <= k:
+        return ids, vectors
+    # equal vectors have equal sums of weighted elements, which are cheap to compare
+    mark = (vectors + 0.0) @ np.random.default_rng(0).random(vectors.shape[1])
+    near = np.sort(mark)
+    if k < len(near) and not (near[k:] - near[:-k] <= 1e-12 * (1 + np.abs(near[k:]))).any():
+        return ids, vectors  # no vector has more than k copies
+    rows = np.ascontiguousarray(vectors + 0.0)  # -0.0 and 0.0 are equal
+    _, copy = np.unique(rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel(), return_inverse=True)
+    order = np.lexsort((ids, copy))
+    sorted_copy = copy[order]
+    place = np.arange(len(ids)) - np.searchsorted(sorted_copy, sorted_copy, side="left")
+    keep = np.sort(order[place < k])
+    return ids[keep], vectors[keep]
+
+
 class BestHits:
     """Running k best (query, vector, dot) triples, queries given by position."""
 
@@ -57,14 +84,17 @@ class BestHits:
 
     def add(self, positions: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
         for v in range(0, len(ids), _ROWS_AT_ONCE):
-            some_ids, some = ids[v : v + _ROWS_AT_ONCE], vectors[v : v + _ROWS_AT_ONCE]
-            pieces = [
-                self._better(positions[q : q + _QUERIES_AT_ONCE], queries[q : q + _QUERIES_AT_ONCE], some_ids, some)
-                for q in range(0, len(positions), _QUERIES_AT_ONCE)
-            ]
-            query, vec, dot = (np.concatenate(c) for c in zip(*pieces)) if pieces else ([], [], [])
-            if len(query):
-                self._merge(query, vec, dot)
+            some_ids, some = first_copies(ids[v : v + _ROWS_AT_ONCE], vectors[v : v + _ROWS_AT_ONCE], self.k)
+            pieces, rows = [], 0
+            for q in range(0, len(positions), _QUERIES_AT_ONCE):
+                piece = self._better(positions[q : q + _QUERIES_AT_ONCE], queries[q : q + _QUERIES_AT_ONCE], some_ids, some)
+                pieces.append(piece)
+                rows += len(piece[0])
+                if rows > MERGE_ROWS:
+                    self._merge(*(np.concatenate(c) for c in zip(*pieces, strict=True)))
+                    pieces, rows = [], 0
+            if rows:
+                self._merge(*(np.concatenate(c) for c in zip(*pieces, strict=True)))
 
     def _better(self, positions, queries, ids, vectors):
         """Pairs that may enter the k best, scored term by term."""
@@ -126,23 +156,30 @@ def _send_queries(vectors: DataFrame, sent: pa.Table, k: int) -> DataFrame:
                     best.add(places[asked], queries[asked], ids[here], points[here])
         yield best.table(query_ids)
 
-    # only cells somebody asks for are read; on a table partitioned by cell this prunes folders
-    if len(by_cell) <= 1_000:
+    # only cells somebody asks for are read; on a table partitioned by cell either way prunes folders
+    if len(by_cell) <= NAMED_CELLS:
         vectors = vectors.filter(F.col("cell").isin(list(by_cell)))
+    else:  # at most as many cells as sent rows
+        asked = vectors.sparkSession.createDataFrame([(c,) for c in by_cell], "cell bigint")
+        vectors = vectors.join(F.broadcast(asked), "cell", "left_semi")
     return vectors.select("cell", "vec_id", "vec").mapInArrow(scan, _HITS)
 
 
 def _meet_in_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    # one row per cell both sides have; the callers bound the number of cells
-    sizes = F.broadcast(
+    width = 8 * max(1, queries.agg(F.max(F.size("vec"))).first()[0] or 1)
+    # one row per cell both sides have
+    sizes = write_stage(
         vectors.groupBy("cell").agg(F.count("*").alias("n_vectors"))
         .join(queries.groupBy("cell").agg(F.count("*").alias("n_queries")), "cell")
         .select(
             "cell",
-            F.ceil(F.col("n_vectors") / VECTOR_BLOCK_ROWS).cast("int").alias("v_blocks"),
-            F.ceil(F.col("n_queries") / QUERY_BLOCK_ROWS).cast("int").alias("q_blocks"),
-        )
+            F.ceil(F.col("n_vectors") / max(1, VECTOR_BLOCK_BYTES // width)).cast("int").alias("v_blocks"),
+            F.ceil(F.col("n_queries") / max(1, QUERY_BLOCK_BYTES // width)).cast("int").alias("q_blocks"),
+        ),
+        "cell-sizes",
     )
+    if sizes.count() <= MAX_CELLS:
+        sizes = F.broadcast(sizes)
 
     def every(blocks):
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
@@ -181,17 +218,14 @@ def cell_top_k(
 ) -> DataFrame:
     """Candidates ``(query_id, vec_id, dot)`` that contain the k best of every query's cells.
 
-    ``vectors``: cell, vec_id, vec. ``queries``: cell, query_id, vec. All ids and cells are bigint, and
-    there are at most ``MAX_CELLS`` cells: lists of an index or hash buckets, a number that is chosen and
-    does not grow with the data.
+    ``vectors``: cell, vec_id, vec. ``queries``: cell, query_id, vec. All ids and cells are bigint.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     queries = queries.select("cell", "query_id", "vec")
-    if queries.count() <= max_sent_queries:
-        sent = queries.toArrow()
-        if sent.nbytes <= MAX_SENT_BYTES:
-            return _send_queries(vectors, sent, k)
+    rows, width = queries.agg(F.count("*"), F.max(F.size("vec"))).first()
+    if rows <= max_sent_queries and rows * (16 + 8 * (width or 0)) <= MAX_SENT_BYTES:
+        return _send_queries(vectors, queries.toArrow(), k)
     return _meet_in_blocks(vectors, queries, k)
 
 
@@ -213,3 +247,17 @@ def nearest_rows(df: DataFrame, vec: str, points: pa.Table, k: int, out: str) ->
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(best.vec))
 
     return df.withColumn(out, nearest(F.col(vec)))
+
+
+def nearest_of_many(df: DataFrame, id_col: str, vec: str, centroids: DataFrame, k: int) -> DataFrame:
+    """``id_col, cell``: the ids of the k best ``centroids`` (id, vec) for each row, however many there are.
+
+    ``id_col`` must be unique.
+    """
+    one = F.lit(0).cast("bigint").alias("cell")
+    found = cell_top_k(
+        centroids.select(one, F.col("id").alias("vec_id"), "vec"), df.select(one, F.col(id_col).alias("query_id"), F.col(vec).alias("vec")), k
+    )
+    order = W.partitionBy("query_id").orderBy(F.desc("dot"), F.asc("vec_id"))
+    best = found.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
+    return best.select(F.col("query_id").alias(id_col), F.col("vec_id").alias("cell"))

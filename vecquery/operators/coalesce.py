@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecquery.operators.joins import join_back
 from vecquery.operators.ordered import carried
 from vecquery.sources.tables import checkpointed
 
@@ -28,7 +29,7 @@ def run_once(requests: DataFrame, work: Callable[[DataFrame], DataFrame], carry:
     ``carry`` columns must depend on the key. Copies collapse map-side.
     """
     distinct = requests.groupBy("key").agg(*[F.first(c).alias(c) for c in carry])
-    return requests.drop(*carry).join(work(distinct), "key")
+    return join_back(requests.drop(*carry), work(distinct), ["key"])
 
 
 def leader_scan(

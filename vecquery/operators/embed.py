@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from vecquery.functions.keys import embedding_key
 from vecquery.functions.text import feature_counts
+from vecquery.operators.joins import join_back
 
 DEFAULT_DIM = 64
 
@@ -81,4 +82,4 @@ def embed_distinct(
     keyed = df.withColumn("emb_key", embedding_key(F.col(text)))
     distinct = keyed.groupBy("emb_key").agg(F.first(text).alias(text))
     vectors = embed(distinct).select("emb_key", out)
-    return keyed.join(vectors, "emb_key")
+    return join_back(keyed, vectors, ["emb_key"])

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecquery.functions.vectors import unit_vector
-from vecquery.operators.blocks import nearest_rows
+from vecquery.operators.blocks import nearest_of_many, nearest_rows
+from vecquery.operators.latency import ewma
+from vecquery.operators.ordered import even_bin
 from vecquery.sources.tables import write_stage
 
-MAX_LISTS = 65_536  # bound on the centroids that travel to every task
+MAX_LISTS = 65_536  # centroids that travel to every task; more are met in blocks
 
 
 def build_flat(embeddings: DataFrame) -> DataFrame:
@@ -47,18 +49,18 @@ def group_centroids(index: DataFrame, label: str = "label") -> DataFrame:
     return index.groupBy(F.col(label).cast("bigint").alias("centroid_id")).agg(mean.alias("centroid"))
 
 
-def centroid_table(centroids: DataFrame) -> pa.Table:
-    """Bring the centroids to the driver, refusing more than ``MAX_LISTS``."""
-    table = centroids.select(
-        F.col("centroid_id").alias("id"), F.col("centroid").alias("vec")
-    ).limit(MAX_LISTS + 1).toArrow()
-    if table.num_rows > MAX_LISTS:
-        raise ValueError(f"more than {MAX_LISTS} lists")
-    return table
+def centroid_table(centroids: DataFrame) -> pa.Table | DataFrame:
+    """The centroids (id, vec), brought to the driver up to ``MAX_LISTS`` and left as a table beyond."""
+    named = centroids.select(F.col("centroid_id").alias("id"), F.col("centroid").alias("vec"))
+    table = named.limit(MAX_LISTS + 1).toArrow()
+    return table if table.num_rows <= MAX_LISTS else write_stage(named, "centroids")
 
 
-def assign_lists(index: DataFrame, centroids: pa.Table) -> DataFrame:
+def assign_lists(index: DataFrame, centroids: pa.Table | DataFrame) -> DataFrame:
     """Add ``centroid_id``, the list whose centroid has the greatest dot product."""
+    if isinstance(centroids, DataFrame):
+        near = nearest_of_many(index, "vec_id", "unit_vec", centroids, 1)
+        return index.join(near.withColumnRenamed("cell", "centroid_id"), "vec_id").select(*index.columns, "centroid_id")
     near = nearest_rows(index, "unit_vec", centroids, 1, "lists")
     return near.withColumn("centroid_id", F.col("lists")[0]).drop("lists")
 
@@ -73,7 +75,7 @@ def store_lists(index: DataFrame) -> DataFrame:
     return stored.select(*index.columns)
 
 
-def add_vectors(index: DataFrame, embeddings: DataFrame, centroids: pa.Table | None = None) -> DataFrame:
+def add_vectors(index: DataFrame, embeddings: DataFrame, centroids: pa.Table | DataFrame | None = None) -> DataFrame:
     """Append new vectors; lists are assigned with the existing centroids, never retrained."""
     new = build_flat(embeddings)
     if centroids is not None:
@@ -82,13 +84,15 @@ def add_vectors(index: DataFrame, embeddings: DataFrame, centroids: pa.Table | N
 
 
 def describe(index: DataFrame, search_log: DataFrame, index_type: str, nprobe: int) -> DataFrame:
-    """One row: size, dimension, type and the searches made so far.
+    """One row: size, dimension, type, the searches made so far and their decayed mean time.
 
-    ``search_log``: latency_ms per search.
+    ``search_log``: ts_us, request_id, latency_ms per search.
     """
-    searches = search_log.agg(
-        F.struct(F.count("*").alias("n"), F.coalesce(F.round(F.avg("latency_ms"), 3), F.lit(0.0)).alias("ms"))
-    ).scalar()
+    timed = search_log.withColumn("_bin", even_bin(search_log, "ts_us"))
+    searches = ewma(timed, [], "_bin", ["ts_us", "request_id"], "latency_ms", "ms")
+    searches = searches.agg(F.struct(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.round(F.sum("ms"), 3), F.lit(0.0)).alias("ms")
+    )).scalar()
     return index.agg(
         F.count("*").alias("size"), F.coalesce(F.max(F.size("unit_vec")), F.lit(0)).alias("dimension")
     ).select(

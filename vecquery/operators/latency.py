@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vecquery.operators.joins import join_back
 from vecquery.operators.ordered import positions
 
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
@@ -15,24 +16,27 @@ DECAY = 0.9
 
 
 def percentiles(
-    log: DataFrame, keys: Sequence[str], value: str = "latency_ms", width: float = 1.0,
+    log: DataFrame, keys: Sequence[str], value: str = "latency_ms", bins: int = 256,
     wanted: dict[str, float] = PERCENTILES,
 ) -> DataFrame:
-    """Exact order statistics per group: the value at index ``int(n * p)``, with min, max and n.
+    """Exact order statistics per group: the value at index ``int(n * p)``, with min, max and n. Null values don't count.
 
-    Equal values collapse before the shuffle. Bins of ``width`` locate each wanted rank, and only the
-    bins that hold one are ordered, so no task ever holds a group. ``width`` is the finest step worth
-    telling apart: a task orders the distinct values of one bin.
+    Equal values collapse before the shuffle. ``bins`` ranges with equally many rows, from a quantile sketch of all values,
+    locate each wanted rank, and only the ranges that hold one are ordered, so no task ever holds a group, however
+    narrow the values lie.
     """
-    counts = log.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn(
-        "_bin", F.floor(F.col(value) / width)
+    known = log.filter(F.col(value).isNotNull())
+    cuts = known.select(F.col(value).cast("double").alias("x")).approxQuantile("x", [i / bins for i in range(1, bins)], 0.2 / bins)
+    bounds = F.lit(sorted(set(cuts)) or [0.0])
+    counts = known.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn(
+        "_bin", F.aggregate(bounds, F.lit(0), lambda n, b: n + (b < F.col(value)).cast("int"))
     )
-    bins = counts.groupBy(*keys, "_bin").agg(
+    ranges = counts.groupBy(*keys, "_bin").agg(
         F.sum("_n").alias("_in_bin"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
     group = W.partitionBy(*keys)
     upto = group.orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    bins = bins.select(
+    ranges = ranges.select(
         *keys, "_bin", "_in_bin",
         (F.sum("_in_bin").over(upto) - F.col("_in_bin")).alias("_before"),
         F.sum("_in_bin").over(group).alias("n"),
@@ -41,14 +45,14 @@ def percentiles(
     names = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(p).alias("p")) for name, p in wanted.items()
     ])
-    ranks = bins.select("*", F.explode(names).alias("_want")).select(
+    ranks = ranges.select("*", F.explode(names).alias("_want")).select(
         *keys, "_bin", "_before", "n", "min", "max", F.col("_want.name").alias("_name"),
         F.floor(F.col("n") * F.col("_want.p")).alias("_rank"), "_in_bin",
     ).filter("_before <= _rank AND _rank < _before + _in_bin")
     inside = W.partitionBy(*keys, "_bin", "_name").orderBy(value).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    reached = counts.join(ranks, [*keys, "_bin"]).withColumn(
+    reached = join_back(counts, ranks, [*keys, "_bin"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(inside)
     ).filter("_upto > _rank")
     return reached.groupBy(*keys).agg(

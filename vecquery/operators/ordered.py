@@ -13,6 +13,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vecquery.operators.joins import join_back
+
+
+#: Rows that one bin should get; bins are counted out from it.
+BIN_ROWS = 200_000
+MOST_BINS = 10_000
+
+
+def even_bin(df: DataFrame, column: str, rows: int = BIN_ROWS) -> Column:
+    """A bin column that does not decrease with ``column`` and gives bins of about ``rows`` rows each.
+
+    Bounds come from a quantile sketch of the data, so a burst is cut into as many bins as it needs. Rows with one
+    value share a bin. Null values get a bin of their own, before the others.
+    """
+    bins = min(MOST_BINS, -(-df.count() // rows))
+    if bins <= 1:
+        return F.when(F.col(column).isNull(), -1).otherwise(0).cast("bigint")
+    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", [i / bins for i in range(1, bins)], 0.1 / bins)
+    bounds = F.lit(sorted(set(cuts)))
+    below = F.aggregate(bounds, F.lit(0), lambda n, b: n + (b < F.col(column)).cast("int"))
+    return F.when(F.col(column).isNull(), -1).otherwise(below).cast("bigint")
+
 
 def time_bin(ts_us: Column, width_us: int) -> Column:
     """Bins this wide: a task orders one series' rows of one bin, the bin table is ordered per series."""
@@ -38,7 +60,7 @@ def running_total(
     bins = bins.select(*keys, bin_col, *[_bins_before(bins, keys, bin_col, f"_{out}").alias(f"_{out}") for out in totals])
     upto = W.partitionBy(*keys, bin_col).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = df.withColumns({out: F.sum(value).over(upto) for out, value in totals.items()})
-    return inside.join(bins, [*keys, bin_col]).withColumns(
+    return join_back(inside, bins, [*keys, bin_col]).withColumns(
         {out: F.col(out) + F.col(f"_{out}") for out in totals}
     ).drop("_all", *[f"_{out}" for out in totals])
 
@@ -55,7 +77,7 @@ def positions(
         F.sum("_rows").over(W.partitionBy(*keys)).alias(total),
     )
     ranked = df.withColumn("_place", F.row_number().over(W.partitionBy(*keys, bin_col).orderBy(*order)))
-    return ranked.join(bins, [*keys, bin_col]).withColumn(out, F.col("_before") + F.col("_place")).drop(
+    return join_back(ranked, bins, [*keys, bin_col]).withColumn(out, F.col("_before") + F.col("_place")).drop(
         "_before", "_place", "_all"
     )
 
@@ -80,6 +102,6 @@ def carried(
     bins = bins.select(*keys, bin_col, F.last("_edge", ignorenulls=True).over(earlier).alias("_edge"))
     inside = W.partitionBy(*keys, bin_col).orderBy(row_order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = df.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
-    return local.join(bins, [*keys, bin_col]).withColumn(out, F.coalesce("_local", "_edge")).drop(
+    return join_back(local, bins, [*keys, bin_col]).withColumn(out, F.coalesce("_local", "_edge")).drop(
         "_local", "_edge"
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.operators.ordered import positions
+from vecquery.operators.ordered import BIN_ROWS, even_bin, positions
 
 L1_TTL_MS = 5_000
 L2_TTL_MS = 60_000
@@ -115,16 +115,15 @@ def clean_expired(tier: DataFrame, now_us: int) -> DataFrame:
     return tier.filter(~((F.col("expires_us") > 0) & (F.col("expires_us") < now_us)))
 
 
-def keep_recent(tier: DataFrame, accesses: DataFrame, capacity: int, bin_us: int = 60_000_000) -> DataFrame:
+def keep_recent(tier: DataFrame, accesses: DataFrame, capacity: int, rows: int = BIN_ROWS) -> DataFrame:
     """The ``capacity`` most recently used keys (ties: smaller key); unused keys count by creation.
 
-    Keys are placed within time bins, so a large capacity needs no global sort.
+    Keys are placed within bins of about ``rows`` keys, so a large capacity needs no global sort.
     """
     used = accesses.groupBy("key").agg(F.max("ts_us").alias("_used"))
     recency = F.greatest(F.coalesce("_used", F.col("created_us")), F.col("created_us"))
-    dated = tier.join(used, "key", "left").withColumn("_used", recency).withColumn(
-        "_bin", -F.floor(F.col("_used") / bin_us)
-    )
+    dated = tier.join(used, "key", "left").withColumn("_used", recency)
+    dated = dated.withColumn("_bin", -even_bin(dated, "_used", rows))
     placed = positions(dated, [], "_bin", [F.desc("_used"), F.asc("key")], "_position", "_total")
     return placed.filter(F.col("_position") <= capacity).drop("_used", "_bin", "_position", "_total")
 

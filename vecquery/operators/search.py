@@ -46,8 +46,11 @@ def search_exact(
     return rank_hits(found, k)
 
 
-def probe_lists(queries: DataFrame, centroids: pa.Table, nprobe: int) -> DataFrame:
-    """One row per query and each of its ``nprobe`` nearest lists."""
+def probe_lists(queries: DataFrame, centroids: pa.Table | DataFrame, nprobe: int) -> DataFrame:
+    """One row per query and each of its ``nprobe`` nearest lists; centroids too many to send are met in blocks."""
+    if isinstance(centroids, DataFrame):
+        near = blocks.nearest_of_many(queries.select("query_id", "vec"), "query_id", "vec", centroids, nprobe)
+        return queries.select("query_id", "vec").join(near, "query_id").select("cell", "query_id", "vec")
     near = blocks.nearest_rows(queries, "vec", centroids, nprobe, "lists")
     # outer: an inner explode infers a filter on the list's size and runs the UDF once more
     return near.select(F.explode_outer("lists").alias("cell"), "query_id", "vec")
@@ -56,7 +59,7 @@ def probe_lists(queries: DataFrame, centroids: pa.Table, nprobe: int) -> DataFra
 def search_lists(
     index: DataFrame,
     queries: DataFrame,
-    centroids: pa.Table,
+    centroids: pa.Table | DataFrame,
     k: int,
     nprobe: int = 16,
     max_sent_queries: int = MAX_SENT_QUERIES,
@@ -110,9 +113,11 @@ def search_hashed(
     bits: int = 6,
     max_sent_queries: int = MAX_SENT_QUERIES,
 ) -> DataFrame:
-    """Exact ranking among vectors that share a hash bucket with the query in at least one band."""
-    if bands << bits > blocks.MAX_CELLS:
-        raise ValueError(f"more than {blocks.MAX_CELLS} buckets")
+    """Exact ranking among vectors that share a hash bucket with the query in at least one band.
+
+    A probe reads about ``bands / 2**bits`` of all vectors, so ``bits`` should grow with the logarithm of their number,
+    and ``bands`` with ``bits`` to keep the recall.
+    """
     found = blocks.cell_top_k(
         hash_cells(index.select("vec_id", F.col("unit_vec").alias("vec")), "vec", dim, bands, bits),
         hash_cells(queries.select("query_id", "vec"), "vec", dim, bands, bits),

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecquery.operators.latency import PERCENTILES, fixed, percentiles
-from vecquery.operators.ordered import positions, running_total
+from vecquery.operators.joins import join_back
+from vecquery.operators.ordered import BIN_ROWS, even_bin, positions, running_total
 
 SECOND_US = 1_000_000
 
@@ -46,11 +47,16 @@ def benchmark(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Run totals with latency percentiles, two decimals."""
     spread = percentiles(log, keys).drop("n")
     shown = [F.round(c, 2).alias(f"latency_{c}_ms") for c in ("min", "max", *PERCENTILES)]
-    return run_totals(log, keys).join(spread.select(*keys, *shown), list(keys))
+    return join_back(run_totals(log, keys), spread.select(*keys, *shown), keys, "left")
 
 
-def sweep(log: DataFrame) -> DataFrame:
-    """One named benchmark row per hot ratio (text) and concurrency."""
+def sweep(log: DataFrame, warmup: int | None = 0) -> DataFrame:
+    """One named benchmark row per hot ratio (text) and concurrency.
+
+    ``warmup`` requests of each run are dropped first; None drops max(50, a tenth of the run), as a load test does.
+    """
+    if warmup != 0:
+        log = trim_warmup(log, ["hot", "concurrency"], warmup)
     name = F.concat(F.lit("concurrency="), F.col("concurrency").cast("string"), F.lit("_hot="), F.col("hot"))
     return benchmark(log, ["hot", "concurrency"]).withColumn("name", name)
 
@@ -58,6 +64,7 @@ def sweep(log: DataFrame) -> DataFrame:
 def summary_text(results: DataFrame) -> DataFrame:
     """The report lines of each benchmark row; the cache line only where there were hits."""
     percent = F.lit(100)
+    # The labels of the report.
     lines = [
         F.concat(F.lit("=== "), F.col("name"), F.lit(" ===")),
         F.concat(F.lit("  请求数: "), F.col("total_requests").cast("string"),
@@ -83,17 +90,17 @@ def summary_text(results: DataFrame) -> DataFrame:
 def progress(log: DataFrame, tick_sec: int) -> DataFrame:
     """State at the end of every tick since the first request, quiet ticks included.
 
-    Requests are counted per tick first; what is ordered afterwards has one row per tick.
+    Requests are counted per tick first; what is ordered afterwards has one row per tick. Ticks come from a range, so
+    no row holds them all.
     """
     width = tick_sec * SECOND_US
-    start = log.agg(F.min("ts_us")).scalar()
-    counted = log.groupBy(F.floor((F.col("ts_us") - start) / width).alias("slot")).agg(
+    start, last = log.agg(F.min("ts_us"), F.max("ts_us")).first()
+    spark = log.sparkSession
+    slots = 0 if start is None else (last - start) // width + 1
+    counted = log.groupBy(F.floor((F.col("ts_us") - F.lit(start)) / width).alias("slot")).agg(
         F.count_if("ok").alias("_done"), F.count_if(~F.col("ok")).alias("_failed")
     )
-    ticks = log.agg(F.floor((F.max("ts_us") - F.min("ts_us")) / width).alias("last")).select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))).alias("slot")
-    )
-    every = ticks.join(counted, "slot", "left").select(
+    every = spark.range(slots).withColumnRenamed("id", "slot").join(counted, "slot", "left").select(
         "slot", F.coalesce("_done", F.lit(0)).alias("_done"), F.coalesce("_failed", F.lit(0)).alias("_failed"),
         F.floor(F.col("slot") / 3600).alias("_bin"),
     )
@@ -128,19 +135,20 @@ def hot_queries(log: DataFrame, query: str, top: int) -> DataFrame:
     return best.select(query, "requests", F.round(share, 6).alias("share"))
 
 
-def in_flight(log: DataFrame, bin_us: int, start: str = "start_us", end: str = "end_us") -> DataFrame:
+def in_flight(log: DataFrame, start: str = "start_us", end: str = "end_us", rows: int = BIN_ROWS) -> DataFrame:
     """Open requests right after each change of load; an ending request leaves before one starts."""
     opened = log.select(F.col(start).alias("at_us"), F.lit(1).alias("change"))
     closed = log.select(F.col(end).alias("at_us"), F.lit(-1).alias("change"))
     changes = opened.unionByName(closed).groupBy("at_us").agg(
         F.sum("change").alias("change"), F.count_if(F.col("change") == 1).alias("started")
-    ).withColumn("_bin", F.floor(F.col("at_us") / bin_us))
+    )
+    changes = changes.withColumn("_bin", even_bin(changes, "at_us", rows))
     return running_total(changes, [], "_bin", ["at_us"], {"open": "change"}).select("at_us", "started", "open")
 
 
-def trim_warmup(log: DataFrame, keys: Sequence[str], bin_us: int, warmup: int | None = None) -> DataFrame:
+def trim_warmup(log: DataFrame, keys: Sequence[str], warmup: int | None = None, rows: int = BIN_ROWS) -> DataFrame:
     """Drop the first ``warmup`` requests of each run, by default max(50, a tenth of the run)."""
-    timed = log.withColumn("_bin", F.floor(F.col("ts_us") / bin_us))
+    timed = log.withColumn("_bin", even_bin(log, "ts_us", rows))
     placed = positions(timed, keys, "_bin", ["ts_us", "request_id"], "_position", "_total")
     cut = F.lit(warmup) if warmup is not None else F.greatest(F.lit(50), F.floor(F.col("_total") / 10))
     return placed.filter(F.col("_position") > cut).drop("_bin", "_position", "_total")

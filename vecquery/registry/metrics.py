@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecquery.operators import latency, throughput
-from vecquery.operators.ordered import time_bin
+from vecquery.operators.joins import join_back
+from vecquery.operators.ordered import even_bin, time_bin
 from vecquery.sources.tables import read_table
 
 HOUR_US = 3_600_000_000
-MINUTE_US = 60_000_000
 LEVELS = [1, 5, 10, 25, 50, 100, 200, 500]  # fixed values: default concurrency levels
 TARGET_OPS = 50_000
 TICK_SEC = 60
@@ -45,7 +45,21 @@ def latency_percentiles(spark, folder):
 
 
 def latency_percentiles_approx(spark, folder):
-    return latency.percentiles_approx(request_log(spark, folder), ["event_type"])
+    """For each sketched percentile, whether its rank among the values is as near the wanted one as promised."""
+    log = request_log(spark, folder)
+    found = latency.percentiles_approx(log, ["event_type"])
+    names = list(latency.PERCENTILES)
+    ranks = join_back(log.select("event_type", "latency_ms"), found, ["event_type"]).groupBy("event_type", "n").agg(*[
+        F.struct(F.count_if(F.col("latency_ms") < F.col(p)).alias("below"), F.count_if(F.col("latency_ms") <= F.col(p)).alias("upto")).alias(p)
+        for p in names
+    ])
+    slack = F.col("n") / 10_000 + 1
+
+    def near(p: str, share: float):
+        wanted = F.col("n") * share
+        return ((F.col(p)["below"] <= wanted + slack) & (F.col(p)["upto"] >= wanted - slack)).alias(f"{p}_near")
+
+    return ranks.select("event_type", "n", *[near(p, latency.PERCENTILES[p]) for p in names])
 
 
 def benchmark_summary(spark, folder):
@@ -53,7 +67,7 @@ def benchmark_summary(spark, folder):
 
 
 def benchmark_sweep(spark, folder):
-    return throughput.sweep(request_log(spark, folder)).orderBy("hot", "concurrency")
+    return throughput.sweep(request_log(spark, folder), warmup=None).orderBy("hot", "concurrency")
 
 
 def stage_latency(spark, folder):
@@ -62,7 +76,8 @@ def stage_latency(spark, folder):
 
 
 def ewma(spark, folder):
-    log = request_log(spark, folder).withColumn("bin", time_bin(F.col("ts_us"), MINUTE_US))
+    log = request_log(spark, folder)
+    log = log.withColumn("bin", even_bin(log, "ts_us"))
     made = latency.ewma(log, ["event_type"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_ms")
     return _rounded(made, ["avg_ms"], 6)
 
@@ -70,9 +85,9 @@ def ewma(spark, folder):
 def search_log_latency(spark, folder):
     """Latency as shown on hits (three decimals) and its decayed average per user."""
     log = request_log(spark, folder).filter("ok").select(
-        "user_id", "request_id", "ts_us", F.round("latency_ms", 3).alias("latency_ms"),
-        time_bin(F.col("ts_us"), MINUTE_US).alias("bin"),
+        "user_id", "request_id", "ts_us", F.round("latency_ms", 3).alias("latency_ms")
     )
+    log = log.withColumn("bin", even_bin(log, "ts_us"))
     made = latency.ewma(log, ["user_id"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_search_time_ms")
     return _rounded(made, ["avg_search_time_ms"], 3)
 
@@ -95,7 +110,7 @@ def in_flight(spark, folder):
         F.col("ts_us").alias("start_us"),
         (F.col("ts_us") + F.round(F.col("latency_ms") * 60_000_000).cast("bigint")).alias("end_us"),
     )
-    return throughput.in_flight(log, MINUTE_US)
+    return throughput.in_flight(log)
 
 
 def embedding_stats(spark, folder):
@@ -107,7 +122,7 @@ def embedding_stats(spark, folder):
 
 
 def warmup_trim(spark, folder):
-    kept = throughput.trim_warmup(request_log(spark, folder), ["event_type"], MINUTE_US)
+    kept = throughput.trim_warmup(request_log(spark, folder), ["event_type"])
     return kept.select("event_type", "request_id")
 
 
@@ -149,9 +164,13 @@ ENTRIES = {
     "latency_percentiles": (latency_percentiles, f"""
 WITH {LOG} SELECT event_type, count(*) AS n, round(min(latency_ms), 2) AS min, round(max(latency_ms), 2) AS max,
   {_at(0.5)} AS p50, {_at(0.95)} AS p95, {_at(0.99)} AS p99 FROM log GROUP BY event_type"""),
-    "latency_percentiles_approx": (latency_percentiles_approx, None),
+    "latency_percentiles_approx": (latency_percentiles_approx, f"""
+WITH {LOG} SELECT event_type, count(*) AS n, true AS p50_near, true AS p95_near, true AS p99_near FROM log GROUP BY 1"""),
     "benchmark_summary": (benchmark_summary, f"WITH {LOG} SELECT run, {_TOTALS} FROM log GROUP BY run"),
-    "benchmark_sweep": (benchmark_sweep, f"WITH {LOG} {_SWEEP}"),
+    "benchmark_sweep": (benchmark_sweep, f"""
+WITH {LOG.replace("log AS", "whole AS", 1)}, log AS (SELECT * FROM whole QUALIFY
+  row_number() OVER (PARTITION BY hot, concurrency ORDER BY ts_us, request_id)
+  > greatest(50, count(*) OVER (PARTITION BY hot, concurrency) // 10)) {_SWEEP}"""),
     "stage_latency": (stage_latency, f"""
 WITH {LOG} SELECT 'embedding' AS stage, count(*) AS processed, round(avg(latency_ms), 2) AS avg_ms FROM log
 UNION ALL SELECT 'vector_search', count(*), round(avg(k), 2) FROM log"""),

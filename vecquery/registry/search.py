@@ -180,7 +180,22 @@ def knn_metadata(spark, folder):
 
 
 def ivf_train(spark, folder):
-    return index.train_centroids(stored(spark, folder), nlist=512)
+    """What holds for any trained lists: their number and dimension, and that every vector is in one of them."""
+    flat = stored(spark, folder).drop("label")
+    trained = index.train_centroids(flat, nlist=512)
+    sizes = index.list_sizes(index.assign_lists(flat, index.centroid_table(trained)))
+    held = sizes.join(trained, "centroid_id").agg(F.coalesce(F.sum("n_vectors"), F.lit(0)))
+    return trained.agg(
+        F.count("*").alias("n_lists"), F.max(F.size("centroid")).cast("bigint").alias("dimension")
+    ).withColumn("n_vectors", held.scalar())
+
+
+def knn_ivf_trained(spark, folder):
+    """Trained lists, all of them probed: the hits are those of the exact search."""
+    flat = stored(spark, folder).drop("label")
+    centroids = index.centroid_table(index.train_centroids(flat, nlist=64))
+    lists = index.store_lists(index.assign_lists(flat, centroids))
+    return _shown(search.search_lists(lists, vector_queries(spark, folder), centroids, 5, centroids.num_rows))
 
 
 def ivf_assign(spark, folder):
@@ -213,10 +228,14 @@ def index_add(spark, folder):
 
 
 def index_stats(spark, folder):
-    log = read_table(spark, folder, "events").filter(F.col("event_type") == "view")
-    return index.describe(
-        stored(spark, folder), log.select(F.col("value").alias("latency_ms")), "flat", 16
-    ).withColumn("dimension", F.col("dimension").cast("bigint")).withColumn("nprobe", F.col("nprobe").cast("bigint"))
+    """Every request of the log is a search."""
+    log = read_table(spark, folder, "events").select(
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col("event_id").alias("request_id"),
+        F.col("value").alias("latency_ms"),
+    )
+    return index.describe(stored(spark, folder), log, "flat", 16).withColumn(
+        "dimension", F.col("dimension").cast("bigint")
+    ).withColumn("nprobe", F.col("nprobe").cast("bigint"))
 
 
 def index_list_sizes(spark, folder):
@@ -296,7 +315,10 @@ WITH {sql.INDEX}, h AS ({sql.top_k(_ALL_PAIRS, 5)})
 SELECT query_id, rank, {_PAD.replace('doc_id', 'd.doc_id')} AS id,
   CASE WHEN l.doc_id IS NULL THEN 0 ELSE 2 END::BIGINT AS n_metadata, l.quality::VARCHAR AS quality
 FROM h JOIN documents d ON d.doc_id = h.vec_id LEFT JOIN labels l ON l.doc_id = d.doc_id"""),
-    "ivf_train": (ivf_train, None),
+    "ivf_train": (ivf_train, """
+SELECT least(512, greatest(1, count(*) // 10)) AS n_lists, max(len(embedding)) AS dimension, count(*) AS n_vectors
+FROM embeddings"""),
+    "knn_ivf_trained": (knn_ivf_trained, f"WITH {sql.INDEX} {sql.top_k(_ALL_PAIRS, 5)}"),
     "ivf_assign": (ivf_assign, f"""
 WITH {sql.INDEX}, {_centroids('ix')} SELECT vec_id, centroid_id FROM ({_assigned('ix')})"""),
     "knn_ivf": (knn_ivf, f"""
@@ -315,8 +337,8 @@ SELECT vec_id, centroid_id FROM ({_assigned('ix')})"""),
     "index_stats": (index_stats, """
 SELECT (SELECT count(*) FROM embeddings) AS size, 'flat' AS index_type,
   (SELECT max(len(embedding)) FROM embeddings) AS dimension, 16::BIGINT AS nprobe,
-  count(*) AS total_searches, round(avg(value), 3) AS avg_search_time_ms
-FROM events WHERE event_type = 'view'"""),
+  count(*) AS total_searches, round(sum(0.1::DOUBLE * pow(0.9::DOUBLE, n - i) * value), 3) AS avg_search_time_ms
+FROM (SELECT value, row_number() OVER (ORDER BY ts, event_id) AS i, count(*) OVER () AS n FROM events)"""),
     "index_list_sizes": (index_list_sizes, f"""
 WITH {sql.INDEX}, {_centroids('ix')} SELECT centroid_id, count(*) AS n_vectors FROM ({_assigned('ix')}) GROUP BY 1"""),
 }
