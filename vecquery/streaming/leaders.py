@@ -1,4 +1,4 @@
-"""The leader scan as a keyed state operator: one running leader per key."""
+"""The leader scan as a keyed state operator: rows wait until the watermark has passed them, then lead in order."""
 
 from __future__ import annotations
 
@@ -11,24 +11,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SCANNED = "key string, ts_us bigint, id bigint, leader_id bigint, leader_ts_us bigint, is_leader boolean"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class LeaderState(StatefulProcessor):
-    """State per key: the leader and the first instant at which another event may lead.
+    """State per key: rows that wait, in no order, and the leader with the first instant at which another may lead.
 
-    A timer at that instant forgets the leader once the watermark has passed it: whatever still comes
-    would lead anyway.
+    A timer at the earliest waiting instant releases what the watermark has passed, in (time, id) order; whatever still comes
+    is later. So neither the order of files nor the cut into micro-batches changes the result.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.leader = handle.getValueState("leader", "id bigint, ts_us bigint, free_us bigint")
+        self.waiting = handle.getListState("waiting", "ts_us bigint, id bigint, free_us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # one key's rows of one micro-batch, bounded by the source's per-trigger limit
-        batch = pd.concat(rows).sort_values(["ts_us", "id"], ignore_index=True)
-        ts, ids, free = (batch[c].to_numpy() for c in ("ts_us", "id", "free_us"))
+        for part in rows:
+            new = list(zip(*(part[c].tolist() for c in ("ts_us", "id", "free_us")), strict=True))
+            self.waiting.appendList(new)
+            self._wake(min(new)[0], timerValues)
+        return iter(())
+
+    def _wake(self, ts_us: int, timerValues) -> None:
+        # the watermark must be past the instant, so that no other row of that instant can come
+        self.handle.registerTimer(max(ts_us // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        n = int(np.searchsorted(np.array([h[0] for h in held], dtype=np.int64), passed_us, side="left"))
+        if n < len(held):
+            self.waiting.put(held[n:])
+            self._wake(held[n][0], timerValues)
+        else:
+            self.waiting.clear()
+        if n:
+            yield self._scan(key, held[:n])
+
+    def _scan(self, key, rows: list[tuple]) -> pd.DataFrame:
+        ts, ids, free = (np.array(c, dtype=np.int64) for c in zip(*rows, strict=True))
         known = self.leader.get() if self.leader.exists() else None
         leader_id, leader_ts = np.empty(len(ts), np.int64), np.empty(len(ts), np.int64)
         leads = np.zeros(len(ts), dtype=bool)
@@ -36,30 +58,25 @@ class LeaderState(StatefulProcessor):
         if known is not None:
             at = int(np.searchsorted(ts, known[2]))
             leader_id[:at], leader_ts[:at] = known[0], known[1]
-        while at < len(ts):
+        while at < len(ts):  # one step per leader
             end = max(int(np.searchsorted(ts, free[at])), at + 1)
             leader_id[at:end], leader_ts[at:end], leads[at] = ids[at], ts[at], True
             known, at = (int(ids[at]), int(ts[at]), int(free[at])), end
-        if leads.any():
-            self.leader.update(known)
-            self.handle.registerTimer(-(-known[2] // 1000))
-        yield pd.DataFrame({
+        self.leader.update(tuple(known))
+        return pd.DataFrame({
             "key": key[0], "ts_us": ts, "id": ids, "leader_id": leader_id, "leader_ts_us": leader_ts, "is_leader": leads,
         })
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.leader.exists() and self.leader.get()[2] <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
-            self.leader.clear()
-        return iter(())
-
     def close(self) -> None:
         pass
 
 
 def leader_stream(events: DataFrame, closed: bool, delay: str = "10 minutes") -> DataFrame:
-    """Stream of key, ts (timestamp), id, span_us -> leader scan. Rows later than ``delay`` are dropped."""
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Stream of key, ts (timestamp), id, span_us -> leader scan.
+
+    A row is emitted once the watermark has passed it; rows later than ``delay`` are dropped. The session must keep state
+    in the RocksDB store (``spark.sql.streaming.stateStore.providerClass``), which this operator does not set.
+    """
     ts_us = F.unix_micros("ts")
     timed = events.withWatermark("ts", delay).select(
         "key", "ts", ts_us.alias("ts_us"), "id", (ts_us + F.col("span_us") + (1 if closed else 0)).alias("free_us")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vecquery.sources.tables import new_path
 
@@ -19,6 +20,28 @@ def file_stream(
     return reader.parquet(folder)
 
 
+def replayed(rows: DataFrame, ts: str, parts: int, marker: dict) -> DataFrame:
+    """``rows`` as a stream of ``parts`` files in time order, one micro-batch each, and a last file that ends the time.
+
+    The last file has one row, ``marker`` (column values; others null), later than all others by ten years, so that the
+    watermark passes every row and nothing is left open. The caller drops what the marker gives.
+    """
+    spark = rows.sparkSession
+    path = new_path(spark, "replay")
+    seconds = F.unix_seconds(ts)
+    cuts = rows.select(seconds.cast("double").alias("s")).approxQuantile("s", [i / parts for i in range(1, parts)], 0.001)
+    last = rows.agg(F.max(ts)).first()[0]
+    slot = F.aggregate(F.lit(sorted(set(cuts)) or [0.0]), F.lit(0), lambda n, c: n + (c < seconds).cast("int"))
+    for i in range(parts):  # one file after another, so that their times differ
+        rows.filter(slot == i).coalesce(1).write.mode("append").parquet(path)
+    end = [F.lit(marker[f.name]).cast(f.dataType).alias(f.name) if f.name in marker else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+    ended = spark.range(1 if last is not None else 0).select(*end).withColumn(
+        ts, (F.lit(last) + F.expr("INTERVAL 10 YEARS")).cast(rows.schema[ts].dataType)
+    )
+    ended.write.mode("append").parquet(path)
+    return file_stream(spark, path, "*.parquet", rows.schema, 1)
+
+
 def drain(stream: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Append everything available now to a Parquet table and read that table."""
     spark = stream.sparkSession
@@ -38,8 +61,10 @@ def drain_batches(stream: DataFrame, label: str, work: Callable[[DataFrame], Dat
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read several times by the work
-        work(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            work(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)
