@@ -46,7 +46,7 @@ def stream_coalesce(spark, folder):
         F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("id"),
         F.lit(3 * results.DAY_US).alias("span_us"),
     )
-    stream = runs.replayed(log, "ts", 4, {"id": -1, "span_us": 0})
+    stream = runs.replayed(log, "ts", 2, {"id": -1, "span_us": 0})
     made = runs.drain(leaders.leader_stream(stream, closed=True), "leaders")
     return made.filter("key IS NOT NULL").select("key", "id", "leader_id", "is_leader")
 
