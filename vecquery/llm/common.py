@@ -27,6 +27,24 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def thinned(rows: DataFrame, key: Column, wanted: int, count: int) -> DataFrame:
+    """Rows that a hash of ``key`` picks, about four times ``wanted`` of ``count``, or all if there are fewer.
+
+    A sample is then taken from these in a fixed order, so what reaches the driver doesn't grow with the table.
+    """
+    share = 4 * wanted / max(1, count)
+    if share >= 1:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(key, F.lit("thin")), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
+def hashed_sample(rows: DataFrame, text: str, wanted: int) -> list[str]:
+    """At most ``wanted`` different values of a text column, chosen by their hash."""
+    table = rows.select(text)
+    few = thinned(table, F.xxhash64(text), wanted, table.count()).distinct()
+    return [r[0] for r in few.orderBy(F.xxhash64(text), text).limit(wanted).collect()]
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """CRC-32 of the id written as text."""
     return F.crc32(F.col(column).cast("string"))
@@ -41,6 +59,14 @@ class Sample:
     totals: tuple[int, int]
 
 
+def every_nth(labels: np.ndarray, n: int) -> np.ndarray:
+    """Marks every n-th row of each class, so that parts of a sample hold all classes."""
+    out = np.zeros(len(labels), dtype=bool)
+    for y in np.unique(labels):
+        out[np.flatnonzero(labels == y)[::n]] = True
+    return out
+
+
 def labelled_ids(labels: DataFrame, label: str, usable: Column) -> DataFrame:
     """``doc_id, y``: one row per usable labelled id; ids with contradictory or null labels are left out."""
     return (
@@ -71,7 +97,8 @@ def labelled_sample(
     chosen: dict[int, int] = {}
     for y in (0, 1):
         left, seen = most_chars // 2, set()
-        for r in rows.filter(F.col("y") == y).orderBy("o", "doc_id").limit(per_class[y]).collect():
+        few = thinned(rows.filter(F.col("y") == y), F.col("o"), per_class[y], totals.get(y, 0))
+        for r in few.orderBy("o", "doc_id").limit(per_class[y]).collect():
             if r["h"] in seen or r["n"] > left:
                 continue
             seen.add(r["h"])

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import slices
+from vecquery.llm.common import hashed_sample, slices
 from vecquery.llm.pii_model import Network, Tagger, codes, runs, train
 from vecquery.llm.pii_patterns import KINDS, Span, base_spans, is_card, is_phone, listed, luhn, ordered
 
@@ -140,9 +140,8 @@ def examples(texts: list[str], count: int = EXAMPLES, chars: int = EXAMPLE_CHARS
 
 def train_network(documents: DataFrame, seed: int = 0) -> Network:
     """A network trained on labelled pieces of a bounded sample, chosen by a hash of the text."""
-    rows = documents.select("text").filter("text <> ''").select("text", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    rows = rows.filter(F.col("n") <= SAMPLE_CHARS // SAMPLE_TEXTS)
-    texts = [r["text"] for r in rows.orderBy("h", "text").limit(SAMPLE_TEXTS).collect()]
+    rows = documents.filter(F.length("text").between(1, SAMPLE_CHARS // SAMPLE_TEXTS))
+    texts = hashed_sample(rows, "text", SAMPLE_TEXTS)
     return train(examples(texts, seed=seed), seed=seed)
 
 
