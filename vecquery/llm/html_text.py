@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import fit_logistic
+from vecquery.llm.common import fit_logistic, hashed_sample
 from vecquery.llm.html_parse import BIT, FLAGS, Piece, parse
 
 #: Bounds of the sample of pages that weights are learned from.
@@ -184,8 +184,8 @@ def _word_weight(mask: int, weights: Weights) -> float:
 
 def learn_from(pages: DataFrame) -> Weights:
     """Weights learned with a bounded sample of the pages, chosen by a hash of the page."""
-    rows = pages.select("html").filter(F.length("html").between(1, SAMPLE_PAGE_CHARS))
-    return learn([r["html"] for r in rows.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()])
+    rows = pages.filter(F.length("html").between(1, SAMPLE_PAGE_CHARS))
+    return learn(hashed_sample(rows, "html", SAMPLE_PAGES))
 
 
 def text_column(weights: Weights, html: str = "html") -> Column:
