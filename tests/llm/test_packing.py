@@ -105,3 +105,25 @@ def test_kept_ids_and_many_equal_lengths(spark, monkeypatch):
             rooms.append(32 - n)
     assert check(got, 32) <= len(rooms) * 1.1 + 2
     assert len({(r["doc_id"], r["piece"]) for r in got}) == len(got)
+
+
+def test_short_pieces_fill_exactly(spark):
+    """Plans use exact lengths: as few sequences as the tokens need, and no room lost to rounding."""
+    draw = np.random.default_rng(2)
+    for made in ({1: 40_000}, {5: 10_000}, {2_045: 7, 3: 7}, {1: 9_000, 1_300: 500, 700: 480, 9: 3_000}, {n: int(draw.integers(1, 90)) for n in range(1, 300)}):
+        counts = np.zeros(packing.SIZE + 1, dtype=np.int64)
+        for n, m in made.items():
+            counts[n] = m
+        used = np.zeros_like(counts)
+        total = 0
+        for run, times in packing.plan_runs(counts):
+            assert times > 0 and sum(n * m for n, m in run.items()) <= packing.SIZE
+            for n, m in run.items():
+                used[n] += m * times
+            total += times
+        assert (used == counts).all()
+        least = -(-int((np.arange(packing.SIZE + 1) * counts).sum()) // packing.SIZE)
+        assert total <= least * 1.001 + 1
+    docs = spark.createDataFrame([(i, ("", None, "stone", "stone bridge")[i % 4]) for i in range(4_000)], "doc_id bigint, text string")
+    got = packing.pack_documents(docs, PATH).collect()
+    assert check(got, packing.SIZE) == -(-sum(r["length"] for r in got) // packing.SIZE)

@@ -1,13 +1,13 @@
 """Best-fit packing of token pieces by patterns.
 
 Documents become pieces of at most ``size`` tokens; only longer documents are cut. What the plan needs of the
-pieces is their histogram over length classes of ``GRAIN`` tokens, whose size does not depend on the data.
-Patterns of one to three classes that fill a sequence are enumerated, their repeat counts are fitted to the
-histogram by non-negative least squares and rounded, and what is left over is packed by best fit, largest first,
-again as patterns with repeat counts. A plan row then says: pieces of this class with ranks from ... to ... go to
-sequences from ... on, so many to each.
+pieces is the histogram of their lengths, whose size does not depend on the data. Patterns of one to three length
+classes of ``GRAIN`` tokens that fill a sequence are enumerated, and their repeat counts are fitted by non-negative
+least squares and rounded. Everything else is planned on exact lengths: what is left over and all pieces of about
+``SHORT`` tokens or fewer go by best fit, largest first, into the room the patterns leave and then into new sequences. If best fit without patterns needs fewer sequences, its plan is taken. A plan row then says: pieces of
+this length with ranks from ... to ... go to sequences from ... on, so many to each.
 
-Ranks within a class are numbered in two levels (class and hash chunk, then an offset per chunk), so a
+Ranks within a length are numbered in two levels (length and hash chunk, then an offset per chunk), so a
 length that a third of all pieces share is numbered by many tasks. Places within a sequence follow from the
 lengths of at most ``size`` pieces.
 
@@ -18,6 +18,8 @@ once each; an empty table gives no pieces. Extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +34,10 @@ from vecquery.llm.tokens import word_tokenizer
 from vecquery.sources.tables import write_stage
 
 SIZE = 2_048
-#: Lengths are planned in classes of so many tokens.
+#: Patterns are fitted to length classes of so many tokens.
 GRAIN = 4
+#: Pieces up to this length are put in by no pattern; they fill the room that is left.
+SHORT = 64
 #: Rows a numbering group should not exceed.
 CHUNK_ROWS = 50_000
 _RANK_BITS = 40
@@ -114,44 +118,85 @@ def fit_counts(pattern: np.ndarray, wanted: np.ndarray, rounds: int = 1_500) ->
     return x
 
 
-def plan_runs(counts: np.ndarray) -> list[tuple[dict[int, int], int]]:
-    """Runs ({class: pieces of it in a sequence}, number of sequences) that use up ``counts`` (entry 0 unused)."""
-    classes = len(counts) - 1
-    left = counts.astype(np.int64).copy()
-    runs: list[tuple[dict[int, int], int]] = []
+Run = tuple[dict[int, int], int]
 
-    def use(made: dict[int, int], times: int) -> None:
-        runs.append((made, times))
-        for c, m in made.items():
-            left[c] -= m * times
 
-    pattern = patterns(classes)
-    fitted = fit_counts(pattern, counts.astype(float))
+def fitted_runs(left: np.ndarray, grain: int) -> list[Run]:
+    """Runs of fitted patterns, in exact lengths; takes what they use from ``left``."""
+    size = len(left) - 1
+    wanted = np.bincount(-(-np.arange(size + 1) // grain), weights=left, minlength=size // grain + 1)
+    least = -(-min(SHORT, size // 4) // grain)
+    pattern = patterns(size // grain)
+    fitted = fit_counts(pattern, wanted)
+    runs: list[Run] = []
     for j in np.argsort(-fitted, kind="stable"):
         times = int(np.floor(fitted[j] + 1e-6))
         if not times:
             break
-        made = {int(c): int(m) for c, m in zip(*np.unique(pattern[j][pattern[j] > 0], return_counts=True), strict=True)}
-        times = min(times, *(int(left[c]) // m for c, m in made.items()))
-        if times > 0:
-            use(made, times)
-    while left[1:].any():  # residuals, largest first, each gap filled with the largest class that fits
-        made, room = {}, classes
-        while room:
-            fits = [c for c in np.flatnonzero(left[: room + 1]) if c and left[c] > made.get(int(c), 0)]
-            if not fits:
-                break
-            c = int(fits[-1])
-            m = min(room // c, int(left[c]) - made.get(c, 0))
-            made[c] = made.get(c, 0) + m
-            room -= m * c
-        use(made, min(int(left[c]) // m for c, m in made.items()))
+        made = Counter(c for c in pattern[j].tolist() if c > least)  # shorter pieces come by best fit
+        if not made:
+            continue
+        times = min(times, *(int(wanted[c]) // m for c, m in made.items()))
+        for c, m in made.items():
+            wanted[c] -= m * times
+        while times > 0:  # the longest piece of each class that is left; a run ends with the first length used up
+            own: Counter = Counter()
+            for c, m in made.items():
+                for n in range(c * grain, (c - 1) * grain, -1):
+                    own[n] = min(m - sum(own[k] for k in range(n + 1, c * grain + 1)), int(left[n]))
+            own = +own
+            often = min(times, *(int(left[n]) // m for n, m in own.items()))
+            for n, m in own.items():
+                left[n] -= m * often
+            runs.append((dict(own), often))
+            times -= often
     return runs
 
 
+def best_fit(left: np.ndarray, runs: list[Run]) -> list[Run]:
+    """``runs`` with all of ``left`` added, largest first, each piece where the least room is that holds it.
+
+    Sequences that look alike are one run; a sequence that takes a piece has the least room for the next of its length.
+    """
+    size = len(left) - 1
+    rooms: dict[int, list[Run]] = {}
+    for made, times in runs:
+        rooms.setdefault(size - sum(n * m for n, m in made.items()), []).append((made, times))
+    order = sorted(rooms)
+    for n in np.flatnonzero(left)[::-1].tolist():
+        wanted = int(left[n])
+        while wanted:
+            at = bisect_left(order, n)
+            made, times, room = {}, wanted, size
+            if at < len(order):
+                room = order[at]
+                made, times = rooms[room].pop()
+                if not rooms[room]:
+                    del rooms[room], order[at]
+            m = min(room // n, wanted)
+            often = min(times, wanted // m)
+            wanted -= m * often
+            kept = [(room, (made, times - often))] if made and times > often else []
+            for rest, run in [*kept, (room - m * n, (made | {n: m}, often))]:
+                if rest not in rooms:
+                    insort(order, rest)
+                rooms.setdefault(rest, []).append(run)
+    return [run for room in order for run in rooms[room]]
+
+
+def plan_runs(counts: np.ndarray, grain: int = GRAIN) -> list[Run]:
+    """Runs ({length: pieces of it in a sequence}, number of sequences) that use up ``counts`` (entry 0 unused)."""
+    left = counts.astype(np.int64)
+    left[0] = 0
+    plain = best_fit(left, [])
+    rest = left.copy()
+    fitted = fitted_runs(rest, grain)
+    return min(best_fit(rest, fitted), plain, key=lambda runs: sum(times for _, times in runs))
+
+
 @dataclass(frozen=True)
 class Plan:
-    """Sorted by key: class and first rank, with the first sequence and the pieces for each sequence."""
+    """Sorted by key: length and first rank, with the first sequence and the pieces for each sequence."""
 
     keys: np.ndarray
     sequences: np.ndarray
@@ -163,10 +208,10 @@ class Plan:
         return self.sequences[at] + (key - self.keys[at]) // self.each[at]
 
 
-def make_plan(counts: np.ndarray) -> Plan:
+def make_plan(counts: np.ndarray, grain: int = GRAIN) -> Plan:
     used = np.zeros(len(counts), dtype=np.int64)
     rows, sequence = [], 0
-    for made, times in plan_runs(counts):
+    for made, times in plan_runs(counts, grain):
         for c, m in made.items():
             rows.append(((c << _RANK_BITS) + int(used[c]), sequence, m))
             used[c] += m * times
@@ -179,12 +224,11 @@ def pack(cut: DataFrame, size: int = SIZE, grain: int = GRAIN) -> DataFrame:
     """The pieces (any columns besides ``doc_id, piece, length``) with ``sequence_id`` and ``offset``."""
     if size % grain:
         raise ValueError("grain must divide size")
-    kind = F.ceil(F.col("length") / grain).cast("bigint")
-    stored = write_stage(cut.withColumn("_kind", kind), "pieces")
-    counts = np.zeros(size // grain + 1, dtype=np.int64)
-    for r in stored.groupBy("_kind").count().collect():  # a row for each class at most
+    stored = write_stage(cut.withColumn("_kind", F.col("length").cast("bigint")), "pieces")
+    counts = np.zeros(size + 1, dtype=np.int64)
+    for r in stored.groupBy("_kind").count().collect():  # a row for each length at most
         counts[r["_kind"]] = r["count"]
-    plan = make_plan(counts)
+    plan = make_plan(counts, grain)
     chunks = int(max(1, -(-counts.sum() // CHUNK_ROWS)))
     dealt = stored.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)))
     before = W.partitionBy("_kind").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
