@@ -69,6 +69,37 @@ def test_windows_are_reconciled(net):
     assert (cut[0] == cut[3]).all() and (cut[0] == whole).mean() > 0.995
 
 
+def test_spans_at_every_offset_around_an_edge(net):
+    """The production windows find and redact what one window over the whole text finds, wherever an edge cuts a span."""
+    tagger = pii_model.Tagger(net)
+    draw = random.Random(3)
+    spans = [s for kind in KINDS for s in sorted({pii._span(draw, kind) for _ in range(40)}, key=len)[-2:]]
+    spans += ["riverstone.bridgeboat [at] some-host [dot] mail [dot] com", "firstname.lastname (at) springhost (dot) mail (dot) org"]
+    filler = "river stone bridge boat came home in spring "
+    for span in spans:
+        before = (filler * 20)[-(pii_model.CORE + 4) :]
+        texts = [before[i:] + span + " " + filler * 14 for i in range(len(span) + 8)]
+        for text, got, whole in zip(texts, tagger.tags(texts), tagger.tags(texts, core=100_000), strict=True):
+            assert pii.all_spans(text, got)[1] == pii.all_spans(text, whole)[1]
+
+
+def test_windows_that_nowhere_agree_are_decoded_as_one(net):
+    tagger = pii_model.Tagger(net)
+    text = ("riverstone.bridge [at] somehost [dot] mail [dot] com and " * 6)[:300]
+    cut, whole = (tagger.tags([text], core=c, margin=4)[0] for c in (16, 100_000))
+    assert len(cut) == len(whole) and (cut == whole).mean() > 0.5
+
+
+def test_long_texts_in_sections(net, monkeypatch):
+    tagger = pii_model.Tagger(net)
+    draw = random.Random(6)
+    text = " ".join(draw.choice([*"river stone bridge boat".split(), pii._span(draw, draw.choice(KINDS))]) for _ in range(900))
+    whole = tagger.tags([text, "a"])
+    monkeypatch.setattr(pii_model, "SECTION", 3)
+    cut = tagger.tags([text, "a"])
+    assert len(text) > 4 * 512 and (cut[0] == whole[0]).all() and len(cut[1]) == 1
+
+
 def test_skipped_windows_are_all_o(net):
     draw = random.Random(4)
     texts = [" ".join(draw.choice([*"river stone bridge boat 12 3.5 v2".split(), pii._span(draw, draw.choice(KINDS))]) for _ in range(30)) for _ in range(20)]

@@ -2,9 +2,10 @@
 
 Tags are O and one per kind. Characters enter by a table of gate inputs; the gates are piecewise linear (clipped
 to 0..1), which costs a fraction of exponentials. Texts are cut into overlapping windows, windows of all texts of a
-batch go through the network side by side, and every window is decoded by itself. The result for a position
-is taken from the window in which it stands farthest from the edge; spans are then runs of equal tags over the
-whole text, so a span across windows is one span.
+batch go through the network side by side. The scores of a position are those of the window in which it stands
+farthest from the edge; with these joined scores every window is decoded, so neighbours decode equal scores where they
+overlap. From one window's path to the next one's it goes over where both have the same tag, nearest the edge between
+them; windows without such a place are decoded as one. Spans are then runs of equal tags over the whole text.
 
 A window is skipped by the decoder only where a bound proves its best path to be all O: a run of other tags, at
 each position the best of them and with the dearest transitions, must lose against O wherever it begins and ends.
@@ -22,7 +23,9 @@ HIDDEN = 8
 TAGS = 1 + len(KINDS)
 #: A window: CORE characters of its own and MARGIN shared with the neighbour on either side.
 CORE = 512
-MARGIN = 24
+MARGIN = 96
+#: Longer texts are worked on in sections of so many windows, so memory does not follow the text.
+SECTION = 4_096
 #: Windows computed side by side.
 SIDE = 1_024
 #: ASCII each by itself, then letters of later blocks, other characters, and padding.
@@ -247,39 +250,96 @@ class Tagger:
 
     def tags(self, texts: list[str], core: int = CORE, margin: int = MARGIN) -> list[np.ndarray]:
         """A tag for every character of every text."""
-        coded = [codes(t) for t in texts]
+        room = core * SECTION
+        if max(map(len, texts), default=0) <= room:
+            return self._joined([codes(t) for t in texts], core, margin)
+        out = []
+        for text in texts:
+            coded, parts = codes(text), [np.zeros(0, dtype=np.int8)]
+            for a in range(0, len(coded), room):  # two windows more on either side have all that an edge depends on
+                lo = max(0, a - 2 * core)
+                part = self._joined([coded[lo : a + room + 2 * core]], core, margin)[0]
+                parts.append(part[a - lo : a - lo + room])
+            out.append(np.concatenate(parts))
+        return out
+
+    def _joined(self, coded: list[np.ndarray], core: int, margin: int) -> list[np.ndarray]:
+        margin = min(margin, core)
         whole = np.concatenate([*coded, np.zeros(0, dtype=np.uint8)])
         result = np.zeros(len(whole), dtype=np.int8)
         ends = np.cumsum([len(c) for c in coded], dtype=np.int64)
-        own, lo, hi = [], [], []
+        own, lo, hi, first = [], [], [], []
         for end, c in zip(ends.tolist(), coded, strict=True):
             begin = end - len(c)
             for a in range(begin, end, core):
                 own.append(a)
                 lo.append(max(begin, a - margin))
                 hi.append(min(end, a + core + margin))
+                first.append(a == begin)
         own, lo, hi = (np.array(v, dtype=np.int64) for v in (own, lo, hi))
+        joined = np.empty((TAGS, len(whole)), dtype=np.float32)
         order = np.argsort(lo - hi, kind="stable")
-        open_: list[tuple[int, np.ndarray]] = []
         for s in range(0, len(order), SIDE):
             some = order[s : s + SIDE]
-            open_ += zip(*self._windows(whole, lo[some], hi[some], some), strict=True)
-        for s in range(0, len(open_), SIDE):  # still sorted by length
-            some = open_[s : s + SIDE]
-            at = np.array([w for w, _ in some])
-            score = np.zeros((len(some[0][1]), TAGS, len(some)), dtype=np.float32)
-            for col, (_, own_score) in enumerate(some):
-                score[: len(own_score), :, col] = own_score
-            found = self._decode(score, hi[at] - lo[at])
-            for col, w in enumerate(at):
+            score = self._scores(whole, lo[some], hi[some])
+            for col, w in enumerate(some):
                 a, z = own[w], min(own[w] + core, hi[w])
-                result[a:z] = found[a - lo[w] : z - lo[w], col]
-        return np.split(result, ends[:-1]) if len(texts) else []
+                joined[:, a:z] = score[a - lo[w] : z - lo[w], :, col].T
+        found: dict[int, np.ndarray] = {}  # paths that may have other tags than O
+        for s in range(0, len(order), SIDE):
+            some = order[s : s + SIDE]
+            score, lengths, active = self._gathered(joined, lo[some], hi[some])
+            open_ = np.flatnonzero(self._may_leave(score, lengths, active))
+            if len(open_):
+                tags = self._decode(np.ascontiguousarray(score[:, :, open_]), lengths[open_])
+                for col, w in enumerate(some[open_].tolist()):
+                    found[w] = tags[: hi[w] - lo[w], col]
+        for w in sorted(found):
+            a, z = own[w], min(own[w] + core, hi[w])
+            result[a:z] = found[w][a - lo[w] : z - lo[w]]
+        self._reconcile(joined, result, found, own, lo, hi, first)
+        return np.split(result, ends[:-1]) if len(coded) else []
+
+    def _reconcile(
+        self, joined: np.ndarray, result: np.ndarray, found: dict[int, np.ndarray], own: np.ndarray, lo: np.ndarray,
+        hi: np.ndarray, first: list[bool],
+    ) -> None:
+        """Makes one path of the windows' paths; ``result`` has each window's own part."""
+        apart: list[int] = []
+        for w in sorted({v for w in found for v in (w, w + 1) if v < len(own) and not first[v]}):
+            a, z, edge = lo[w], hi[w - 1], own[w]  # where the windows w - 1 and w overlap
+            left = found[w - 1][a - lo[w - 1] :] if w - 1 in found else np.zeros(z - a, dtype=np.int8)
+            right = found[w][: z - a] if w in found else np.zeros(z - a, dtype=np.int8)
+            if (left == right).all():
+                continue
+            same = np.flatnonzero(left == right)
+            if not len(same):
+                apart.append(w)
+                continue
+            at = a + same[np.abs(a + same - edge).argmin()]
+            if at < edge:
+                result[at:edge] = right[at - a : edge - a]
+            else:
+                result[edge : at + 1] = left[edge - a : at + 1 - a]
+        while apart:  # windows from begin to last in a row
+            begin = last = apart.pop(0)
+            while apart and apart[0] == last + 1:
+                last = apart.pop(0)
+            a, z = lo[begin - 1], hi[last]
+            path = self._decode(joined[:, a:z].T[:, :, None].copy(), np.array([z - a]))[:, 0]
+            a2, z2 = own[begin - 1], min(own[last + 1] if last + 1 < len(own) else z, z)
+            result[a2:z2] = path[a2 - a : z2 - a]
+
+    def _gathered(self, joined: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Joined scores (T, K, B) of windows lo..hi, sorted by length, their lengths and how many still run at each t."""
+        lengths = hi - lo
+        score = np.zeros((int(lengths[0]), TAGS, len(lo)), dtype=np.float32)
+        for col, (a, z) in enumerate(zip(lo, hi, strict=True)):
+            score[: z - a, :, col] = joined[:, a:z].T
+        return score, lengths, (np.arange(len(score))[:, None] < lengths).sum(axis=1)
 
-    def _windows(
-        self, whole: np.ndarray, lo: np.ndarray, hi: np.ndarray, names: np.ndarray
-    ) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Names and scores (T, K) of those windows lo..hi, sorted by length, that the decoder must see."""
+    def _scores(self, whole: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Scores (T, K, B) of the windows lo..hi, sorted by length."""
         lengths = hi - lo
         longest = int(lengths[0])
         t = np.arange(longest)[:, None]
@@ -296,8 +356,7 @@ class Tagger:
         columns = np.arange(len(lo))
         for k in range(TAGS):
             score[:, k] += behind[:, k][at, columns]
-        doubtful = np.flatnonzero(self._may_leave(score, lengths, active))
-        return names[doubtful], [score[: lengths[w], :, w].copy() for w in doubtful]
+        return score
 
 
 def runs(tags: np.ndarray) -> list[tuple[int, int, str]]:
