@@ -9,7 +9,8 @@ Dates are days, so a key has at most one state a day however many entries it has
 to distinct (key, day) pairs: a host that a third of all captures share is looked up once a day.
 
 Defined results: a URL without a host has only its whole text as key; a null URL or date matches nothing, and the
-capture stays; of entries for one key, list and day, taking off beats adding, and the longest term counts; repeated
+capture stays; of entries for one key, list and day, taking off beats adding, and the longest term counts; a
+later entry for the same key and list, addition or removal, supersedes the earlier one from its day on; repeated
 captures each get their row. A null pattern or day in an entry is ignored. Extra columns are ignored.
 """
 
