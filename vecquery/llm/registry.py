@@ -10,6 +10,7 @@ from vecquery.llm import (
     decontaminate,
     edit_embedding,
     html_text,
+    line_dedup,
     packing,
     pii,
     quality,
@@ -134,6 +135,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(read_table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 _SQL_WORDS = (
     "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -195,6 +201,19 @@ SELECT page_id, url, c.day::DATE::VARCHAR AS day, coalesce(len(names), 0)::BIGIN
 FROM captures c LEFT JOIN found USING (url, day)
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT key, doc_id FROM k WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5),
+m AS (SELECT k.*, f.key IS NOT NULL AND doc_id IS DISTINCT FROM last AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 ENTRIES = {
     "op1_html_extraction": (op1_html_extraction, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
@@ -206,4 +225,5 @@ ENTRIES = {
     "op8_url_filters": (op8_url_filters, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_line_dedup": (op11_line_dedup, OP11_SQL),
 }
