@@ -5,7 +5,8 @@ import pyarrow as pa
 import pytest
 
 from vecquery.llm import line_dedup
-from vecquery.llm.minimal_hash import PerfectHash, packed, unpacked
+from vecquery.llm.common import packed, unpacked
+from vecquery.llm.minimal_hash import PerfectHash
 
 WHITE = " \t\n\x0b\x0c\r"
 

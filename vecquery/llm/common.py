@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -130,3 +131,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
         if np.abs(step).max() < 1e-6:
             break
     return w
+
+
+def packed(arrays: dict[str, np.ndarray]) -> bytes:
+    """Named arrays as one byte string."""
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+def unpacked(data: bytes) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(data)) as stored:
+        return {name: stored[name] for name in stored.files}

