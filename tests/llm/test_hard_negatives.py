@@ -53,6 +53,17 @@ def test_heaps_of_parts_merge_to_the_heap_of_the_whole():
     assert (whole.id == parts.id).all() and (whole.owner == parts.owner).all()
 
 
+def test_tiles_of_a_block_pair_merge(monkeypatch):
+    draw = np.random.default_rng(5)
+    rows = {"vec_id": np.arange(50), "label": draw.integers(0, 2, 50), "v": draw.integers(-3, 4, (50, 6)).astype(np.int8)}
+    anchors = {name: values[::10] for name, values in rows.items()}
+    anchors |= {"owner": np.array([0, 0, 2]), "positive_id": np.array([3, 4, 5]), "score": np.array([40, 30, 50])}
+    whole = hard_negatives.tile_positives(anchors, rows, 4), hard_negatives.tile_negatives(anchors, rows, 4)
+    monkeypatch.setattr(hard_negatives, "TILE_ANCHORS", 2)
+    monkeypatch.setattr(hard_negatives, "TILE_ROWS", 7)
+    assert whole == (hard_negatives.tile_positives(anchors, rows, 4), hard_negatives.tile_negatives(anchors, rows, 4))
+
+
 def brute(rows):
     kept = {}
     for i, vector, label in rows:
@@ -81,7 +92,7 @@ def vectors(n, dim, seed):
     ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"BLOCK_ROWS": 60, "LEAST_ROWS": 7, "ANCHOR_ROWS": 2, "TILE_ANCHORS": 1, "TILE_ROWS": 16}])
+@pytest.mark.parametrize("limits", [{}, {"BLOCK_ROWS": 60, "LEAST_ROWS": 7, "ANCHOR_ROWS": 2}])
 def test_against_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(hard_negatives, name, value)

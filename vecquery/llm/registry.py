@@ -17,6 +17,7 @@ from vecquery.llm import (
     quality,
     rollups,
     simhash,
+    token_links,
     toxicity,
     url_lists,
 )
@@ -141,6 +142,12 @@ def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path
+    docs = read_table(spark, folder, "documents", spread_by="doc_id")
+    return token_links.align(docs, path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(read_table(spark, folder, "embeddings"))
 
@@ -246,5 +253,6 @@ ENTRIES = {
     "op9_token_counts": (op9_token_counts, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
     "op11_line_dedup": (op11_line_dedup, OP11_SQL),
+    "op12_cross_tokenizer_alignment": (op12_cross_tokenizer_alignment, None),
     "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
