@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,24 +56,130 @@ def test_throughput_of_split_files(spark, events):
 @pytest.mark.parametrize("closed", [True, False])
 def test_leaders_of_split_files(spark, events, closed):
     log = events.select("key", "ts", "id", "span_us")
-    stream = runs.replayed(log, "ts", 4, {"id": -1, "span_us": 0})
-    got = {r.id: (r.leader_id, r.is_leader) for r in runs.drain(leaders.leader_stream(stream, closed), "leaders").filter("id >= 0").collect()}
+    before = spark.conf.get(runs.STATE_STORE_SETTING)
+    with runs.keeping_state(spark):
+        made = runs.replayed(log, "ts", 3, {"id": -1, "span_us": 0}, lambda rows: leaders.leader_stream(rows, closed), "leaders")
+    assert spark.conf.get(runs.STATE_STORE_SETTING) == before  # the session's own store, whatever it is
+    got = {r.id: (r.leader_id, r.is_leader) for r in made.filter("id >= 0").collect()}
     batch = coalesce.leader_scan(log.withColumn("ts_us", F.unix_micros("ts")), closed).collect()
     assert got == {r.id: (r.leader_id, r.is_leader) for r in batch}
 
 
-def test_leaders_of_shuffled_files(spark, events):
-    """Rows out of order within the watermark's delay: the same leaders as the batch scan."""
+def test_leader_stream_names_the_state_store_it_needs(spark, events):
+    stream = files(spark, events.select("key", "ts", "id", "span_us"), 1, "ts")
+    assert spark.conf.get(runs.STATE_STORE_SETTING) != runs.STATE_STORE
+    with pytest.raises(ValueError, match="stateStore"):
+        leaders.leader_stream(stream, True)
+
+
+def test_replay_of_nothing(spark, events):
+    log = events.select("key", "ts", "id", "span_us").limit(0)
+    with runs.keeping_state(spark):
+        made = runs.replayed(log, "ts", 2, {"id": -1, "span_us": 0}, lambda rows: leaders.leader_stream(rows, True), "leaders")
+        assert made.count() == 0
+
+
+def test_leaders_of_shuffled_files_and_what_state_is_left(spark, events):
+    """Rows out of order within the watermark's delay: the same leaders as the batch scan, and state of the last row only."""
     log = events.select("key", "ts", "id", "span_us")
-    end = spark.createDataFrame([("end", DAY + timedelta(days=400), -1, 0)], log.schema)
+    ends = [spark.createDataFrame([("end", DAY + timedelta(days=400 + i), -1, 0)], log.schema) for i in range(2)]
     path = new_path(spark, "shuffled")
-    for i in range(3):
-        log.filter(F.pmod(F.hash("id"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(path)
-    end.coalesce(1).write.mode("append").parquet(path)
+    for part in [*(log.filter(F.pmod(F.hash("id"), F.lit(3)) == i) for i in range(3)), *ends]:
+        part.coalesce(1).write.mode("append").parquet(path)
     stream = runs.file_stream(spark, path, "*.parquet", log.schema, 1)
-    made = runs.drain(leaders.leader_stream(stream, True, delay="2 days"), "leaders").filter("id >= 0")
+    with runs.keeping_state(spark):
+        query = (
+            leaders.leader_stream(stream, True, delay="2 days").writeStream.format("memory").queryName("led")
+            .option("checkpointLocation", new_path(spark, "led-progress")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
     batch = coalesce.leader_scan(log.withColumn("ts_us", F.unix_micros("ts")), True).collect()
-    assert {r.id: (r.leader_id, r.is_leader) for r in made.collect()} == {r.id: (r.leader_id, r.is_leader) for r in batch}
+    made = spark.table("led").filter("id >= 0").collect()
+    assert {r.id: (r.leader_id, r.is_leader) for r in made} == {r.id: (r.leader_id, r.is_leader) for r in batch}
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(state) > 100 and state[-1] <= 8, state  # of three hundred rows' keys nothing but the last marker's
+
+
+class Value:
+    """The handle's value state, in memory."""
+
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+class Map:
+    def __init__(self):
+        self.held, self.read = {}, []
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        self.read.append(key)
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+    def keys(self):
+        return iter(list(self.held))
+
+
+class Clock:
+    def __init__(self):
+        self.now_ms, self.timers = 0, set()
+
+    def getCurrentWatermarkInMs(self):
+        return self.now_ms
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def test_a_timer_reads_and_clears_passed_slots_only(monkeypatch):
+    monkeypatch.setattr(leaders, "CHUNK_ROWS", 10)
+    rng, clock, state = random.Random(5), Clock(), leaders.LeaderState()
+    state.leader, state.slots, state.chunks = Value(), Map(), Map()
+
+    class Handle:
+        registerTimer = staticmethod(clock.registerTimer)
+
+    state.handle = Handle
+    rows = [(rng.randrange(20 * leaders.SLOT_US), i, rng.choice([0, 1, 3 * leaders.SLOT_US])) for i in range(400)]
+    table = pd.DataFrame([(t, i, t + s + 1) for t, i, s in rows], columns=["ts_us", "id", "free_us"])
+    for start in range(0, 400, 37):
+        assert list(state.handleInputRows(("k",), iter([table[start : start + 37]]), clock)) == []
+    assert max(len(v[0]) for v in state.chunks.held.values()) <= 10 * 24
+    got = []
+    while clock.timers:
+        clock.now_ms = max(clock.now_ms, min(clock.timers))
+        clock.timers.discard(min(clock.timers))
+        state.chunks.read.clear()
+        for part in state.handleExpiredTimer(("k",), clock, None):
+            got += part[["id", "leader_id"]].values.tolist()
+        assert all((slot + 1) * leaders.SLOT_US <= clock.now_ms * 1000 for slot, _ in state.chunks.read)
+    assert not state.slots.held and not state.chunks.held and state.leader.held is None
+    want, leader = {}, (None, -1)
+    for t, i, span in sorted(rows, key=lambda r: (r[0], r[1])):
+        if t >= leader[1]:
+            leader = (i, t + span + 1)
+        want[i] = leader[0]
+    assert dict(got) == want
 
 
 def test_vectors_added_by_stream(spark):

@@ -19,8 +19,8 @@ def stream_throughput(spark, folder):
     log = read_table(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok")
     )
-    stream = runs.replayed(log, "ts", 4, {})
-    return runs.drain(throughput.throughput_windows(stream, "1 hour"), "throughput").filter("completed + errors > 0")
+    windows = lambda stream: throughput.throughput_windows(stream, "1 hour")
+    return runs.replayed(log, "ts", 2, {}, windows, "throughput").filter("completed + errors > 0")
 
 
 def stream_search(spark, folder):
@@ -46,8 +46,8 @@ def stream_coalesce(spark, folder):
         F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("id"),
         F.lit(3 * results.DAY_US).alias("span_us"),
     )
-    stream = runs.replayed(log, "ts", 2, {"id": -1, "span_us": 0})
-    made = runs.drain(leaders.leader_stream(stream, closed=True), "leaders")
+    with runs.keeping_state(spark):
+        made = runs.replayed(log, "ts", 2, {"id": -1, "span_us": 0}, lambda rows: leaders.leader_stream(rows, closed=True), "leaders")
     return made.filter("key IS NOT NULL").select("key", "id", "leader_id", "is_leader")
 
 

@@ -20,10 +20,6 @@ def local_session(app: str = "vecquery", cpus: int | None = None) -> SparkSessio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

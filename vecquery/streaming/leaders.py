@@ -10,47 +10,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from vecquery.streaming.runs import STATE_STORE, STATE_STORE_SETTING
+
 SCANNED = "key string, ts_us bigint, id bigint, leader_id bigint, leader_ts_us bigint, is_leader boolean"
+#: Rows of one key wait by slots of this width, and in chunks of so many rows.
+SLOT_US = 60_000_000
+CHUNK_ROWS = 4_096
 
 
 class LeaderState(StatefulProcessor):
-    """State per key: rows that wait, in no order, and the leader with the first instant at which another may lead.
+    """State per key: waiting rows by time slot, and the leader with the first instant at which another may lead.
 
-    A timer at the earliest waiting instant releases what the watermark has passed, in (time, id) order; whatever still comes
-    is later. So neither the order of files nor the cut into micro-batches changes the result.
+    A slot's timer goes off when the watermark has passed its end: that slot is read, scanned in (time, id) order, and cleared;
+    later slots are not touched. Arriving rows fill up their slot's last chunk only. A leader is cleared once the watermark
+    has passed the slot in which it stops leading, so a key without recent rows has no state. Neither the order of
+    files nor the cut into micro-batches changes the result.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.leader = handle.getValueState("leader", "id bigint, ts_us bigint, free_us bigint")
-        self.waiting = handle.getListState("waiting", "ts_us bigint, id bigint, free_us bigint")
+        self.slots = handle.getMapState("slots", "slot bigint", "n bigint")
+        self.chunks = handle.getMapState("chunks", "slot bigint, chunk bigint", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # one key's rows of one micro-batch, bounded by the source's per-trigger limit
         for part in rows:
-            new = list(zip(*(part[c].tolist() for c in ("ts_us", "id", "free_us")), strict=True))
-            self.waiting.appendList(new)
-            self._wake(min(new)[0], timerValues)
+            new = part[["ts_us", "id", "free_us"]].to_numpy(np.int64)
+            slot = new[:, 0] // SLOT_US
+            for s in np.unique(slot).tolist():
+                self._append(s, new[slot == s], timerValues)
         return iter(())
 
-    def _wake(self, ts_us: int, timerValues) -> None:
-        # the watermark must be past the instant, so that no other row of that instant can come
-        self.handle.registerTimer(max(ts_us // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+    def _append(self, slot: int, rows: np.ndarray, timerValues) -> None:
+        n = self.slots.getValue((slot,))[0] if self.slots.containsKey((slot,)) else 0
+        if not n:
+            self._wake((slot + 1) * SLOT_US, timerValues)
+        self.slots.updateValue((slot,), (n + len(rows),))
+        while len(rows):
+            chunk, filled = divmod(n, CHUNK_ROWS)
+            some, rows = rows[: CHUNK_ROWS - filled], rows[CHUNK_ROWS - filled :]
+            held = self.chunks.getValue((slot, chunk))[0] if filled else b""
+            self.chunks.updateValue((slot, chunk), (bytes(held) + some.tobytes(),))
+            n += len(some)
+
+    def _wake(self, at_us: int, timerValues) -> None:
+        self.handle.registerTimer(max(-(-at_us // 1000), timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.waiting.get()) if self.waiting.exists() else []
-        n = int(np.searchsorted(np.array([h[0] for h in held], dtype=np.int64), passed_us, side="left"))
-        if n < len(held):
-            self.waiting.put(held[n:])
-            self._wake(held[n][0], timerValues)
-        else:
-            self.waiting.clear()
-        if n:
-            yield self._scan(key, held[:n])
-
-    def _scan(self, key, rows: list[tuple]) -> pd.DataFrame:
-        ts, ids, free = (np.array(c, dtype=np.int64) for c in zip(*rows, strict=True))
+        for slot in sorted(s[0] for s in self.slots.keys() if (s[0] + 1) * SLOT_US <= passed_us):
+            yield self._scan(key, self._taken(slot))
+        known = self.leader.get() if self.leader.exists() else None
+        if known is not None:
+            closed_us = (known[2] // SLOT_US + 1) * SLOT_US  # no row that waits or still comes is before it
+            if closed_us <= passed_us:
+                self.leader.clear()
+            else:
+                self._wake(closed_us, timerValues)
+
+    def _taken(self, slot: int) -> np.ndarray:
+        n = self.slots.getValue((slot,))[0]
+        chunks = range(-(-n // CHUNK_ROWS))
+        rows = np.frombuffer(b"".join(bytes(self.chunks.getValue((slot, c))[0]) for c in chunks), dtype=np.int64).reshape(-1, 3)
+        for c in chunks:
+            self.chunks.removeKey((slot, c))
+        self.slots.removeKey((slot,))
+        return rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+
+    def _scan(self, key, rows: np.ndarray) -> pd.DataFrame:
+        ts, ids, free = rows.T
         known = self.leader.get() if self.leader.exists() else None
         leader_id, leader_ts = np.empty(len(ts), np.int64), np.empty(len(ts), np.int64)
         leads = np.zeros(len(ts), dtype=bool)
@@ -74,9 +102,12 @@ class LeaderState(StatefulProcessor):
 def leader_stream(events: DataFrame, closed: bool, delay: str = "10 minutes") -> DataFrame:
     """Stream of key, ts (timestamp), id, span_us -> leader scan.
 
-    A row is emitted once the watermark has passed it; rows later than ``delay`` are dropped. The session must keep state
-    in the RocksDB store (``spark.sql.streaming.stateStore.providerClass``), which this operator does not set.
+    A row is emitted once the watermark has passed its slot; rows later than ``delay`` are dropped. Raises unless the
+    session keeps state in the RocksDB store, which this operator needs while it runs (``runs.keeping_state``).
     """
+    given = events.sparkSession.conf.get(STATE_STORE_SETTING)
+    if given != STATE_STORE:
+        raise ValueError(f"a leader stream needs {STATE_STORE_SETTING}={STATE_STORE}, not {given}")
     ts_us = F.unix_micros("ts")
     timed = events.withWatermark("ts", delay).select(
         "key", "ts", ts_us.alias("ts_us"), "id", (ts_us + F.col("span_us") + (1 if closed else 0)).alias("free_us")
