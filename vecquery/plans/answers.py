@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vecquery.functions.keys import cache_key
 from vecquery.functions.vectors import unit_query
-from vecquery.operators import context, results, search
+from vecquery.operators import probing, context, results, search
 from vecquery.sources.tables import write_stage
 
 VALUE_TYPE = (
@@ -31,6 +31,11 @@ def list_search(index: DataFrame, centroids, nprobe: int) -> Search:
     return lambda queries, k: search.search_lists(index, queries, centroids, k, nprobe)
 
 
+def bounded_search(index: DataFrame, centroids) -> Search:
+    """Search in as many nearest lists as a bound on the others asks for: the hits of ``flat_search``."""
+    return lambda queries, k: probing.search_lists_bounded(index, queries, centroids, k)[0]
+
+
 def hash_search(index: DataFrame, dim: int, bands: int, bits: int) -> Search:
     """Search among vectors that share a hash bucket with the query."""
     return lambda queries, k: search.search_hashed(index, queries, k, dim, bands, bits)

@@ -174,13 +174,13 @@ def rag_batch(spark, folder):
 
 
 def rag_batch_lists(spark, folder):
-    """The same over stored inverted lists, all of which are probed, so the answers are the exact ones."""
+    """The same over stored inverted lists, read until no other list can hold a better hit, so the answers are the exact ones."""
     docs = read_table(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("vec_id"), F.col("source").alias("label"), "text")
     flat = embed.embed_hashed(docs, "text", DIM).select("vec_id", "label", unit_vector(F.col("embedding")).alias("unit_vec"))
     numbered = flat.withColumn("label", F.crc32("label"))
     centroids = index.centroid_table(index.group_centroids(numbered))
     lists = index.store_lists(index.assign_lists(flat.drop("label"), centroids))
-    return _shown_answers(user_answers(spark, folder, answers.list_search(lists, centroids, centroids.num_rows)))
+    return _shown_answers(user_answers(spark, folder, answers.bounded_search(lists, centroids)))
 
 
 def rag_batch_settings(spark, folder):
