@@ -64,14 +64,14 @@ def tiered_lookup(requests: DataFrame, tiers: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def latest_by_key(rows: DataFrame) -> DataFrame:
+def latest_by_key(rows: DataFrame, keys: Sequence[str] = ("key",)) -> DataFrame:
     """One row per key, the one created last. Aggregates map-side.
 
     Ties go to the later expiry, then to the value with the greater hash, so that a rerun agrees.
     """
-    others = [c for c in rows.columns if c != "key"]
+    others = [c for c in rows.columns if c not in keys]
     newest = F.max_by(F.struct(*others), F.struct("created_us", "expires_us", F.xxhash64("value")))
-    return rows.groupBy("key").agg(newest.alias("_row")).select("key", *[F.col(f"_row.{c}") for c in others])
+    return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, *[F.col(f"_row.{c}") for c in others])
 
 
 def entries(writes: DataFrame, default_ttl_ms: int) -> DataFrame:
@@ -157,8 +157,11 @@ def entry_size(value: Column) -> Column:
 
 
 def answer_entries(responses: DataFrame, created_us: Column, ttl_ms: int = 0) -> DataFrame:
-    """Responses (key, context, answer, docs) as writes; a key answered twice is written once."""
+    """Responses (key, context, answer, docs) as writes; of several answers to a key the last one is written.
+
+    Answers of one instant, as with and without a model, are told apart by a hash, so that a rerun agrees.
+    """
     value = F.struct("context", "answer", "docs")
-    return responses.groupBy("key").agg(
-        F.max_by(value, created_us).alias("value"), F.max(created_us).alias("created_us")
+    return responses.filter("key IS NOT NULL").groupBy("key").agg(
+        F.max_by(value, F.struct(created_us.alias("c"), F.xxhash64(value).alias("h"))).alias("value"), F.max(created_us).alias("created_us")
     ).withColumn("ttl_ms", F.lit(ttl_ms))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vecquery.functions.keys import cache_key
 from vecquery.functions.vectors import unit_query
 from vecquery.operators import probing, context, results, search
+from vecquery.operators.tier_store import TierStore, leveled
 from vecquery.sources.tables import write_stage
 
 VALUE_TYPE = (
@@ -114,6 +115,30 @@ def answer_batch(
     ).select(*own, "key", "value.*", "error", "cache_hit", "cache_level")
 
 
+def answer_and_store(
+    requests: DataFrame, number: int, store: TierStore, default_ttls_ms: Sequence[int], label: str, **how
+) -> DataFrame:
+    """Responses of ``answer_batch``, kept as a table, whose new answers have gone into the store as commit ``number``.
+
+    Requests are answered from the store's state before that commit, so a batch that is repeated gives the same responses
+    and changes nothing. Only buckets that hold a request's key are read. New answers go into all tiers, and answers
+    found in a lower tier into the ones above, each with the tier's default term. ``how``: as for ``answer_batch``.
+    """
+    levels = results.LEVELS[: len(default_ttls_ms)]
+    top_k = F.coalesce("top_k", F.lit(how["k"])) if "top_k" in requests.columns else F.lit(how["k"])
+    asked = store.buckets_of(requests.select(cache_key(F.col("query"), top_k.cast("int")).alias("key")))
+    tiers = store.tiers(levels, store.manifest(before=number), asked)
+    made = write_stage(answer_batch(requests, tiers, **how), label)
+    fresh = made.filter("NOT cache_hit AND error IS NULL")
+    new = leveled(results.write_through(
+        [tier.limit(0) for tier in tiers], results.answer_entries(fresh, F.col("now_us")), default_ttls_ms
+    ))
+    hits = made.filter("cache_hit").select("key", F.col("cache_level").alias("level"), "now_us", F.struct("context", "answer", "docs").alias("value"))
+    copies = results.backfill(hits, default_ttls_ms).withColumnRenamed("tier", "level")
+    store.put(number, new.unionByName(copies))
+    return made
+
+
 def assemble_responses(answers: DataFrame, timings: DataFrame, ids: Sequence[str], stages: Sequence[str]) -> DataFrame:
     """Response rows: answers with nested documents, the cache fields, and a latency map.
 

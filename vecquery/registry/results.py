@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from vecquery.functions.keys import cache_key
 from vecquery.operators import coalesce, results
+from vecquery.operators.tier_store import TierStore, leveled
 from vecquery.registry.metrics import LOG, request_log
+from vecquery.sources.tables import new_path
 
 DAY_US = 86_400_000_000
 SPLIT = "2024-01-25 00:00:00"
@@ -102,30 +104,32 @@ def cache_backfill(spark, folder):
     return flat(results.backfill(made, TTLS_MS))
 
 
+def _stored(spark, folder) -> TierStore:
+    """The past's tiers as commit 0 of a store."""
+    store = TierStore(spark, new_path(spark, "tiers"), "struct<context: string, answer: string>", 16)
+    store.put(0, leveled(tiers(spark, folder)))
+    return store
+
+
 def cache_upsert(spark, folder):
     """Write-through of all requests as new entries; those of errors ask for a ttl of one hour."""
+    store = _stored(spark, folder)
     later = accesses(spark, folder, since_split())
-    new = writes(later).withColumn("ttl_ms", F.when(F.col("value.context") == "error", 3_600_000).otherwise(0))
-    after = results.write_through(tiers(spark, folder), new, TTLS_MS)
-    out = None
-    for level, tier in zip(results.LEVELS, after):
-        part = flat(tier).withColumn("tier", F.lit(level))
-        out = part if out is None else out.unionByName(part)
-    return out
+    store.upsert(1, writes(later).withColumn("ttl_ms", F.when(F.col("value.context") == "error", 3_600_000).otherwise(0)), TTLS_MS)
+    return flat(store.rows().withColumnRenamed("level", "tier"))
 
 
 def cache_delete(spark, folder):
     """Every question a purchase was made for leaves all tiers."""
-    gone = accesses(spark, folder, F.col("event_type") == "purchase").select("key").distinct()
-    out = None
-    for level, tier in zip(results.LEVELS, tiers(spark, folder)):
-        part = results.delete(tier, gone).select("key", F.lit(level).alias("tier"), "expires_us")
-        out = part if out is None else out.unionByName(part)
-    return out
+    store = _stored(spark, folder)
+    store.delete(1, accesses(spark, folder, F.col("event_type") == "purchase").select("key").distinct())
+    return store.rows().select("key", F.col("level").alias("tier"), "expires_us")
 
 
 def cache_clean_expired(spark, folder):
-    return flat(results.clean_expired(tiers(spark, folder)[1], SPLIT_US))
+    store = _stored(spark, folder)
+    store.clean_expired(1, SPLIT_US)
+    return flat(store.tiers()[1])
 
 
 def cache_evict_lru(spark, folder):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vecquery.operators import results as results_ops
+from vecquery.operators.tier_store import TierStore, leveled
 from vecquery.plans import answers as plan
 from vecquery.registry import answers, results, search, sql
 from vecquery.registry.metrics import HOUR_US, LOG
-from vecquery.sources.tables import read_table, write_stage
+from vecquery.sources.tables import new_path, read_table, write_stage
 from vecquery.streaming import index, leaders, runs, throughput
 
 
@@ -24,20 +26,23 @@ def stream_throughput(spark, folder):
 
 
 def stream_search(spark, folder):
-    """User turns arrive as questions and are answered per micro-batch."""
-    asked = _stream(spark, folder, "conversations").filter("role = 'user'").select(
+    """User turns arrive as questions in two portions; answers are stored, so the second one meets those of the first."""
+    asked = read_table(spark, folder, "conversations").filter("role = 'user'").select(
         *answers.TURN, F.col("text").alias("query"), F.lit(answers.NOW_US).alias("now_us")
     )
-    tiers = answers.answered_turns(spark, folder)
-    vectors = write_stage(answers.text_index(spark, folder), "text-index")
-    documents = search.documents_for_hits(spark, folder)
+    store = TierStore(spark, new_path(spark, "tiers"), plan.VALUE_TYPE, 16)
+    store.put(-1, leveled(answers.answered_turns(spark, folder)))
+    how = {
+        "find": plan.flat_search(write_stage(answers.text_index(spark, folder), "text-index")),
+        "documents": search.documents_for_hits(spark, folder), "k": answers.K, "embed": answers.embed_query, "generate": answers.stand_in,
+    }
 
-    def work(batch):
-        return plan.answer_batch(
-            batch, tiers, plan.flat_search(vectors), documents, answers.K, answers.embed_query, answers.stand_in
-        ).select(*answers.TURN, "answer", "cache_hit")
+    def work(batch, number):
+        made = plan.answer_and_store(batch, number, store, (results_ops.L1_TTL_MS, results_ops.L2_TTL_MS), "answered", **how)
+        return made.select(*answers.TURN, "answer", "cache_hit")
 
-    return runs.drain_batches(asked, "answers", work, "conv_id bigint, turn bigint, answer string, cache_hit boolean")
+    portions = [asked.filter(f"conv_id % 2 = {i}") for i in (0, 1)]
+    return runs.drain_portions(portions, "answers", work, "conv_id bigint, turn bigint, answer string, cache_hit boolean")
 
 
 def stream_coalesce(spark, folder):
@@ -70,7 +75,8 @@ WITH {LOG} SELECT ts_us // {HOUR_US} * {HOUR_US} AS start_us, (ts_us // {HOUR_US
     "stream_search": (stream_search, f"""
 WITH {answers._ANSWERS}
 SELECT u.conv_id, u.turn, CASE WHEN k.text IS NOT NULL THEN k.answer
-  ELSE {answers._MOCK.replace("|| text ||", "|| u.text ||")} END AS answer, k.text IS NOT NULL AS cache_hit
+  ELSE {answers._MOCK.replace("|| text ||", "|| u.text ||")} END AS answer, k.text IS NOT NULL
+    OR (u.conv_id % 2 = 1 AND u.text IN (SELECT f.text FROM u f WHERE f.conv_id % 2 = 0)) AS cache_hit
 FROM u LEFT JOIN known k ON k.text = u.text LEFT JOIN con ON query_id = u.text"""),
     "stream_coalesce": (stream_coalesce, f"""
 WITH RECURSIVE {LOG}, ev AS (SELECT 'user:' || user_id AS key, ts_us, request_id AS id, {3 * results.DAY_US} AS span_us FROM log),

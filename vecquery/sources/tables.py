@@ -66,3 +66,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, pattern: str) -> None:
+    """Remove the files or folders that a path with wildcards names, wherever they are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or ():
+        files.delete(found.getPath(), True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,13 +75,30 @@ def drain(stream: DataFrame, label: str, partition_by: str | None = None) -> Dat
 
 def drain_batches(stream: DataFrame, label: str, work: Callable[[DataFrame], DataFrame], schema) -> DataFrame:
     """Run ``work`` on each micro-batch; a batch that is retried overwrites its own folder."""
+    return _drained_batches(stream, new_path(stream.sparkSession, label), lambda batch, _: work(batch), schema)
+
+
+def drain_portions(
+    portions: Iterable[DataFrame], label: str, work: Callable[[DataFrame, int], DataFrame], schema
+) -> DataFrame:
+    """The same for tables that arrive one after another: a portion is one micro-batch, and ``work`` also gets its number."""
+    made = None
+    for portion in portions:
+        spark = portion.sparkSession
+        if made is None:
+            path, made = new_path(spark, "arriving"), new_path(spark, label)
+        portion.write.mode("append").parquet(path)
+        table = _drained_batches(file_stream(spark, path, "*.parquet", portion.schema), made, work, schema)
+    return table
+
+
+def _drained_batches(stream: DataFrame, path: str, work: Callable[[DataFrame, int], DataFrame], schema) -> DataFrame:
     spark = stream.sparkSession
-    path = new_path(spark, label)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read several times by the work
         try:
-            work(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            work(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         finally:
             batch.unpersist()
 
