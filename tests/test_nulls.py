@@ -26,16 +26,34 @@ def test_null_groups_and_values(spark):
 def test_null_series_and_instants(spark):
     rows = [(r, t, i) for i, (r, t) in enumerate([("a", 1), (None, 5), (None, None), ("a", None), (None, 7)])]
     df = spark.createDataFrame(rows, "run string, ts_us bigint, id int")
-    df = df.withColumn("bin", ordered.even_bin(df, "ts_us", 2))
-    got = {r["id"]: (r["position"], r["total"]) for r in ordered.positions(df, ["run"], "bin", ["ts_us", "id"]).collect()}
+    df = ordered.even_bins(df, ["ts_us", "id"], 2)
+    got = {r["id"]: (r["position"], r["total"]) for r in ordered.positions(df, ["run"], "_bin", ["ts_us", "id"]).collect()}
     assert got == {0: (2, 2), 3: (1, 2), 2: (1, 3), 1: (2, 3), 4: (3, 3)}
 
 
 def test_bins_follow_the_data(spark):
     """A burst inside one minute, and values inside one unit, are cut into even bins all the same."""
     burst = spark.range(10_000).select((F.col("id") + 1_700_000_000_000_000).alias("ts_us"))
-    sizes = burst.groupBy(ordered.even_bin(burst, "ts_us", 500).alias("b")).count().collect()
+    sizes = ordered.even_bins(burst, ["ts_us"], 500).groupBy("_bin").count().collect()
     assert len(sizes) >= 15 and max(r["count"] for r in sizes) <= 1_000
     log = spark.range(5_000).select(F.lit("a").alias("run"), (F.col("id") / 5_000).alias("latency_ms"))
     row = latency.percentiles(log, ["run"]).first()
     assert (row["n"], row["min"], row["p50"], row["p95"]) == (5_000, 0.0, 0.5, 0.95)
+
+
+def test_one_instant_of_most_rows_is_cut_too(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(5).alias("ts_us"), F.col("id"))
+    order = ["ts_us", "id"]
+    binned = ordered.even_bins(rows, order, 1_000)
+    sizes = [r["count"] for r in binned.groupBy("_bin").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 2_000
+    placed = ordered.positions(binned, [], "_bin", order).select("ts_us", "id", "position").collect()
+    want = {(r[0], r[1]): i for i, r in enumerate(sorted((p["ts_us"], p["id"]) for p in placed), 1)}
+    assert {(p["ts_us"], p["id"]): p["position"] for p in placed} == want
+
+
+def test_bins_between_bounds(spark):
+    values = spark.createDataFrame([(float(x),) for x in (-5, 0, 0.5, 1, 2, 3, 9)], "x double")
+    for bounds in ([], [0.0], [0.0, 1.0, 2.0, 3.0, 4.0]):
+        got = [(r.x, r.b) for r in values.select("x", ordered.bin_between(F.col("x"), bounds).alias("b")).collect()]
+        assert got == [(x, sum(b < x for b in bounds)) for x, _ in got]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vecquery.functions.vectors import unit_vector
 from vecquery.operators.blocks import nearest_of_many, nearest_rows
 from vecquery.operators.latency import ewma
-from vecquery.operators.ordered import even_bin
+from vecquery.operators.ordered import even_bins
 from vecquery.sources.tables import write_stage
 
 MAX_LISTS = 65_536  # centroids that travel to every task; more are met in blocks
@@ -88,8 +88,8 @@ def describe(index: DataFrame, search_log: DataFrame, index_type: str, nprobe: i
 
     ``search_log``: ts_us, request_id, latency_ms per search.
     """
-    timed = search_log.withColumn("_bin", even_bin(search_log, "ts_us"))
-    searches = ewma(timed, [], "_bin", ["ts_us", "request_id"], "latency_ms", "ms")
+    order = ["ts_us", "request_id"]
+    searches = ewma(even_bins(search_log, order), [], "_bin", order, "latency_ms", "ms")
     searches = searches.agg(F.struct(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.round(F.sum("ms"), 3), F.lit(0.0)).alias("ms")
     )).scalar()

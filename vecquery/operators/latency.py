@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vecquery.operators.joins import join_back
-from vecquery.operators.ordered import positions
+from vecquery.operators.ordered import bin_between, positions
 
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 DECAY = 0.9
@@ -27,10 +27,7 @@ def percentiles(
     """
     known = log.filter(F.col(value).isNotNull())
     cuts = known.select(F.col(value).cast("double").alias("x")).approxQuantile("x", [i / bins for i in range(1, bins)], 0.2 / bins)
-    bounds = F.lit(sorted(set(cuts)) or [0.0])
-    counts = known.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn(
-        "_bin", F.aggregate(bounds, F.lit(0), lambda n, b: n + (b < F.col(value)).cast("int"))
-    )
+    counts = known.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn("_bin", bin_between(F.col(value), sorted(set(cuts))))
     ranges = counts.groupBy(*keys, "_bin").agg(
         F.sum("_n").alias("_in_bin"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )

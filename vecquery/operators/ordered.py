@@ -14,26 +14,33 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vecquery.operators.joins import join_back
+from vecquery.sources.tables import write_stage
 
+#: Rows that one bin should get.
+BIN_ROWS = 1_000_000
 
-#: Rows that one bin should get; bins are counted out from it.
-BIN_ROWS = 200_000
-MOST_BINS = 10_000
 
+def even_bins(df: DataFrame, order: Sequence[Column | str], rows: int = BIN_ROWS, bin_col: str = "_bin") -> DataFrame:
+    """Add a bin column that does not decrease along ``order`` and gives bins of about ``rows`` rows each.
 
-def even_bin(df: DataFrame, column: str, rows: int = BIN_ROWS) -> Column:
-    """A bin column that does not decrease with ``column`` and gives bins of about ``rows`` rows each.
-
-    Bounds come from a quantile sketch of the data, so a burst is cut into as many bins as it needs. Rows with one
-    value share a bin. Null values get a bin of their own, before the others.
+    Rows are dealt by range of the whole order, so one value that most rows share is cut too where a later column tells
+    its rows apart; a row costs the same however many bins there are. The result is kept as a table, which fixes the cut.
     """
-    bins = min(MOST_BINS, -(-df.count() // rows))
+    bins = -(-df.count() // rows)
     if bins <= 1:
-        return F.when(F.col(column).isNull(), -1).otherwise(0).cast("bigint")
-    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", [i / bins for i in range(1, bins)], 0.1 / bins)
-    bounds = F.lit(sorted(set(cuts)))
-    below = F.aggregate(bounds, F.lit(0), lambda n, b: n + (b < F.col(column)).cast("int"))
-    return F.when(F.col(column).isNull(), -1).otherwise(below).cast("bigint")
+        return df.withColumn(bin_col, F.lit(0).cast("bigint"))
+    return write_stage(df.repartitionByRange(bins, *order).withColumn(bin_col, F.spark_partition_id().cast("bigint")), "bins")
+
+
+def bin_between(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of the sorted ``bounds`` are less than the value: a tree of comparisons, as deep as the logarithm of their number."""
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value > F.lit(bounds[middle]), among(middle + 1, high)).otherwise(among(low, middle))
+
+    return among(0, len(bounds))
 
 
 def time_bin(ts_us: Column, width_us: int) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.operators.ordered import BIN_ROWS, even_bin, positions
+from vecquery.operators.ordered import BIN_ROWS, even_bins, positions
 
 L1_TTL_MS = 5_000
 L2_TTL_MS = 60_000
@@ -123,8 +123,8 @@ def keep_recent(tier: DataFrame, accesses: DataFrame, capacity: int, rows: int =
     used = accesses.groupBy("key").agg(F.max("ts_us").alias("_used"))
     recency = F.greatest(F.coalesce("_used", F.col("created_us")), F.col("created_us"))
     dated = tier.join(used, "key", "left").withColumn("_used", recency)
-    dated = dated.withColumn("_bin", -even_bin(dated, "_used", rows))
-    placed = positions(dated, [], "_bin", [F.desc("_used"), F.asc("key")], "_position", "_total")
+    order = [F.desc("_used"), F.asc("key")]
+    placed = positions(even_bins(dated, order, rows), [], "_bin", order, "_position", "_total")
     return placed.filter(F.col("_position") <= capacity).drop("_used", "_bin", "_position", "_total")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vecquery.operators.latency import PERCENTILES, fixed, percentiles
 from vecquery.operators.joins import join_back
-from vecquery.operators.ordered import BIN_ROWS, even_bin, positions, running_total
+from vecquery.operators.ordered import BIN_ROWS, even_bins, positions, running_total
 
 SECOND_US = 1_000_000
 
@@ -142,13 +142,12 @@ def in_flight(log: DataFrame, start: str = "start_us", end: str = "end_us", rows
     changes = opened.unionByName(closed).groupBy("at_us").agg(
         F.sum("change").alias("change"), F.count_if(F.col("change") == 1).alias("started")
     )
-    changes = changes.withColumn("_bin", even_bin(changes, "at_us", rows))
-    return running_total(changes, [], "_bin", ["at_us"], {"open": "change"}).select("at_us", "started", "open")
+    return running_total(even_bins(changes, ["at_us"], rows), [], "_bin", ["at_us"], {"open": "change"}).select("at_us", "started", "open")
 
 
 def trim_warmup(log: DataFrame, keys: Sequence[str], warmup: int | None = None, rows: int = BIN_ROWS) -> DataFrame:
     """Drop the first ``warmup`` requests of each run, by default max(50, a tenth of the run)."""
-    timed = log.withColumn("_bin", even_bin(log, "ts_us", rows))
-    placed = positions(timed, keys, "_bin", ["ts_us", "request_id"], "_position", "_total")
+    order = ["ts_us", "request_id"]
+    placed = positions(even_bins(log, order, rows), keys, "_bin", order, "_position", "_total")
     cut = F.lit(warmup) if warmup is not None else F.greatest(F.lit(50), F.floor(F.col("_total") / 10))
     return placed.filter(F.col("_position") > cut).drop("_bin", "_position", "_total")

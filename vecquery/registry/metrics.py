@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from vecquery.operators import latency, throughput
 from vecquery.operators.joins import join_back
-from vecquery.operators.ordered import even_bin, time_bin
+from vecquery.operators.ordered import even_bins, time_bin
 from vecquery.sources.tables import read_table
 
 HOUR_US = 3_600_000_000
 LEVELS = [1, 5, 10, 25, 50, 100, 200, 500]  # fixed values: default concurrency levels
 TARGET_OPS = 50_000
+ORDER = ["ts_us", "request_id"]
 TICK_SEC = 60
 
 
@@ -77,8 +78,7 @@ def stage_latency(spark, folder):
 
 def ewma(spark, folder):
     log = request_log(spark, folder)
-    log = log.withColumn("bin", even_bin(log, "ts_us"))
-    made = latency.ewma(log, ["event_type"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_ms")
+    made = latency.ewma(even_bins(log, ORDER), ["event_type"], "_bin", ORDER, "latency_ms", "avg_ms")
     return _rounded(made, ["avg_ms"], 6)
 
 
@@ -87,8 +87,7 @@ def search_log_latency(spark, folder):
     log = request_log(spark, folder).filter("ok").select(
         "user_id", "request_id", "ts_us", F.round("latency_ms", 3).alias("latency_ms")
     )
-    log = log.withColumn("bin", even_bin(log, "ts_us"))
-    made = latency.ewma(log, ["user_id"], "bin", ["ts_us", "request_id"], "latency_ms", "avg_search_time_ms")
+    made = latency.ewma(even_bins(log, ORDER), ["user_id"], "_bin", ORDER, "latency_ms", "avg_search_time_ms")
     return _rounded(made, ["avg_search_time_ms"], 3)
 
 
