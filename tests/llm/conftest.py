@@ -1,13 +1,13 @@
 import pytest
 
 #: Columns that operators also use inside.
-EXTRA = "score double, fp string, token string, pos int, length int, part int, key string, root int, piece int, y int, sign int"
+EXTRA = "score double, fp string, token string, pos int, length int, part int, key string, root int, piece int, y int, sign int, _text_key string, _doc_key string, row string, id string"
 DOCS = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {EXTRA}"
 LONG = "river " * 3_000 + "a" * 20_000 + " " + "stone bridge over the water " * 500
 
 
 def rows(*pairs):
-    return [(i, t, "en", "s", len(t or ""), *[None] * 11) for i, t in pairs]
+    return [(i, t, "en", "s", len(t or ""), *[None] * 15) for i, t in pairs]
 
 
 @pytest.fixture(scope="session")

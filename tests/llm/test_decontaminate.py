@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from vecquery.llm import decontaminate as d
 
@@ -61,6 +62,13 @@ def test_edges(spark, edge_docs, no_docs):
     assert len(clean) == len(docs) and not any(r["contaminated"] or r["n_hit"] or r["item_ids"] for r in clean)
     left = d.without_contaminated(edge_docs, bench)
     assert left.columns == edge_docs.columns and {r["doc_id"] for r in left.collect()} == {1, 2, 6, 7, 8}
+    assert {r["_doc_key"] for r in left.collect()} == {None}  # a column of the rows stays what it was
+
+
+def test_words_are_cut_at_every_other_ascii_character(spark):
+    texts = ["".join(map(chr, range(128))) * 2, "a" + "b".join(map(chr, range(128))), "É\x80\x85ß\xa0漢 x", " \x00A\x00", "", None, "Zz9", "[a]`b{c|"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", d.words(F.col("text")).alias("w")).collect()
+    assert {r["i"]: r["w"] for r in rows} == {i: None if t is None else words(t) for i, t in enumerate(texts)}
 
 
 def test_candidates_join_by_shuffle_beyond_the_bound(spark, monkeypatch):

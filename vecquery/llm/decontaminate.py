@@ -25,17 +25,13 @@ WINDOW = 10
 #: Candidate documents are broadcast up to so many rows of two 8-byte numbers; beyond, the join shuffles.
 SENT_DOCUMENTS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: All of ASCII but digits and letters stands between words.
+_BETWEEN = "".join(map(chr, [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
 def words(text: Column) -> Column:
-    """Words of the text with A-Z in lower case."""
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
-
-
-def count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(_WORD_ANY_CASE)), F.lit(0)).cast("bigint")
+    """Words of the text with A-Z in lower case: what lies between becomes spaces, at which a plain split cuts."""
+    return F.array_remove(F.split(F.translate(text, _BETWEEN + _UPPER, " " * len(_BETWEEN) + _LOWER), " "), "")
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -52,13 +48,31 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
+def read_documents(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``token, doc_id, doc_key, pos, n_words``, stored: all that is needed of the texts, from one pass over them.
+
+    Rows with a ``token`` are the postings of the tokens in ``vocabulary(token)``; rows with ``n_words`` are one per document row.
+    """
+    cut = words(F.col("text"))
+    read = documents.select(
+        "doc_id", F.xxhash64("text").alias("doc_key"), F.coalesce(F.size(cut), F.lit(0)).cast("bigint").alias("n"), cut.alias("w")
+    )
+    tokens = read.select("doc_id", "doc_key", F.greatest("n", F.lit(0)).alias("n"), F.posexplode_outer("w").alias("pos", "token"))
+    known = vocabulary.select("token").distinct().withColumn("known", F.lit(True))
+    kept = tokens.withColumn("n_words", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("n"))).join(known, "token", "left")
+    return write_stage(
+        kept.filter("known OR n_words IS NOT NULL").select(F.when(F.col("known"), F.col("token")).alias("token"), "doc_id", "doc_key", "pos", "n_words"),
+        "postings",
+    )
+
+
+def postings(read: DataFrame) -> DataFrame:
+    return read.filter("token IS NOT NULL").select("token", "doc_id", "doc_key", "pos")
+
+
 def build_index(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``token, doc_id, doc_key, pos``, stored: postings of all tokens in ``vocabulary(token)``."""
-    tokens = documents.select(
-        "doc_id", F.xxhash64("text").alias("doc_key"), F.posexplode(words(F.col("text"))).alias("pos", "token")
-    )
-    kept = tokens.join(vocabulary.select("token").distinct(), "token", "left_semi")
-    return write_stage(kept.select("token", "doc_id", "doc_key", "pos"), "postings")
+    return postings(read_documents(documents, vocabulary))
 
 
 def _same_document(a: str, b: str) -> Column:
@@ -148,13 +162,12 @@ def find_near(index: DataFrame, windows: DataFrame, span: int = 2 * WINDOW) -> D
     )
 
 
-def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+def hits(index: DataFrame, windows: DataFrame) -> DataFrame:
     """``doc_id, doc_key, n_hit, item_ids`` for the documents with occurrences of item windows.
 
     ``n_hit`` is the length of the union of all occurrences; ``item_ids`` are sorted as strings.
     """
-    windows = item_windows(items, size)
-    found = write_stage(find_windows(build_index(documents, windows.select("token")), windows), "occurrences")
+    found = write_stage(find_windows(index, windows), "occurrences")
     key = ["doc_id", "doc_key"]
     # occurrences in one document: merged from left to right, which is the work of one row of documents
     order = W.partitionBy(*key).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
@@ -174,10 +187,10 @@ def hits(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFram
 
 def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, doc_key, n_words, n_hit, item_ids, contaminated`` for every document row."""
-    rows = documents.select(
-        "doc_id", F.xxhash64("text").alias("doc_key"), count_words(F.col("text")).alias("n_words")
-    ).alias("d")
-    return rows.join(hits(documents, items, size).alias("h"), _same_document("d", "h"), "left").select(
+    windows = item_windows(items, size)
+    read = read_documents(documents, windows)
+    rows = read.filter("n_words IS NOT NULL").select("doc_id", "doc_key", "n_words").alias("d")
+    return rows.join(hits(postings(read), windows).alias("h"), _same_document("d", "h"), "left").select(
         "d.doc_id", "d.doc_key", "d.n_words",
         F.coalesce("h.n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("h.item_ids", F.array().cast("array<string>")).alias("item_ids"),
@@ -187,9 +200,10 @@ def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW) ->
 
 def without_contaminated(documents: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents in which no window of an item occurs."""
-    found = write_stage(hits(documents, items, size).select("doc_id", "doc_key"), "contaminated")
+    windows = item_windows(items, size)
+    found = write_stage(hits(build_index(documents, windows), windows).select("doc_id", "doc_key"), "contaminated")
     small = found.limit(SENT_DOCUMENTS + 1).count() <= SENT_DOCUMENTS
-    keyed = documents.withColumn("_doc_key", F.xxhash64("text")).alias("d")
+    rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("doc_key")).alias("d")
     found = (F.broadcast(found) if small else found).alias("h")
-    same = F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d._doc_key") == F.col("h.doc_key"))
-    return keyed.join(found, same, "left_anti").select(*documents.columns)
+    same = F.col("d.row.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.doc_key") == F.col("h.doc_key"))
+    return rows.join(found, same, "left_anti").select("d.row.*")
