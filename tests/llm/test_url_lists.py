@@ -31,11 +31,9 @@ def brute(captures, entries):
         for kind, value in keys(url) if url and at else []:
             for name in {e[2] for e in entries}:
                 own = [e for e in entries if e[:3] == (kind, value, name) and e[3] <= at]
-                if own:
-                    last = max(e[3] for e in own)
-                    today = [e for e in own if e[3] == last]
-                    if all(e[4] == "add" for e in today) and any(e[5] is None or at < last + datetime.timedelta(days=e[5]) for e in today):
-                        found.add(name)
+                taken_off = max((e[3] for e in own if e[4] == "remove"), default=day(-100))
+                if any(e[4] == "add" and e[3] > taken_off and (e[5] is None or at < e[3] + datetime.timedelta(days=e[5])) for e in own):
+                    found.add(name)
         out.append((page, url, str(at), ",".join(sorted(found)), bool(found) and not any(f.startswith("allow") for f in found)))
     return sorted(out, key=str)
 
@@ -66,6 +64,16 @@ def test_edges(spark):
     assert all(not r[4] for r in run(spark, captures, entries[:0]))
 
 
+def test_a_later_addition_shortens_none_before_it(spark):
+    add = [("host", "a.com", "spam", day(0), "add", None, None), ("host", "a.com", "spam", day(9), "add", 5, None)]
+    captures = [(i, "http://a.com/", day(i), None, None) for i in range(60)]
+    assert [r[3] for r in sorted(run(spark, captures, add), key=lambda r: r[0])] == ["spam"] * 60
+    off = [("host", "a.com", "spam", day(30), "remove", None, None), ("host", "a.com", "spam", day(40), "add", 3, None), ("host", "a.com", "spam", day(41), "add", 1, None)]
+    assert [bool(r[3]) for r in sorted(run(spark, captures, add + off), key=lambda r: r[0])] == [i < 30 or 40 <= i < 43 for i in range(60)]
+    rows = url_lists.intervals(spark.createDataFrame(add + off, ENTRIES)).collect()
+    assert {(str(r["valid_from"]), str(r["valid_to"])) for r in rows} == {(str(day(0)), str(day(30))), (str(day(40)), str(day(43)))}
+
+
 def test_main_path_has_no_python(spark):
     plan = url_lists.judge(spark.createDataFrame([], CAPTURES), spark.createDataFrame([], ENTRIES))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

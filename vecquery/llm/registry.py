@@ -106,7 +106,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path
     counted = write_stage(
         docs.select(
-            "doc_id", "source", "lang", F.sha2("text", 256).alias("copy"),
+            "doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("copy"),
             F.array(
                 F.struct(F.lit("word_bpe_49k").alias("tokenizer"), rollups.word_counts(path("word_bpe_49k.json")).alias("n_tokens")),
                 F.struct(
@@ -201,9 +201,10 @@ entries AS (SELECT k[(crc % len(k) + 1)::INT].kind AS kind, k[(crc % len(k) + 1)
     CASE WHEN crc // 17 % 2 = 0 THEN (crc // 19 % 90 + 1)::INT END AS days FROM keyed),
 daily AS (SELECT kind, value, list, day, bool_or(off) AS off, max(CASE WHEN NOT off THEN coalesce(days, 2000000) END) AS term
   FROM entries GROUP BY ALL),
-spans AS (SELECT *, lead(day) OVER (PARTITION BY kind, value, list ORDER BY day) AS next FROM daily),
+spans AS (SELECT *, min(CASE WHEN off THEN day END) OVER (PARTITION BY kind, value, list ORDER BY day
+  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS taken_off FROM daily),
 valid AS (SELECT kind, value, list, day AS valid_from,
-    least(CASE WHEN term < 2000000 THEN day + term::INT END, next) AS valid_to FROM spans WHERE NOT off),
+    least(CASE WHEN term < 2000000 THEN day + term::INT END, taken_off) AS valid_to FROM spans WHERE NOT off),
 asked AS (SELECT DISTINCT c.url, c.day, unnest(k) AS k FROM captures c JOIN keyed USING (url)),
 found AS (SELECT a.url, a.day, list_sort(list(DISTINCT v.list)) AS names FROM asked a
   JOIN valid v ON v.kind = a.k.kind AND v.value = a.k.value AND v.valid_from <= a.day AND (v.valid_to IS NULL OR a.day < v.valid_to)

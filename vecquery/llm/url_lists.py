@@ -9,9 +9,9 @@ Dates are days, so a key has at most one state a day however many entries it has
 to distinct (key, day) pairs: a host that a third of all captures share is looked up once a day.
 
 Defined results: a URL without a host has only its whole text as key; a null URL or date matches nothing, and the
-capture stays; of entries for one key, list and day, taking off beats adding, and the longest term counts; a
-later entry for the same key and list, addition or removal, supersedes the earlier one from its day on; repeated
-captures each get their row. A null pattern or day in an entry is ignored. Extra columns are ignored.
+capture stays; of entries for one key, list and day, taking off beats adding, and the longest term counts; an addition
+lasts until its own term is over or its key and list are taken off, whichever comes first, and a later addition shortens
+none before it; repeated captures each get their row. A null pattern or day in an entry is ignored. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 _HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+#: Stands for no end while intervals are put together.
+_OPEN = "9999-12-31"
 _FIRST_SEGMENT = r"^[a-z][a-z0-9+.-]*://[^/?#]*(/[^/?#]*)"
 
 
@@ -64,13 +66,24 @@ def intervals(entries: DataFrame) -> DataFrame:
             F.max(F.when(F.col("action") == "add", F.coalesce("days", F.lit(2_000_000)))).alias("term"),
         )
     )
-    by_key = W.partitionBy("kind", "value", "list").orderBy("day")
+    key = ["kind", "value", "list"]
+    # a key's rows are one a day, however many entries it has
+    by_key = W.partitionBy(*key).orderBy("day")
+    taken_off = F.min(F.when(F.col("off"), F.col("day"))).over(by_key.rowsBetween(1, W.unboundedFollowing))
     ends = F.when(F.col("term") < 2_000_000, F.date_add("day", F.col("term").cast("int")))
+    each = (
+        daily.withColumn("taken_off", taken_off).filter("NOT off")
+        .select(*key, F.col("day").alias("valid_from"), F.coalesce(F.least(ends, F.col("taken_off")), F.lit(_OPEN).cast("date")).alias("valid_to"))
+        .filter("valid_to > valid_from")
+    )
+    # additions that overlap or touch become one interval, so that a day meets one at most
+    earlier = W.partitionBy(*key).orderBy("valid_from")
+    covered = F.max("valid_to").over(earlier.rowsBetween(W.unboundedPreceding, -1))
+    begins = F.when(covered >= F.col("valid_from"), 0).otherwise(1)
     return (
-        daily.withColumn("next", F.lead("day").over(by_key))
-        .filter("NOT off")
-        .select("kind", "value", "list", F.col("day").alias("valid_from"), F.least(ends, F.col("next")).alias("valid_to"))
-        .filter("valid_to IS NULL OR valid_to > valid_from")
+        each.withColumn("begins", begins).withColumn("part", F.sum("begins").over(earlier))
+        .groupBy(*key, "part").agg(F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
+        .select(*key, "valid_from", F.nullif("valid_to", F.lit(_OPEN).cast("date")).alias("valid_to"))
     )
 
 
