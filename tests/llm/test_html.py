@@ -28,6 +28,28 @@ def test_article_without_the_rest(weights):
         assert html_text.extract(page, weights) == f"{head}\n{a}\n{b}\n{c}"
 
 
+@pytest.mark.parametrize("before,opened,closed", [
+    ("<body class='has-sidebar'>", "<article>", "</article>"), ("<body class='no-comments'>", "<div>", "</div>"),
+    ("<body>", "<main class='with-sidebar'>", "</main>"), ("<body>", "<article class='post comment-status-open'>", "</article>"),
+    ("<body><form id=aspnetForm action=/x>", "<div>", "</div></form>"), ("<body class='ad menu'>", "", ""),
+    ("<body><div class='content-sidebar-wrap'>", "<main>", "</main></div>"), ("<body><div class='sidebar-layout'>", "<article>", "</article></div>"),
+])
+def test_names_of_the_whole_page_say_nothing(weights, before, opened, closed):
+    draw = random.Random(2)
+    a, b = para(draw, 60), para(draw, 40)
+    rest = "<nav><a href=/>Home</a></nav>", "<div class=sidebar><p>Most read today</p></div><footer>Imprint</footer>"
+    assert html_text.extract(f"{before}{rest[0]}{opened}<p>{a}</p><p>{b}</p>{closed}{rest[1]}", weights) == f"{a}\n{b}"
+
+
+def test_long_comments_and_teasers_are_no_wrappers(weights):
+    draw = random.Random(3)
+    a, c = para(draw, 40), para(draw, 300)
+    for around in ("<section class=comments><article>{}</article></section>", "<form><p>search</p></form><div id=comments>{}</div>"):
+        assert html_text.extract(f"<body><article><p>{a}</p></article>{around.format(c)}", weights) == a
+    side = "<aside class=related><article><p>{}</p></article></aside>".format(para(draw, 30))
+    assert html_text.extract(f"<body><div><p>{a}</p><p>{a}</p></div>{side}", weights) == f"{a}\n{a}"
+
+
 def test_white_space_and_references(weights):
     page = "<article><p> a&amp;b  <b>c</b>\n\t d&nbsp;e </p><p>f<br>g</p><p> </p><div>&lt;p&gt; &#233;&#x4e2d; &am</div></article>"
     assert html_text.extract(page, weights) == "a&b c d e\nf g\n<p> é中 &am"

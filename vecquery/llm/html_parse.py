@@ -39,6 +39,10 @@ _NAME = {
     }.items()
     for word in words.split()
 }
+#: First parts of a name that tell of a part elsewhere on the page, and parts that tell of a state.
+_ELSEWHERE = frozenset("has no with without".split())
+_STATE = frozenset("status open opened closed enabled disabled".split())
+_BOILERPLATE = sum(BIT[f] for f in FLAGS[: FLAGS.index("link")])
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td "
@@ -70,29 +74,65 @@ class Piece:
     block: int
 
 
+def _name_flags(value: str) -> int:
+    """Flags of a class, id or role. A name that tells of a part which is elsewhere, or of a state, has none."""
+    mask = 0
+    for token in value.split():
+        parts = [part.lower() for part in _PART.findall(token)]
+        if not parts or parts[0] in _ELSEWHERE or not _STATE.isdisjoint(parts):
+            continue
+        for part in parts:
+            if flag := _NAME.get(part):
+                mask |= BIT[flag]
+    return mask
+
+
 def _own_flags(name: str, attributes: str) -> int:
     mask = BIT[_ELEMENT[name]] if name in _ELEMENT else 0
-    if attributes:
+    if attributes and name not in ("html", "body"):  # what the whole page is called says nothing about its text
+        named = 0
         for m in _NAMED.finditer(attributes):
-            for part in _PART.findall(m[2] or m[3] or m[4] or ""):
-                if flag := _NAME.get(part.lower()):
-                    mask |= BIT[flag]
+            named |= _name_flags(m[2] or m[3] or m[4] or "")
+        if name in ("main", "article") and named & BIT["content"]:
+            named = BIT["content"]
+        mask |= named
         if _HIDDEN.search(attributes):
             mask |= BIT["notice"]
     return mask
 
 
 def parse(html: str) -> list[Piece]:
-    """Tags and texts in page order; scripts, styles, titles and comments are left out."""
+    """Tags and texts in page order; scripts, styles, titles and comments are left out.
+
+    An element named like boilerplate that is wrapped around the page's content is read as if it had no such name: one
+    that holds ``main``, or a form, or one around an ``article``, that holds most of the page's words.
+    """
+    found, wrappers = _parsed(html, frozenset())
+    return _parsed(html, wrappers)[0] if wrappers else found
+
+
+def _parsed(html: str, ignored: frozenset[int]) -> tuple[list[Piece], frozenset[int]]:
+    """Pieces, and the numbers of the elements that are wrappers; ``ignored`` ones have no flags of their own."""
     out: list[Piece] = []
     stack: list[tuple[str, int]] = [("", 0)]
     open_: dict[str, int] = {}
-    block = at = 0
+    block = at = number = 0
     contents = False
+    # named like boilerplate: number -> [place on the stack, flags, words, holds main, most words of an article in it]
+    named: dict[int, list[int]] = {}
+    inside: list[int] = []  # those of them that are open
+    articles: list[tuple[int, int]] = []  # place on the stack, words before
+    words = 0
 
     def close(name: str) -> None:
         while open_.get(name):
             top, _ = stack.pop()
+            while articles and articles[-1][0] >= len(stack):
+                most = words - articles.pop()[1]
+                for i in inside:
+                    named[i][4] = max(named[i][4], most)
+            while inside and named[inside[-1]][0] >= len(stack):
+                inside.pop()
             open_[top] -= 1
             if top == name:
                 return
@@ -100,6 +140,10 @@ def parse(html: str) -> list[Piece]:
     for m in _TOKEN.finditer(html):
         if m.start() > at:
             out.append(Piece("", unescape(html[at : m.start()]), stack[-1][1], block))
+            new = len(out[-1].text.split())
+            words += new
+            for i in inside:
+                named[i][2] += new
         at = m.end()
         name = (m[3] or m[6] or "").lower()
         if not name:
@@ -116,16 +160,37 @@ def parse(html: str) -> list[Piece]:
         if name in ("li", "td", "th", "tr", "dd", "dt", "option") and stack[-1][0] == name:
             close(name)
         attributes = m[4] if m[3] else m[7] or ""
-        mask = stack[-1][1] | _own_flags(name, attributes)
+        number += 1
+        own = 0 if number in ignored else _own_flags(name, attributes)
+        mask = stack[-1][1] | own
+        if name == "main":
+            for i in inside:
+                named[i][3] = 1
         contents = contents or bool(mask & BIT["content"])
         out.append(Piece(name, None, mask, block))
         if name not in _VOID and not attributes.endswith("/"):
+            if name == "article":
+                articles.append((len(stack), words))
+            if own & _BOILERPLATE:
+                named[number] = [len(stack), own, 0, 0, 0]
+                inside.append(number)
             stack.append((name, mask))
             open_[name] = open_.get(name, 0) + 1
     if at < len(html):
         out.append(Piece("", unescape(html[at:]), stack[-1][1], block))
+        new = len(out[-1].text.split())
+        words += new
+        for i in inside:
+            named[i][2] += new
+    for _, before in articles:
+        for i in inside:
+            named[i][4] = max(named[i][4], words - before)
     if contents:
         for p in out:
             if not p.mask & BIT["content"]:
                 p.mask |= BIT["outside"]
-    return out
+    wrappers = frozenset(
+        i for i, (_, own, own_words, holds_main, article) in named.items()
+        if not own & BIT["comment"] and (holds_main or 2 * own_words > words and (own & BIT["form"] or 2 * article > words))
+    )
+    return out, wrappers

@@ -73,6 +73,16 @@ SEED_PAGES += tuple(
     for inner in _INSIDE
     for page in (f"<article>%{outer}%</article>", f"<main><h2>[[A day]]</h2>%%{outer}</main>", f"<body>{outer}<div>%%</div></body>")
 )
+#: Ordinary pages whose outermost names speak of parts that are elsewhere.
+SEED_PAGES += tuple(
+    f"{before}<nav><a href=/>Home</a></nav>{opened}<h1>[[Rivers]]</h1><p>[[{_TEXT}{_TEXT}]]</p><p>[[{_TEXT}]]</p>{closed}<footer>Imprint</footer>"
+    for before, opened, closed in (
+        ("<body class='has-sidebar no-comments'>", "<article>", "</article>"),
+        ("<body>", "<main class='with-sidebar'>", "</main>"),
+        ("<body>", "<article class='post comment-status-open'>", "</article>"),
+        ("<body><form id=aspnetForm action=/p>", "<div>", "</div></form>"),
+    )
+)
 
 
 @dataclass(frozen=True)
