@@ -59,6 +59,45 @@ def test_held_out_texts_and_disguises():
     assert told[0] < 0.3 and (told[1:4] >= 0.3).all() and told[4] > told[0]
 
 
+def test_many_insults_plain_split_and_with_a_character_put_in():
+    draw = random.Random(9)
+    syllables = [a + b for a in "bcdfgklmnprstvz" for b in "aeiou"]
+    insults = list({"".join(draw.choice(syllables) for _ in range(draw.choice([2, 3, 3, 4]))) + draw.choice("kxtn") for _ in range(300)})
+    texts, labels = [], []
+    for i in range(6_000):
+        own = clean(draw, 25)
+        if i % 3 == 0:
+            own.insert(draw.randrange(len(own)), draw.choice(insults))
+        texts.append(" ".join(own))
+        labels.append(int(i % 3 == 0))
+    model = toxicity.fit(Sample(texts, np.array(labels), (4_000, 2_000)))
+
+    def recall(disguise):
+        asked = [" ".join([*clean(draw, 12), disguise(w), *clean(draw, 12)]) for w in insults]
+        return (toxicity.scores(model, asked) >= 0.3).mean()
+
+    def put_in(word):
+        at = draw.randint(2, len(word) - 2)
+        return word[:at] + draw.choice("x1") + word[at:]
+
+    def apart(word):
+        at = draw.randint(2, len(word) - 2)
+        return word[:at] + " " + word[at:]
+
+    got = recall(lambda w: w), recall(put_in), recall(apart)
+    quiet = (toxicity.scores(model, [" ".join(clean(draw, 25)) for _ in range(1_000)]) >= 0.3).mean()
+    assert got[0] >= 0.95 and got[1] >= 0.9 and got[2] >= 0.9 and quiet <= 0.01, (got, quiet)
+
+
+def test_landmarks_cover_every_toxic_word():
+    draw = random.Random(4)
+    bad = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(3, 30))) for _ in range(600)]
+    near = toxicity.covering(bad)
+    pieces = [p for w in bad for p in toxicity._pieces(w)]
+    assert (string_kernel.kernel(pieces, string_kernel.landmarks(near)).max(axis=1) >= toxicity.NEAR - 1e-3).all()
+    assert len(near) < len(set(pieces)) and toxicity.covering([]) == []
+
+
 def test_toxic_words_are_found():
     texts, labels = sample(3)
     copy = "once only said wrenkilt blorgan " + " ".join(clean(random.Random(1)))
