@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecquery.operators import latency, throughput
+from vecquery.operators import latency, sketches, throughput
 from vecquery.operators.joins import join_back
 from vecquery.operators.ordered import even_bins, time_bin
-from vecquery.sources.tables import read_table
+from vecquery.sources.tables import read_table, write_stage
 
 HOUR_US = 3_600_000_000
 LEVELS = [1, 5, 10, 25, 50, 100, 200, 500]  # fixed values: default concurrency levels
@@ -63,6 +63,35 @@ def latency_percentiles_approx(spark, folder):
     return ranks.select("event_type", "n", *[near(p, latency.PERCENTILES[p]) for p in names])
 
 
+def _hourly(spark, folder):
+    log = request_log(spark, folder).withColumn("ts", F.timestamp_micros("ts_us"))
+    return write_stage(sketches.per_window(log, ["event_type"], "1 hour"), "sketches")
+
+
+def latency_sketches(spark, folder):
+    """Hourly sketches merged to the whole time: whether each percentile's rank is as near the wanted one as promised."""
+    found = sketches.percentiles(sketches.merged(_hourly(spark, folder), ["event_type"])).select("event_type", "n", *latency.PERCENTILES)
+    log = request_log(spark, folder).select("event_type", "latency_ms")
+    ranks = join_back(log, found, ["event_type"]).groupBy("event_type", "n").agg(*[
+        F.struct(F.count_if(F.col("latency_ms") < F.col(p)).alias("below"), F.count_if(F.col("latency_ms") <= F.col(p)).alias("upto")).alias(p)
+        for p in latency.PERCENTILES
+    ])
+    slack = F.col("n") * sketches.RANK_ERROR + 1
+    return ranks.select("event_type", "n", *[
+        ((F.col(p)["below"] <= F.col("n") * share + slack) & (F.col(p)["upto"] >= F.col("n") * share - slack)).alias(f"{p}_near")
+        for p, share in latency.PERCENTILES.items()
+    ])
+
+
+def hot_queries_sketched(spark, folder):
+    """The exact top twenty, and whether the counters merged over all hours have each within their stated error."""
+    exact = hot_queries(spark, folder).select("key", "requests")
+    whole = sketches.merged(_hourly(spark, folder), [])
+    counted = sketches.top_queries(whole, [], sketches.TRACKED).select(F.col("query").alias("key"), F.col("requests").alias("counted"), "error")
+    near = F.abs(F.col("requests") - F.coalesce("counted", F.lit(0))) <= F.coalesce("error", F.lit(0))
+    return exact.join(counted, "key", "left").select("key", "requests", near.alias("near"))
+
+
 def benchmark_summary(spark, folder):
     return throughput.run_totals(request_log(spark, folder), ["run"])
 
@@ -191,6 +220,10 @@ WITH {LOG}, t AS (SELECT count(*) FILTER (ok) AS completed, {_DURATION} AS el FR
 SELECT {TARGET_OPS}::DOUBLE AS target_ops, completed, round(el, 6) AS elapsed_sec, round(completed / el, 6) AS actual_ops,
   CASE WHEN completed / el >= {TARGET_OPS} THEN 'PASS' ELSE 'FAIL' END AS verdict,
   round(completed / el / {TARGET_OPS} * 100, 1) AS percent FROM t"""),
+    "latency_sketches": (latency_sketches, f"""
+WITH {LOG} SELECT event_type, count(*) AS n, true AS p50_near, true AS p95_near, true AS p99_near FROM log GROUP BY 1"""),
+    "hot_queries_sketched": (hot_queries_sketched, f"""
+WITH {LOG} SELECT key, count(*) AS requests, true AS near FROM log GROUP BY 1 ORDER BY requests DESC, key LIMIT 20"""),
     "hot_queries": (hot_queries, f"""
 WITH {LOG} SELECT key, count(*) AS requests, round(count(*) / (SELECT count(*) FROM log), 6) AS share
 FROM log GROUP BY key ORDER BY requests DESC, key LIMIT 20"""),
