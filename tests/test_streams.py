@@ -202,6 +202,34 @@ def test_texts_embedded_by_stream(spark):
     assert sorted(made.collect()) == sorted(batch.collect())
 
 
+def test_a_text_is_embedded_once_over_all_batches(spark):
+    log = stream_index.VectorLog(spark, new_path(spark, "vectors"), buckets=4)
+    calls = spark.sparkContext.accumulator(0)
+
+    def model():
+        def run(texts):
+            calls.add(len(texts))
+            return [[float(len(t or "")), 1.0] for t in texts]
+
+        return run
+
+    def ask(number, *texts):
+        rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+        made = stream_index.embed_once(rows, number, log, "t", lambda new: embed.embed_batch(new, "t", model))
+        return sorted((r.id, r.t, tuple(r.embedding)) for r in made.collect())
+
+    first = ask(0, "a", "bb", "bb", None)
+    assert first == [(0, "a", (1.0, 1.0)), (1, "bb", (2.0, 1.0)), (2, "bb", (2.0, 1.0)), (3, None, (0.0, 1.0))]
+    assert calls.value == 3
+    assert ask(1, "bb", "ccc", None, "ccc") == [(0, "bb", (2.0, 1.0)), (1, "ccc", (3.0, 1.0)), (2, None, (0.0, 1.0)), (3, "ccc", (3.0, 1.0))]
+    assert calls.value == 4
+    assert ask(0, "a", "bb", "bb", None) == first  # repeated: its own folder is written again
+    assert ask(2, "ccc", "a") == [(0, "ccc", (3.0, 1.0)), (1, "a", (1.0, 1.0))] and calls.value == 7
+    log.forget(1)
+    assert ask(3, "a", "ccc") == [(0, "a", (1.0, 1.0)), (1, "ccc", (3.0, 1.0))] and calls.value == 8
+    assert ask(4) == []
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     texts = spark.createDataFrame([(i, f"topic{i} topic{i % 4} about") for i in range(12)], "vec_id bigint, content string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vecquery.operators import embed
 from vecquery.operators import results as results_ops
 from vecquery.operators.tier_store import TierStore, leveled
 from vecquery.plans import answers as plan
@@ -63,8 +64,15 @@ def stream_index_add(spark, folder):
 
 
 def stream_embed(spark, folder):
-    texts = _stream(spark, folder, "documents").select("doc_id", "text")
-    made = runs.drain(index.embed_stream(texts, "text", search.DIM).drop("text"), "embedded")
+    """Documents arrive in two portions; a text that came before is not embedded again."""
+    texts = read_table(spark, folder, "documents").select("doc_id", "text")
+    log = index.VectorLog(spark, new_path(spark, "vectors"), "array<double>", 16)
+
+    def work(batch, number):
+        return index.embed_once(batch, number, log, "text", lambda new: embed.embed_hashed(new, "text", search.DIM)).select("doc_id", "embedding")
+
+    portions = [texts.filter(F.pmod(F.hash("doc_id"), F.lit(2)) == i) for i in (0, 1)]
+    made = runs.drain_portions(portions, "embedded", work, "doc_id bigint, embedding array<double>")
     return search.elements(made, "doc_id", "embedding")
 
 
