@@ -112,3 +112,31 @@ def test_description_of_an_index_never_searched(stored, spark):
     log = spark.createDataFrame([], "ts_us bigint, request_id bigint, latency_ms double")
     row = index.describe(stored, log, "flat", 16).first()
     assert (row["size"], row.dimension, row.total_searches, row.avg_search_time_ms) == (120, 8, 0, 0.0)
+
+
+def test_id_ranges_admit_all_ids_and_few_others(spark):
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([rng.integers(0, 40, 30), rng.integers(5_000, 5_040, 30), [10**12, -7]])
+    table = spark.range(-100, 10_000).withColumnRenamed("id", "vec_id")
+    for most in (1, 2, 4, 500):
+        got = {r.vec_id for r in table.filter(search.id_ranges(F.col("vec_id"), ids, most)).collect()}
+        assert {i for i in ids.tolist() if i < 10_000} <= got
+        assert len(got) <= {1: 10_007, 2: 5_047, 4: 87, 500: 87}[most]
+    assert got == {i for i in ids.tolist() if i < 10_000}
+    assert table.filter(search.id_ranges(F.col("vec_id"), np.zeros(0, dtype=np.int64))).count() == 0
+
+
+def test_few_hits_read_few_rows_of_stored_documents(spark):
+    documents = spark.range(40_000).select(F.col("id").alias("vec_id"), F.concat(F.lit("d"), "id").alias("id"), F.repeat(F.lit("text "), 5).alias("content"))
+    stored = search.store_documents(documents.orderBy(F.rand(1)), 16)
+
+    def scanned(ids):
+        found = stored.filter(search.id_ranges(F.col("vec_id"), np.array(ids)))
+        assert found.count() >= len(ids)
+        plan = found._jdf.queryExecution()
+        found.collect()
+        return plan.executedPlan().collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+    assert scanned([3, 5, 9]) <= 40_000 / 8 and scanned([3, 39_000]) <= 40_000 / 4 < scanned([3, 39_000] + list(range(0, 40_000, 400)))
+    hits = spark.createDataFrame([(1, 1, 7, 0.9), (1, 2, 39_001, 0.8), (2, 1, 50_000, 0.7)], "query_id bigint, rank int, vec_id bigint, score double")
+    assert {(h.query_id, h.id) for h in search.attach_documents(hits, stored).collect()} == {(1, "d7"), (1, "d39001")}

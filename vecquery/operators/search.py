@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,6 +16,7 @@ from vecquery.operators.blocks import MAX_SENT_QUERIES
 from vecquery.sources.tables import write_stage
 
 MAX_SENT_HITS = 1_000_000  # rows of four numbers
+ID_RANGES = 64  # ranges of ids that a scan of documents is asked for
 
 
 def rank_hits(candidates: DataFrame, k: int) -> DataFrame:
@@ -128,15 +129,41 @@ def search_hashed(
     return rank_hits(once, k)
 
 
+def id_ranges(column: Column, ids: np.ndarray, most: int = ID_RANGES) -> Column:
+    """A filter that admits all ``ids`` and few others: at most ``most`` ranges, cut at the widest gaps between them.
+
+    Ranges reach the Parquet scan, which skips the files and row groups whose least and greatest id lie outside.
+    """
+    ids = np.unique(ids)
+    if not len(ids):
+        return F.lit(False)
+    gaps = np.diff(ids)
+    cuts = np.sort(np.argsort(-gaps, kind="stable")[: most - 1]) + 1 if len(gaps) else np.zeros(0, dtype=np.int64)
+    found = None
+    for part in np.split(ids, cuts):
+        one = column.between(int(part[0]), int(part[-1]))
+        found = one if found is None else found | one
+    return found
+
+
+def store_documents(documents: DataFrame, files: int) -> DataFrame:
+    """Documents in files by range of ``vec_id`` and sorted inside, so that a few hits are read from few row groups."""
+    return write_stage(documents.repartitionByRange(files, "vec_id").sortWithinPartitions("vec_id"), "documents")
+
+
 def attach_documents(hits: DataFrame, documents: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """Fetch id, content and metadata for the hits only; hits without a document are skipped.
 
     ``documents``: vec_id, id, content. ``metadata``: vec_id, metadata (a map), joined after the documents
     so that only hits meet it. The hits are kept as a table and counted: few of them travel to the
-    documents, whose texts are then filtered where they lie; many are joined by shuffle.
+    documents, whose texts are then filtered where they lie, by ranges of ids that the scan can skip files with
+    (``store_documents`` lays them out for it); many are joined by shuffle.
     """
     kept = write_stage(hits.select("query_id", "rank", "vec_id", "score"), "hits")
-    few = F.broadcast(kept) if kept.count() <= MAX_SENT_HITS else kept
+    few = kept
+    if kept.count() <= MAX_SENT_HITS:
+        ids = kept.select("vec_id").distinct().toArrow()["vec_id"].to_numpy()
+        few, documents = F.broadcast(kept), documents.filter(id_ranges(F.col("vec_id"), ids))
     found = few.join(documents.select("vec_id", "id", "content"), "vec_id")
     none = F.create_map().cast("map<string,string>")
     if metadata is None:
