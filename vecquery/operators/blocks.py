@@ -30,6 +30,8 @@ from vecquery.sources.tables import write_stage
 #: Cells whose sizes travel to every task; with more, sizes are joined by shuffle.
 MAX_CELLS = 1_000_000
 MAX_SENT_QUERIES = 20_000
+#: Tasks per core that a scan for sent queries is cut into at most; each emits its k best rows per query.
+SCANS_PER_CORE = 8
 MAX_SENT_BYTES = 128 * 1024 * 1024
 #: Blocks are cut by bytes of 8-byte numbers, so that their rows fall as the dimension grows.
 VECTOR_BLOCK_BYTES = 32 * 1024 * 1024
@@ -162,7 +164,9 @@ def _send_queries(vectors: DataFrame, sent: pa.Table, k: int) -> DataFrame:
     else:  # at most as many cells as sent rows
         asked = vectors.sparkSession.createDataFrame([(c,) for c in by_cell], "cell bigint")
         vectors = vectors.join(F.broadcast(asked), "cell", "left_semi")
-    return vectors.select("cell", "vec_id", "vec").mapInArrow(scan, _HITS)
+    # a task reads several splits where there are very many, so that what tasks emit does not follow the splits
+    tasks = SCANS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism
+    return vectors.select("cell", "vec_id", "vec").coalesce(tasks).mapInArrow(scan, _HITS)
 
 
 def _meet_in_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
