@@ -13,10 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from vecquery.llm.common import worker_cache
+
 _ID_BITS = 20
 
 
-def _byte_of_letter() -> dict[str, int]:
+def byte_of_letter() -> dict[str, int]:
     """Byte-level vocabularies write a printable byte as its own character, the others as those from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(own)]
@@ -32,7 +34,7 @@ class ByteTokens:
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
-        letter = _byte_of_letter()
+        letter = byte_of_letter()
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         entries = {bytes(map(letter.__getitem__, token)): i for token, i in model["vocab"].items() if all(c in letter for c in token)}
@@ -148,13 +150,10 @@ class Aligner:
         return [hashlib.sha256(written[i:j]).hexdigest() if j > i else "" for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-_made: dict[tuple[str, str, str], Aligner] = {}
-
-
 def aligner(a_path: str, pattern: str, b_path: str) -> Aligner:
     """The aligner of this worker for two vocabulary files."""
-    key = (a_path, pattern, b_path)
-    if key not in _made:
+    key, made = (a_path, pattern, b_path), worker_cache("alignment")
+    if key not in made:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        _made[key] = Aligner(ByteTokens(a_path, pattern), PieceTokens(b_path))
-    return _made[key]
+        made[key] = Aligner(ByteTokens(a_path, pattern), PieceTokens(b_path))
+    return made[key]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,26 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+_kept: dict[str, dict] = {}
+
+
+def worker_cache(model: str) -> dict:
+    """What this worker keeps for a model. Workers are used again and again: what was kept for another model goes."""
+    if model not in _kept:
+        _kept.clear()
+        _kept[model] = {}
+        give_back()
+    return _kept[model]
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, so that a worker's next task does not add to what the last one used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU only
+    if trim:
+        trim(0)
+
+
 def thinned(rows: DataFrame, key: Column, wanted: int, count: int) -> DataFrame:
     """Rows that a hash of ``key`` picks, about four times ``wanted`` of ``count``, or all if there are fewer.
 

@@ -21,8 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import hashed_sample, slices
-from vecquery.llm.pii_model import Network, Tagger, codes, runs, train
+from vecquery.llm.common import give_back, hashed_sample, slices, worker_cache
+from vecquery.llm.pii_model import CORE, SIDE, Network, Tagger, codes, runs, train
 from vecquery.llm.pii_patterns import KINDS, Span, base_spans, is_card, is_phone, listed, luhn, ordered
 
 #: Bounds of the text sample the network learns from.
@@ -30,8 +30,8 @@ SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 2_000_000
 EXAMPLES = 6_000
 EXAMPLE_CHARS = 72
-#: Texts per pass through the network, in characters.
-PASS_CHARS = 2_000_000
+#: Texts per pass through the network, in characters: as many windows as are computed side by side.
+PASS_CHARS = CORE * SIDE
 
 _EMAIL_LIKE = re.compile(
     r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]|\(@\)) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+", re.ASCII
@@ -153,6 +153,7 @@ def spans_column(net: Network, text: str = "text") -> Column:
 
     @F.pandas_udf(_SPANS)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_cache("pii")
         tagger = Tagger(net)
         for batch in batches:
             base, spans = [], []
@@ -163,6 +164,7 @@ def spans_column(net: Network, text: str = "text") -> Column:
                     base.append(own)
                     spans.append(every)
             yield pd.DataFrame({"base": base, "spans": spans})
+        give_back()
 
     return found(F.col(text))
 
@@ -172,6 +174,7 @@ def find(documents: DataFrame, net: Network) -> DataFrame:
 
     @F.pandas_udf("n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_cache("pii")
         tagger = Tagger(net)
         for batch in batches:
             rows = []
@@ -184,6 +187,7 @@ def find(documents: DataFrame, net: Network) -> DataFrame:
                         *(kinds.count(k) for k in KINDS), hashlib.sha256(listed(base).encode()).hexdigest(), listed(every)
                     ))
             yield pd.DataFrame(rows, columns=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+        give_back()
 
     return documents.select("doc_id", "text").select("doc_id", digest("text").alias("_f")).select("doc_id", "_f.*")
 
@@ -203,6 +207,7 @@ def redacted_column(net: Network, text: str = "text") -> Column:
 
     @F.pandas_udf("string")
     def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("pii")
         tagger = Tagger(net)
         for batch in batches:
             out = []
@@ -212,5 +217,6 @@ def redacted_column(net: Network, text: str = "text") -> Column:
                 for text_, tags in zip(some, tagger.tags(some), strict=True):
                     out.append(redact_text(text_, all_spans(text_, tags)[1]))
             yield pd.Series([None if t is None else o for t, o in zip(texts, out, strict=True)], dtype="object")
+        give_back()
 
     return redacted(F.col(text))

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import Sample, every_nth, fit_logistic, id_crc, labelled_sample
+from vecquery.llm.common import Sample, every_nth, fit_logistic, give_back, id_crc, labelled_sample, worker_cache
 
 #: Bounds of the labelled sample that dictionaries and calibration are fitted on.
 SAMPLE_PER_CLASS = 3_000
@@ -118,12 +118,10 @@ def scores(model: QualityModel, texts: list[str]) -> np.ndarray:
 def _sizes(model: QualityModel) -> _Sizes:
     """The compressors of a model, made once per worker."""
     key = hash(model)
-    if _sizes_made.get("key") != key:
-        _sizes_made.update(key=key, sizes=_Sizes(model.good, model.bad, model.raw))
-    return _sizes_made["sizes"]
-
-
-_sizes_made: dict = {}
+    made = worker_cache("quality")
+    if made.get("key") != key:
+        made.update(key=key, sizes=_Sizes(model.good, model.bad, model.raw))
+    return made["sizes"]
 
 
 def score_column(model: QualityModel, text: str = "text") -> Column:
@@ -133,6 +131,7 @@ def score_column(model: QualityModel, text: str = "text") -> Column:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(scores(model, batch.fillna("").tolist()), dtype="float64")
+        give_back()
 
     return scored(F.col(text))
 
