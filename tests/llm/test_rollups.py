@@ -40,6 +40,40 @@ def test_batches_in_any_number_give_the_same_totals(spark):
         assert totals(made) == want
 
 
+def test_a_folder_opened_again_has_the_same_state(spark):
+    path = new_path(spark, "test-rollup")
+    rows = spark.createDataFrame([("a", "en", "v1", 7, 9, "x"), ("b", "en", "v1", 5, 5, "x")], COUNTS)
+    made = rollups.Rollup(spark, path)
+    made.commit(1, rollups.inserts(rows))
+    made.compact()
+    made.commit(2, rollups.inserts(rows.limit(1)))
+    want = totals(made)
+    again = rollups.Rollup(spark, path)
+    assert totals(again) == want == {("a", "en", "v1"): (2, 14), ("b", "en", "v1"): (1, 5)}
+    for batch in (1, 2):  # delivered again after the restart: one from the snapshot, one behind it
+        again.commit(batch, rollups.inserts(rows))
+    assert totals(again) == want
+    again.commit(3, rollups.deletes(rows.limit(1)))
+    assert totals(rollups.Rollup(spark, path)) == {("a", "en", "v1"): (1, 7), ("b", "en", "v1"): (1, 5)}
+
+
+def test_a_commit_that_dies_changes_nothing(spark, monkeypatch):
+    path = new_path(spark, "test-rollup")
+    rows = spark.createDataFrame([("a", "en", "v1", 7, 9, "x")], COUNTS)
+    made = rollups.Rollup(spark, path)
+    made.commit(1, rollups.inserts(rows))
+    monkeypatch.setattr(made, "_record", lambda *_: 1 / 0)
+    for step in (lambda: made.commit(2, rollups.inserts(rows)), made.compact):
+        try:
+            step()
+        except ZeroDivisionError:
+            pass
+    again = rollups.Rollup(spark, path)
+    assert totals(again) == {("a", "en", "v1"): (1, 7)}
+    again.commit(2, rollups.inserts(rows))
+    assert totals(again) == {("a", "en", "v1"): (2, 14)}
+
+
 def test_edges(spark):
     made = rollups.Rollup(spark, new_path(spark, "test-rollup"))
     assert totals(made) == {}

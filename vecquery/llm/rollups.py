@@ -2,8 +2,8 @@
 
 A change says that a document's count enters (+1) or leaves (-1) the totals of its source, language and tokenizer
 version; a revised count leaves with its old value and enters with the new one. A batch of changes is summed up and written
-to a folder of its own in the shared folder, which is the commit: writing a batch again replaces the same folder, so
-a batch that is retried or delivered twice counts once. Totals are sums over the folders, and ``compact`` folds
+to a folder of its own in the shared folder, and then named by a row that is the commit; a batch whose number has such a
+row is not written again, so one that is retried or delivered twice counts once. Totals are sums over the folders, and ``compact`` folds
 committed batches into one snapshot without changing them.
 
 Changes are summed before anything is shuffled, so a source with a third of all rows is a few rows per task.
@@ -16,17 +16,20 @@ ignored.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecquery.llm.common import slices
+from vecquery.llm.common import slices, worker_cache
 from vecquery.llm.tokens import word_tokenizer
 
 GROUP = ("source", "lang", "tokenizer")
+_COMMIT = "batch bigint, folder string, holds array<bigint>"
 _DELTA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 
 
@@ -42,17 +45,15 @@ def word_counts(path: str, text: str = "text") -> Column:
     return counted(F.col(text))
 
 
-_rank_files: dict = {}
-
-
 def _byte_tokenizer(path: str, pattern: str):
-    if (path, pattern) not in _rank_files:
+    made = worker_cache("tokens")
+    if (path, pattern) not in made:
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        _rank_files[path, pattern] = tiktoken.Encoding("counted", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _rank_files[path, pattern]
+        made[path, pattern] = tiktoken.Encoding("counted", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return made[path, pattern]
 
 
 def byte_counts(path: str, pattern: str, text: str = "text") -> Column:
@@ -91,27 +92,47 @@ def revisions(counts: DataFrame, new: str = "new_tokens") -> DataFrame:
 
 
 class Rollup:
-    """Totals in a folder that all executors reach."""
+    """Totals in a folder that all executors reach; opening the folder again, after a restart say, gives the same state.
+
+    A commit writes its sums to a folder of its own, then one small row that names batch and folder; a snapshot does so with
+    the batches it holds. What no row names does not count, so an attempt that died changed nothing. One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self.batches: set[int] = set()
-        self.snapshot: tuple[str, frozenset[int]] | None = None
+        self.batches: dict[int, str] = {}
+        self.snapshot: tuple[str, frozenset[int]] = ("", frozenset())
+        try:
+            rows = spark.read.schema(_COMMIT).json(f"{self.path}/commits/*").collect()  # one row per commit and snapshot
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            rows = []
+        for r in sorted(rows, key=lambda r: (len(r["holds"] or ()), r["folder"])):
+            if r["batch"] is None:
+                self.snapshot = (r["folder"], frozenset(r["holds"] or ()))
+            else:
+                self.batches.setdefault(r["batch"], r["folder"])
+
+    def _record(self, batch: int | None, folder: str, holds: list[int] | None) -> None:
+        row = self.spark.createDataFrame([(batch, folder, holds)], _COMMIT)
+        row.coalesce(1).write.json(f"{self.path}/commits/{uuid.uuid4().hex}")
 
     def commit(self, batch: int, changes: DataFrame) -> None:
-        """Commit a batch; a number committed before is replaced, one already in the snapshot is left out."""
-        if self.snapshot and batch in self.snapshot[1]:
+        """Commit a batch; a number that was committed before is left alone."""
+        if batch in self.batches or batch in self.snapshot[1]:
             return
         sums = changes.groupBy(*GROUP).agg(
             F.sum("sign").cast("bigint").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("bigint").alias("n_tokens")
         )
-        sums.write.mode("overwrite").parquet(f"{self.path}/delta-{batch}")
-        self.batches.add(batch)
+        folder = f"delta-{batch}-{uuid.uuid4().hex}"
+        sums.write.parquet(f"{self.path}/{folder}")
+        self._record(batch, folder, None)
+        self.batches[batch] = folder
 
     def _parts(self) -> list[str]:
-        inside = self.snapshot[1] if self.snapshot else frozenset()
-        own = [f"{self.path}/delta-{b}" for b in sorted(self.batches - inside)]
-        return ([self.snapshot[0]] if self.snapshot else []) + own
+        own = [folder for batch, folder in sorted(self.batches.items()) if batch not in self.snapshot[1]]
+        return [f"{self.path}/{folder}" for folder in ([self.snapshot[0]] if self.snapshot[0] else []) + own]
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, n_docs, n_tokens`` of the documents that are in."""
@@ -122,6 +143,7 @@ class Rollup:
 
     def compact(self) -> None:
         """Fold all committed batches into a new snapshot."""
-        target = f"{self.path}/snapshot-{max(self.batches, default=0)}-{len(self.batches)}"
-        self.totals().write.mode("overwrite").parquet(target)
-        self.snapshot = (target, frozenset(self.batches))
+        folder, holds = f"snapshot-{uuid.uuid4().hex}", sorted(self.snapshot[1].union(self.batches))
+        self.totals().write.parquet(f"{self.path}/{folder}")
+        self._record(None, folder, holds)
+        self.snapshot = (folder, frozenset(holds))
