@@ -33,6 +33,8 @@ PERIOD = 4_096
 _CLASSES = 64
 #: Texts are walked side by side while so many are unfinished, the rest one by one.
 _TOGETHER = 64
+#: Bytes of text that a part should get.
+PART_BYTES = 64 * 1024 * 1024
 #: Bits to a band and bands to a fingerprint, for search.
 BAND_BITS = 16
 BANDS = 16
@@ -209,7 +211,9 @@ def fingerprints(documents: DataFrame, buckets: int | None = None) -> DataFrame:
 
     The edited text is the text with its last third replaced by the beginning of the next document's.
     """
-    buckets = buckets or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:  # as many parts as the texts' size asks for, and enough for all cores
+        size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
     dealt = (
         ring(documents, buckets)
         .repartition(buckets, "part")
