@@ -1,10 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from vecquery.operators import embed, generate, index, results
 from vecquery.operators.tier_store import TierStore, leveled
 from vecquery.plans import answers
-from vecquery.sources.tables import new_path
+from vecquery.sources.tables import new_path, passing_tables, write_stage
 
 ROW = "level string, key string, value string, expires_us bigint, created_us bigint"
 
@@ -118,6 +120,24 @@ def test_later_batches_find_the_answers_of_earlier_ones(spark):
     assert content(store.rows())["l2", "rag:topic1:3"][1] == 10 + 100_000
 
 
+def test_passing_tables_are_removed(spark):
+    rows = spark.createDataFrame([("l1", "k", "v", 0, 1)], ROW)
+    stay = write_stage(rows, "stay")
+    with passing_tables(spark):
+        gone = write_stage(rows, "gone")
+        copied = write_stage(gone, "gone")
+        assert copied.count() == 1
+        with passing_tables(spark):
+            assert write_stage(rows, "inner").count() == 1
+        assert copied.count() == 1
+    paths = {df.inputFiles()[0].removeprefix("file://") for df in (stay, gone, copied)}
+    assert [os.path.exists(p) for p in sorted(paths, key=lambda p: "/stay-" in p)] == [False, False, True]
+    with pytest.raises(ZeroDivisionError), passing_tables(spark):
+        gone = write_stage(rows, "gone")
+        1 / 0
+    assert not os.path.exists(gone.inputFiles()[0].removeprefix("file://"))
+
+
 def test_answers_of_one_instant_are_told_apart(spark):
     doc = "array<struct<rank:int,id:string,content:string,score:double>>"
     rows = spark.createDataFrame([("k", "c", "with", []), ("k", "c", "without", [])], f"key string, context string, answer string, docs {doc}")

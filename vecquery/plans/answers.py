@@ -11,7 +11,7 @@ from vecquery.functions.keys import cache_key
 from vecquery.functions.vectors import unit_query
 from vecquery.operators import probing, context, results, search
 from vecquery.operators.tier_store import TierStore, leveled
-from vecquery.sources.tables import write_stage
+from vecquery.sources.tables import new_path, passing_tables, write_stage
 
 VALUE_TYPE = (
     "struct<context:string,answer:string,"
@@ -128,7 +128,11 @@ def answer_and_store(
     top_k = F.coalesce("top_k", F.lit(how["k"])) if "top_k" in requests.columns else F.lit(how["k"])
     asked = store.buckets_of(requests.select(cache_key(F.col("query"), top_k.cast("int")).alias("key")))
     tiers = store.tiers(levels, store.manifest(before=number), asked)
-    made = write_stage(answer_batch(requests, tiers, **how), label)
+    kept = new_path(store.spark, label)
+    with passing_tables(store.spark):
+        answers = answer_batch(requests, tiers, **how)
+        answers.write.parquet(kept)
+    made = store.spark.read.schema(answers.schema).parquet(kept)
     fresh = made.filter("NOT cache_hit AND error IS NULL")
     new = leveled(results.write_through(
         [tier.limit(0) for tier in tiers], results.answer_entries(fresh, F.col("now_us")), default_ttls_ms

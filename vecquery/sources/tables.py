@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def read_table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
@@ -46,7 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path no other run writes to."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written while it lasts are removed at its end; results must have been written elsewhere by then."""
+    folder = f"{shared_dir(spark)}/passing-{uuid.uuid4().hex}"
+    before = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        remove(spark, folder)
 
 
 def write_stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
