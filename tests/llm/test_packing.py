@@ -41,6 +41,16 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert np.frombuffer(words.encoded([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_cut_as_the_tokenizer_cuts_them(tokenizer):
+    words, draw = WordTokenizer(PATH), random.Random(8)
+    assert words.merger
+    for _ in range(400):
+        text = "".join(draw.choice("abcstvremld'' ''SéÉßÀ×÷12 .,!?-<|>#\n\t\x0b\x0c") for _ in range(draw.randint(0, 60)))
+        assert np.frombuffer(words.encoded([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    for text in ("a<|endoftext|>b", "", " \n", "x" * 5_000, "they've we'll it's 's 'S !'s"):
+        assert np.frombuffer(words.encoded([text, "plain", text])[2], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_words_are_forgotten_beyond_the_bound(monkeypatch, tokenizer):
     monkeypatch.setattr("vecquery.llm.tokens.KEPT_WORDS", 3)
     words = WordTokenizer(PATH)
@@ -62,6 +72,19 @@ def test_runs_use_every_piece_once():
         assert total <= least * 1.1 + 3
 
 
+def test_fitted_patterns_make_the_plan_and_few_sequences():
+    draw = np.random.default_rng(4)
+    lengths = np.clip(draw.lognormal(6, 1, 30_000), 1, 2_048).astype(int)
+    for some in (lengths, np.concatenate([lengths, np.ones(200_000, int), draw.integers(2, 12, 50_000)])):
+        counts = np.bincount(some, minlength=2_049)
+        runs = packing.plan_runs(counts)
+        assert sum(times for _, times in runs) <= -(-int(some.sum()) // 2_048) * 1.001 + 2
+        left = counts.copy()
+        pattern = packing.patterns(512)
+        fitted = packing.fitted_runs(left, 4, pattern, packing.fit_counts(pattern, packing._classes(counts, 4)), packing.SHARES[-1])
+        assert sum(times for _, times in fitted) > 0.3 * sum(times for _, times in runs)
+
+
 def test_fit_is_a_non_negative_least_squares_minimum():
     draw = np.random.default_rng(1)
     pattern = packing.patterns(16)

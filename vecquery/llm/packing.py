@@ -4,8 +4,9 @@ Documents become pieces of at most ``size`` tokens; only longer documents are cu
 pieces is the histogram of their lengths, whose size does not depend on the data. Patterns of one to three length
 classes of ``GRAIN`` tokens that fill a sequence are enumerated, and their repeat counts are fitted by non-negative
 least squares and rounded. Everything else is planned on exact lengths: what is left over and all pieces of about
-``SHORT`` tokens or fewer go by best fit, largest first, into the room the patterns leave and then into new sequences. If best fit without patterns needs fewer sequences, its plan is taken. A plan row then says: pieces of
-this length with ranks from ... to ... go to sequences from ... on, so many to each.
+``SHORT`` tokens or fewer go by best fit, largest first, into the room the patterns leave and then into new sequences.
+Of several ways to round, by larger and smaller shares of the fitted counts, the one that needs the fewest sequences is
+taken. A plan row then says: pieces of this length with ranks from ... to ... go to sequences from ... on, so many to each.
 
 Ranks within a length are numbered in two levels (length and hash chunk, then an offset per chunk), so a
 length that a third of all pieces share is numbered by many tasks. Places within a sequence follow from the
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from vecquery.llm.common import slices
+from vecquery.llm.common import give_back, slices
 from vecquery.llm.tokens import word_tokenizer
 from vecquery.sources.tables import write_stage
 
@@ -38,6 +39,8 @@ SIZE = 2_048
 GRAIN = 4
 #: Pieces up to this length are put in by no pattern; they fill the room that is left.
 SHORT = 64
+#: Shares of the fitted counts that rounding down is tried with; what they leave gives best fit more to choose from.
+SHARES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5)
 #: Rows a numbering group should not exceed.
 CHUNK_ROWS = 50_000
 _RANK_BITS = 40
@@ -63,6 +66,7 @@ def pieces(documents: DataFrame, path: str, size: int = SIZE, keep_ids: bool = F
                 out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
                 out["doc_id"] = batch["doc_id"].to_numpy()[out["doc_id"].to_numpy()]
                 yield out
+        give_back()
 
     return documents.select("doc_id", "text").mapInPandas(cut, schema)
 
@@ -121,16 +125,20 @@ def fit_counts(pattern: np.ndarray, wanted: np.ndarray, rounds: int = 1_500) ->
 Run = tuple[dict[int, int], int]
 
 
-def fitted_runs(left: np.ndarray, grain: int) -> list[Run]:
-    """Runs of fitted patterns, in exact lengths; takes what they use from ``left``."""
+def _classes(left: np.ndarray, grain: int) -> np.ndarray:
+    """Histogram by length class."""
+    return np.bincount(-(-np.arange(len(left)) // grain), weights=left, minlength=(len(left) - 1) // grain + 1)
+
+
+def fitted_runs(left: np.ndarray, grain: int, pattern: np.ndarray, fitted: np.ndarray, share: float = 1.0) -> list[Run]:
+    """Runs of patterns, each repeated by that share of its fitted count rounded down, in exact lengths; takes what they
+    use from ``left``."""
     size = len(left) - 1
-    wanted = np.bincount(-(-np.arange(size + 1) // grain), weights=left, minlength=size // grain + 1)
+    wanted = _classes(left, grain)
     least = -(-min(SHORT, size // 4) // grain)
-    pattern = patterns(size // grain)
-    fitted = fit_counts(pattern, wanted)
     runs: list[Run] = []
     for j in np.argsort(-fitted, kind="stable"):
-        times = int(np.floor(fitted[j] + 1e-6))
+        times = int(np.floor(share * fitted[j] + 1e-6))
         if not times:
             break
         made = Counter(c for c in pattern[j].tolist() if c > least)  # shorter pieces come by best fit
@@ -188,10 +196,13 @@ def plan_runs(counts: np.ndarray, grain: int = GRAIN) -> list[Run]:
     """Runs ({length: pieces of it in a sequence}, number of sequences) that use up ``counts`` (entry 0 unused)."""
     left = counts.astype(np.int64)
     left[0] = 0
-    plain = best_fit(left, [])
-    rest = left.copy()
-    fitted = fitted_runs(rest, grain)
-    return min(best_fit(rest, fitted), plain, key=lambda runs: sum(times for _, times in runs))
+    pattern = patterns((len(left) - 1) // grain)
+    fitted = fit_counts(pattern, _classes(left, grain))
+    plans = []
+    for share in SHARES:
+        rest = left.copy()
+        plans.append(best_fit(rest, fitted_runs(rest, grain, pattern, fitted, share)) if rest.any() else [])
+    return min(plans, key=lambda runs: sum(times for _, times in runs))  # of equal ones the one with most patterns
 
 
 @dataclass(frozen=True)
