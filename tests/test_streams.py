@@ -182,6 +182,32 @@ def test_a_timer_reads_and_clears_passed_slots_only(monkeypatch):
     assert dict(got) == want
 
 
+def test_a_sparse_key_waits_in_pages_and_its_rows_leave_on_time(monkeypatch):
+    """A row per minute and less: few pages, timers and tables, and no row is held back by the others of its page."""
+    monkeypatch.setattr(leaders, "PAGE_ROWS", 16)
+    clock, state = Clock(), leaders.LeaderState()
+    state.leader, state.slots, state.chunks = Value(), Map(), Map()
+
+    class Handle:
+        registerTimer = staticmethod(clock.registerTimer)
+
+    state.handle = Handle
+    rows = [(i * 5 * leaders.SLOT_US + i, i, i * 5 * leaders.SLOT_US + i + 1) for i in range(320)]
+    table = pd.DataFrame(rows, columns=["ts_us", "id", "free_us"])
+    for half in (table[::2], table[1::2]):  # the second one's pages lie between those of the first
+        assert list(state.handleInputRows(("k",), iter([half]), clock)) == []
+    assert len(state.chunks.held) <= 20 and len(clock.timers) == 1
+    clock.now_ms = 1_000 * leaders.SLOT_US // 1_000
+    made = list(state.handleExpiredTimer(("k",), clock, None))
+    assert len(made) == 1 and made[0]["id"].tolist() == list(range(200)) == made[0]["leader_id"].tolist()
+    assert sum(len(v[0]) for v in state.chunks.held.values()) == 24 * 120  # the others wait
+    clock.now_ms = 1_001 * leaders.SLOT_US // 1_000
+    assert [d["id"].tolist() for d in state.handleExpiredTimer(("k",), clock, None)] == [[200]]
+    clock.now_ms *= 10
+    assert [i for d in state.handleExpiredTimer(("k",), clock, None) for i in d["id"].tolist()] == list(range(201, 320))
+    assert not state.slots.held and not state.chunks.held
+
+
 def test_vectors_added_by_stream(spark):
     rng = random.Random(2)
     df = spark.createDataFrame(

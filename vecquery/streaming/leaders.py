@@ -16,14 +16,18 @@ SCANNED = "key string, ts_us bigint, id bigint, leader_id bigint, leader_ts_us b
 #: Rows of one key wait by slots of this width, and in chunks of so many rows.
 SLOT_US = 60_000_000
 CHUNK_ROWS = 4_096
+#: A run of slots with few rows waits as one page of at most so many rows, under its first slot.
+PAGE_ROWS = 6
 
 
 class LeaderState(StatefulProcessor):
-    """State per key: waiting rows by time slot, and the leader with the first instant at which another may lead.
+    """State per key: waiting rows in pages by time slot, and the leader with the first instant at which another may lead.
 
-    A slot's timer goes off when the watermark has passed its end: that slot is read, scanned in (time, id) order, and cleared;
-    later slots are not touched. Arriving rows fill up their slot's last chunk only. A leader is cleared once the watermark
-    has passed the slot in which it stops leading, so a key without recent rows has no state. Neither the order of
+    A page holds one slot, or several in a row that have few rows together, so that a sparse key costs a page and not a slot
+    per row. A timer goes off when the watermark has passed the end of the first slot that has a page: pages that begin in passed
+    slots are read and cleared, their rows of passed slots are scanned in (time, id) order, and what is left waits as a page
+    again; pages that begin later are not touched, and the first of them is waited for next. Arriving rows fill up their page's last chunk only. A leader is cleared once the
+    watermark has passed the slot in which it stops leading, so a key without recent rows has no state. Neither the order of
     files nor the cut into micro-batches changes the result.
     """
 
@@ -34,17 +38,31 @@ class LeaderState(StatefulProcessor):
         self.chunks = handle.getMapState("chunks", "slot bigint, chunk bigint", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = {s[0] for s in self.slots.keys()}
+        first = min(known, default=None)
         for part in rows:
-            new = part[["ts_us", "id", "free_us"]].to_numpy(np.int64)
-            slot = new[:, 0] // SLOT_US
-            for s in np.unique(slot).tolist():
-                self._append(s, new[slot == s], timerValues)
+            self._wait(part[["ts_us", "id", "free_us"]].to_numpy(np.int64), known)
+        if known and (first is None or min(known) < first):
+            self._wake((min(known) + 1) * SLOT_US, timerValues)
         return iter(())
 
-    def _append(self, slot: int, rows: np.ndarray, timerValues) -> None:
-        n = self.slots.getValue((slot,))[0] if self.slots.containsKey((slot,)) else 0
-        if not n:
-            self._wake((slot + 1) * SLOT_US, timerValues)
+    def _wait(self, rows: np.ndarray, known: set[int], fill: bool = True) -> None:
+        """Cut rows into pages: a slot of many rows alone, others together with the slots behind them. ``known``: slots with a page."""
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        slot = rows[:, 0] // SLOT_US
+        begins = np.flatnonzero(np.diff(slot, prepend=slot[0] - 1)) if len(rows) else np.zeros(0, dtype=np.int64)
+        ends = np.append(begins[1:], len(rows))
+        most, at = min(PAGE_ROWS, CHUNK_ROWS), 0
+        while at < len(begins):
+            last = max(at + 1, int(np.searchsorted(ends, begins[at] + most, side="right")))
+            self._append(int(slot[begins[at]]), rows[begins[at] : ends[last - 1]], known, fill)
+            at = last
+
+    def _append(self, slot: int, rows: np.ndarray, known: set[int], fill: bool) -> None:
+        """``fill``: the last chunk is filled up; else it is not read and the rows begin another one."""
+        n = self.slots.getValue((slot,))[0] if slot in known else 0
+        n = n if fill else -(-n // CHUNK_ROWS) * CHUNK_ROWS
+        known.add(slot)
         self.slots.updateValue((slot,), (n + len(rows),))
         while len(rows):
             chunk, filled = divmod(n, CHUNK_ROWS)
@@ -58,8 +76,24 @@ class LeaderState(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        for slot in sorted(s[0] for s in self.slots.keys() if (s[0] + 1) * SLOT_US <= passed_us):
-            yield self._scan(key, self._taken(slot))
+        parts, n = [], 0
+        waiting = {s[0] for s in self.slots.keys()}
+        passed = sorted(s for s in waiting if (s + 1) * SLOT_US <= passed_us)
+        waiting.difference_update(passed)
+        for slot in passed:
+            if n >= CHUNK_ROWS:  # no page from here on has a row before this slot
+                early, late = self._parted(parts, slot * SLOT_US)
+                if len(early):
+                    yield self._scan(key, early)
+                parts, n = [late], len(late)
+            parts.append(self._taken(slot))
+            n += len(parts[-1])
+        if parts:
+            early, late = self._parted(parts, passed_us // SLOT_US * SLOT_US)
+            yield self._scan(key, early)
+            self._wait(late, waiting, fill=False)
+        if waiting:
+            self._wake((min(waiting) + 1) * SLOT_US, timerValues)
         known = self.leader.get() if self.leader.exists() else None
         if known is not None:
             closed_us = (known[2] // SLOT_US + 1) * SLOT_US  # no row that waits or still comes is before it
@@ -75,7 +109,15 @@ class LeaderState(StatefulProcessor):
         for c in chunks:
             self.chunks.removeKey((slot, c))
         self.slots.removeKey((slot,))
-        return rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        return rows
+
+    @staticmethod
+    def _parted(parts: list[np.ndarray], end_us: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows before ``end_us`` in (time, id) order, and the others."""
+        rows = np.concatenate(parts)
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        cut = int(np.searchsorted(rows[:, 0], end_us))
+        return rows[:cut], rows[cut:]
 
     def _scan(self, key, rows: np.ndarray) -> pd.DataFrame:
         ts, ids, free = rows.T
