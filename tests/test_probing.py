@@ -137,3 +137,22 @@ def test_graph_of_copies_and_of_next_to_nothing(spark, clustered):
     assert graph.search_graph(flat.limit(0), none, asked, 5)[0].count() == 0
     one = flat.filter("vec_id = 3")
     assert [h.vec_id for h in graph.search_graph(one, graph.build_graph(one), asked, 5)[0].collect()] == [3]
+
+
+def test_graph_of_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SHARD_ROWS", 500)
+    monkeypatch.setattr(graph, "QUERY_ROWS", 400)
+    monkeypatch.setattr(graph, "WALKERS", 50)
+    rng = np.random.default_rng(5)
+    rows = [(i * 7 - 300, rng.normal(size=12).tolist()) for i in range(1_900)]
+    flat = index.build_flat(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).cache()
+    made = graph.build_graph(flat, edges=16)
+    shard = made.select("vec_id", "shard").distinct()
+    assert shard.count() == 1_900 and shard.groupBy("shard").count().count() == 4
+    inside = made.join(shard.withColumnRenamed("vec_id", "neighbor"), ["neighbor", "shard"], "left_semi")
+    assert inside.count() == made.count() == 16 * 1_900  # no edge leaves its shard
+    asked = flat.filter("vec_id % 2 = 0").select(F.col("vec_id").alias("query_id"), F.col("unit_vec").cast("array<double>").alias("vec"))
+    hits, compared = graph.search_graph(flat, made, asked, 5, beam=24, step=8, entries=16)
+    scored = compared.agg(F.sum("n_scored"), F.count("*")).first()
+    assert scored[1] == asked.count() and 300 < scored[0] / scored[1] < 1_500
+    assert recall(hits, search.search_exact(flat, asked, 5)) >= 0.9
