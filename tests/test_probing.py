@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vecquery.operators import graph, index, probing, search
+from vecquery.operators import blocks, graph, index, probing, search
 
 DIM = 16
 
@@ -156,3 +156,14 @@ def test_graph_of_several_shards(spark, monkeypatch):
     scored = compared.agg(F.sum("n_scored"), F.count("*")).first()
     assert scored[1] == asked.count() and 300 < scored[0] / scored[1] < 1_500
     assert recall(hits, search.search_exact(flat, asked, 5)) >= 0.9
+
+
+@pytest.mark.parametrize("probes", [1, 3, 11, 16])
+def test_many_queries_of_many_buckets_travel_once_a_block(clustered, queries, monkeypatch, probes):
+    """Blocks of buckets, some cut, give the hits of queries that are sent with the list of their buckets."""
+    few = as_set(probing.search_multiprobe(clustered, queries, 5, DIM, 2, 4, probes))
+    monkeypatch.setattr(blocks, "VECTOR_BLOCK_BYTES", 8 * DIM * 50)
+    monkeypatch.setattr(blocks, "QUERY_BLOCK_BYTES", 8 * DIM * 20)
+    monkeypatch.setattr(probing, "_SLICE_NUMBERS", 60)
+    monkeypatch.setattr(probing, "_near_cells", None)  # no row per query and bucket
+    assert as_set(probing.search_multiprobe(clustered, queries, 5, DIM, 2, 4, probes, max_sent_queries=0)) == few

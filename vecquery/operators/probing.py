@@ -20,6 +20,8 @@ from vecquery.sources.tables import write_stage
 _SLACK = 1e-9  # above the rounding error of a dot product of unit vectors
 #: Queries that recall is measured with, and codes that are listed at once when it is.
 SAMPLE_QUERIES = 128
+#: Numbers of a slice that costs of buckets are worked out in.
+_SLICE_NUMBERS = 1_000_000
 #: Vectors a bucket should get; the bits of a bucket's code follow from it.
 BUCKET_ROWS = 32
 
@@ -141,6 +143,11 @@ def cheapest_codes(margins: np.ndarray, probes: int) -> np.ndarray:
     hyperplanes between it and the query. Of sums over the first bits only the cheapest can become the cheapest of all, so
     the codes are put together bit by bit and cut to ``probes`` every time.
     """
+    return _cheapest(margins, probes)[0]
+
+
+def _cheapest(margins: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes and what they cost."""
     n, bits = margins.shape
     code = ((margins >= 0) @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int64)[:, None]
     cost = np.zeros((n, 1))
@@ -149,15 +156,21 @@ def cheapest_codes(margins: np.ndarray, probes: int) -> np.ndarray:
         cost = np.concatenate([cost, cost + margins[:, bit : bit + 1] ** 2], axis=1)
         order = np.lexsort((code, cost))[:, :probes]
         code, cost = np.take_along_axis(code, order, axis=1), np.take_along_axis(cost, order, axis=1)
-    return code
+    return code, cost
 
 
-def _near_cells(queries: DataFrame, dim: int, bands: int, bits: int, probes: int) -> DataFrame:
-    signs = search.plane_signs(bands * bits, dim)
+def _margins(vectors: np.ndarray, bands: int, bits: int) -> np.ndarray:
+    """(rows, bands, bits): signed distances to the hyperplanes, added up term by term, so that they are the same in every task."""
+    out = np.zeros((len(vectors), bands * bits))
+    for j, signs in enumerate(search.plane_signs(bands * bits, vectors.shape[1]).T if len(vectors) else ()):
+        out += vectors[:, j, None] * signs
+    return out.reshape(-1, bands, bits)
 
+
+def _near_cells(queries: DataFrame, bands: int, bits: int, probes: int) -> DataFrame:
     @F.arrow_udf("array<bigint>")
     def cells(vectors: pa.Array) -> pa.Array:
-        margins = (blocks.to_matrix(vectors) @ signs.T if len(vectors) else np.zeros((0, bands * bits))).reshape(-1, bands, bits)
+        margins = _margins(blocks.to_matrix(vectors), bands, bits)
         codes = [cheapest_codes(margins[:, b], probes) + (b << bits) for b in range(bands)]
         codes = np.concatenate(codes, axis=1)
         ends = np.arange(len(codes) + 1, dtype=np.int32) * codes.shape[1]
@@ -166,6 +179,84 @@ def _near_cells(queries: DataFrame, dim: int, bands: int, bits: int, probes: int
     return queries.select("query_id", "vec", F.explode_outer(cells(F.col("vec"))).alias("cell"))
 
 
+def _last_probed(queries: DataFrame, bands: int, bits: int, probes: int) -> DataFrame:
+    """query_id, vec, ``cost`` and ``code`` per band of the last of the ``probes`` nearest buckets: it tells which buckets are asked."""
+    slice_rows = max(1, _SLICE_NUMBERS // (2 * probes))
+
+    @F.arrow_udf("struct<cost: array<double>, code: array<bigint>>")
+    def last(vectors: pa.Array) -> pa.Array:
+        margins = _margins(blocks.to_matrix(vectors), bands, bits)
+        cost, code = np.zeros((len(margins), bands)), np.zeros((len(margins), bands), dtype=np.int64)
+        for b in range(bands):
+            for i in range(0, len(margins), slice_rows):
+                codes, costs = _cheapest(margins[i : i + slice_rows, b], probes)
+                code[i : i + slice_rows, b], cost[i : i + slice_rows, b] = codes[:, -1], costs[:, -1]
+        ends = pa.array(np.arange(len(margins) + 1, dtype=np.int32) * bands)
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1))) for x in (cost, code)], ["cost", "code"])
+
+    found = write_stage(queries.select("query_id", "vec", last(F.col("vec")).alias("last")), "last-probed")
+    return found.select("query_id", "vec", "last.cost", "last.code")
+
+
+def _asked(margins: np.ndarray, cost: np.ndarray, code: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """(codes, queries): does a query of these margins in a band ask for a bucket, given the last one it asks for."""
+    own, far = margins >= 0, margins**2
+    costs = np.zeros((len(codes), len(margins)))
+    for bit in range(margins.shape[1]):
+        costs += np.where(((codes >> bit) & 1 == 1)[:, None] == own[:, bit], 0.0, far[:, bit])
+    return (costs < cost) | ((costs == cost) & (codes[:, None] <= code))
+
+
+def _meet_probed(index: DataFrame, queries: DataFrame, k: int, dim: int, bands: int, bits: int, probes: int, n_queries: int) -> DataFrame:
+    """Candidates as of ``cell_top_k``, for many queries that ask for many buckets each.
+
+    Blocks of whole buckets (a bucket larger than a block is cut) meet blocks of queries. A query travels to a block once, with the
+    last bucket it asks for in each band instead of their list; the task finds the asked buckets from that and compares with no
+    others. So what is shuffled does not grow with the number of probes, and a block gives k rows a query, not k a bucket.
+    """
+    celled = search.hash_cells(index.select("vec_id", F.col("unit_vec").alias("vec")), "vec", dim, bands, bits)
+    width = 8 * max(1, dim)
+    block_rows = max(1, blocks.VECTOR_BLOCK_BYTES // width)
+    sizes = write_stage(celled.groupBy("cell").agg(F.count("*").alias("n")), "cell-sizes")
+    v_blocks = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // block_rows))
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    q_blocks = max(1, -(-n_queries * width // blocks.QUERY_BLOCK_BYTES), min(-(-2 * cores // v_blocks), -(-n_queries // 512)))
+    fat = sizes.filter(F.col("n") > block_rows).select("cell", F.ceil(F.col("n") / block_rows).alias("parts"))  # at most a row per block
+    part = F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1)))
+    left = celled.join(F.broadcast(fat), "cell", "left").select(
+        F.pmod(F.xxhash64("cell", part), F.lit(v_blocks)).cast("int").alias("v_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"), "cell", "vec_id", "vec",
+    )
+    right = _last_probed(queries, bands, bits, probes).select(
+        F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("v_block"),
+        F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int").alias("q_block"), "query_id", "vec", "cost", "code",
+    )
+
+    def score(points: pa.Table, asked: pa.Table) -> pa.Table:
+        query_ids, ids, cell = asked["query_id"].to_numpy(), points["vec_id"].to_numpy(), points["cell"].to_numpy()
+        best = blocks.BestHits(len(query_ids), k)
+        if len(query_ids) and len(ids):
+            vectors, rows = blocks.to_matrix(asked["vec"]), blocks.to_matrix(points["vec"])
+            margins, cost, code = _margins(vectors, bands, bits), blocks.to_matrix(asked["cost"]), asked["code"].combine_chunks().flatten().to_numpy().reshape(-1, bands)
+            order = np.argsort(cell, kind="stable")
+            cells, start = np.unique(cell[order], return_index=True)
+            members = np.split(order, start[1:])
+            at_once = max(1, _SLICE_NUMBERS // len(query_ids))
+            for b in range(bands):
+                own = np.flatnonzero(cells >> bits == b)
+                for i in range(0, len(own), at_once):
+                    some = own[i : i + at_once]
+                    for at, mask in zip(some, _asked(margins[:, b], cost[:, b], code[:, b], cells[some] & ((1 << bits) - 1)), strict=True):
+                        places, inside = np.flatnonzero(mask), members[at]
+                        for v in range(0, len(inside) if len(places) else 0, blocks._ROWS_AT_ONCE):
+                            near = inside[v : v + blocks._ROWS_AT_ONCE]
+                            best.offer(places, vectors[places], ids[near], rows[near])
+        return pa.Table.from_batches([best.table(query_ids)])
+
+    block = ["v_block", "q_block"]
+    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(score, "query_id bigint, vec_id bigint, dot double")
+
+
 def search_multiprobe(
     index: DataFrame, queries: DataFrame, k: int, dim: int, bands: int, bits: int, probes: int, max_sent_queries: int = MAX_SENT_QUERIES
 ) -> DataFrame:
@@ -173,10 +264,18 @@ def search_multiprobe(
 
     Nearness counts the squared distances to the hyperplanes in between. ``measured_probes`` finds how many it takes.
     """
-    found = blocks.cell_top_k(
-        search.hash_cells(index.select("vec_id", F.col("unit_vec").alias("vec")), "vec", dim, bands, bits),
-        _near_cells(queries.select("query_id", "vec"), dim, bands, bits, probes), k, max_sent_queries,
-    )
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    probes = min(probes, 1 << bits)
+    queries = queries.select("query_id", "vec")
+    n = queries.count()
+    if n * bands * probes <= max_sent_queries:
+        found = blocks.cell_top_k(
+            search.hash_cells(index.select("vec_id", F.col("unit_vec").alias("vec")), "vec", dim, bands, bits),
+            _near_cells(queries, bands, bits, probes), k, max_sent_queries,
+        )
+    else:
+        found = _meet_probed(index, queries, k, dim, bands, bits, probes, n)
     return search.rank_hits(found.groupBy("query_id", "vec_id").agg(F.max("dot").alias("dot")), k)
 
 
