@@ -167,7 +167,7 @@ def _both_ways(neighbor_of: np.ndarray, neighbor: np.ndarray, n: int) -> np.ndar
 
 
 def _walk(vectors: np.ndarray, ends: np.ndarray, queries: np.ndarray, keep: int, beam: int, step: int, entries: int):
-    """(places, dots, numbers of compared vectors): the ``keep`` best vectors that each query's walk meets, best first; place -1 is none."""
+    """(places, dots, compared vectors as a mask): the ``keep`` best vectors that each query's walk meets, best first; place -1 is none."""
     n, walkers = len(vectors), len(queries)
     seen = np.zeros((walkers, n), dtype=bool)
     place = np.full((walkers, keep), -1, dtype=np.int64)
@@ -194,7 +194,7 @@ def _walk(vectors: np.ndarray, ends: np.ndarray, queries: np.ndarray, keep: int,
             ahead = ends[place[walker, at]]
             met = np.unique((walker[:, None] * n + ahead)[ahead >= 0])
             met = met[~seen.ravel()[met]]
-    return place, dot, seen.sum(axis=1)
+    return place, dot, seen
 
 
 def search_graph(
@@ -223,7 +223,7 @@ def search_graph(
 
     def walk(shard: pa.Table, asked: pa.Table) -> pa.Table:
         query_ids, out = asked["query_id"].to_numpy(), []
-        ids, first = np.unique(shard["vec_id"].to_numpy(), return_index=True)
+        ids, first, copies = np.unique(shard["vec_id"].to_numpy(), return_index=True, return_counts=True)
         if len(ids) and len(query_ids):
             vectors, points = blocks.to_matrix(shard["vec"])[first], blocks.to_matrix(asked["vec"])
             lists = shard["neighbors"].combine_chunks().take(pa.array(first))
@@ -231,15 +231,15 @@ def search_graph(
             ends = _both_ways(there, np.searchsorted(ids, lists.flatten().to_numpy()), len(ids))
             for i in range(0, len(query_ids), WALKERS):
                 own = query_ids[i : i + WALKERS]
-                place, dot, scored = _walk(vectors, ends, points[i : i + WALKERS], max(beam, k), beam, step, entries)
+                place, dot, seen = _walk(vectors, ends, points[i : i + WALKERS], max(beam, k), beam, step, entries)
                 row, at = np.nonzero(place[:, :k] >= 0)
                 out.append((own[row], ids[place[row, at]], dot[row, at], np.zeros(len(row), dtype=np.int64), np.ones(len(row), dtype=bool)))
-                out.append((own, own, np.zeros(len(own)), scored, np.zeros(len(own), dtype=bool)))
+                out.append((own, own, np.zeros(len(own)), seen @ copies, np.zeros(len(own), dtype=bool)))  # every row of an id counts
         none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, dtype=bool))]
         query, vec, dot, scored, hit = (np.concatenate(c) for c in zip(*(out or none), strict=True))
         return pa.table({"query_id": query, "vec_id": pa.array(vec, mask=~hit), "dot": pa.array(dot, mask=~hit), "n_scored": pa.array(scored, mask=hit)})
 
     block = ["shard", "part"]
     walked = write_stage(left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(walk, _WALKED), "walked")
-    hits = search.rank_hits(walked.filter("vec_id IS NOT NULL").select("query_id", "vec_id", "dot"), k)
-    return hits, walked.filter("vec_id IS NULL").groupBy("query_id").agg(F.sum("n_scored").alias("n_scored"))
+    hits = walked.filter("vec_id IS NOT NULL").groupBy("query_id", "vec_id").agg(F.max("dot").alias("dot"))
+    return search.rank_hits(hits, k), walked.filter("vec_id IS NULL").groupBy("query_id").agg(F.sum("n_scored").alias("n_scored"))
