@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -111,3 +113,17 @@ def test_copies_stay_few(kind):
     for q in range(0, 200, 17):
         order = np.lexsort((ids, -dots[q]))[:5]
         assert best.vec[best.query == q].tolist() == ids[order].tolist()
+
+
+def test_a_block_is_scored_in_little_memory():
+    rng = np.random.default_rng(8)
+    vectors, queries = rng.normal(size=(9_000, 8)), rng.normal(size=(4_000, 8))
+    best = blocks.BestHits(4_000, 5)
+    tracemalloc.start()
+    best.add(np.arange(4_000), queries, np.arange(9_000), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    want = np.argsort(-(queries[::500] @ vectors.T), axis=1)[:, :5]
+    assert [best.vec[best.query == q].tolist() for q in range(0, 4_000, 500)] == want.tolist()
+    assert len(best.table(np.arange(4_000))) == 20_000
