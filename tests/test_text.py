@@ -1,7 +1,9 @@
 import hashlib
 import json
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,23 @@ def test_failed_generation_is_a_row_with_an_error(spark):
     df = spark.createDataFrame([(i, "bad" if i == 3 else f"p{i}") for i in range(6)], "id int, p string").coalesce(1)
     got = {r.id: (r.answer, r.error) for r in generate.generate_batch(df, "p", make_model, batch_size=1).collect()}
     assert got[3] == (None, "RuntimeError: no answer") and got[5] == ("P5", None) and len(got) == 6
+
+
+def test_words_are_counted_in_slices_of_bounded_bytes():
+    """A batch of long texts needs memory for a slice of it, and gives the same counts in any slices."""
+    made = pa.array(["a b a", "", " \u3000", "c" * 300, "a c", None, "x y z " * 100, "a"]).fill_null("")
+    whole = text._counted(made, 16)
+    for most in (1, 7, 400, 10**6):
+        slices = text.byte_slices(made, most)
+        assert [i for start, n in slices for i in range(start, start + n)] == list(range(8))
+        assert np.concatenate([text._counted(made.slice(start, n), 16) for start, n in slices]).tolist() == whole.tolist()
+    assert text.byte_slices(made.slice(0, 0), 10) == []
+    long = pa.array([" ".join(f"w{(i + j) % 997}" for j in range(1_000)) for i in range(3_000)])
+    slices = text.byte_slices(long, text.SLICE_BYTES)
+    assert max(sum(map(len, long.slice(*s).to_pylist())) for s in slices) < text.SLICE_BYTES + 6_000
+    tracemalloc.start()
+    for s in slices:
+        text._counted(long.slice(*s), 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # three million words at once take more
