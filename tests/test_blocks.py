@@ -127,3 +127,17 @@ def test_a_block_is_scored_in_little_memory():
     want = np.argsort(-(queries[::500] @ vectors.T), axis=1)[:, :5]
     assert [best.vec[best.query == q].tolist() for q in range(0, 4_000, 500)] == want.tolist()
     assert len(best.table(np.arange(4_000))) == 20_000
+
+
+def test_scores_of_a_step_need_few_megabytes():
+    """Queries are compared in steps, so what a task holds beside its block does not follow the number of queries."""
+    rng = np.random.default_rng(4)
+    queries, vectors = rng.standard_normal((2_048, 64)), rng.standard_normal((8_192, 64))
+    best = blocks.BestHits(2_048, 5)
+    tracemalloc.start()
+    best.add(np.arange(2_048), queries, np.arange(8_192), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    want = np.argsort(-(queries[::256] @ vectors.T), axis=1)[:, :5]
+    assert [best.vec[best.query == q].tolist() for q in range(0, 2_048, 256)] == want.tolist()

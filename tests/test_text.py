@@ -166,3 +166,14 @@ def test_words_are_counted_in_slices_of_bounded_bytes():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 50e6  # three million words at once take more
+
+
+def test_counting_words_needs_few_megabytes_beside_the_batch():
+    """Three million words in one batch: what is held at once follows a slice of about a megabyte of text."""
+    long = pa.array([" ".join(f"w{(i + j) % 997}" for j in range(1_000)) for i in range(3_000)])
+    tracemalloc.start()
+    for s in text.byte_slices(long, text.SLICE_BYTES):
+        text._counted(long.slice(*s), 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6
