@@ -141,3 +141,25 @@ def test_scores_of_a_step_need_few_megabytes():
     assert peak < 30e6
     want = np.argsort(-(queries[::256] @ vectors.T), axis=1)[:, :5]
     assert [best.vec[best.query == q].tolist() for q in range(0, 2_048, 256)] == want.tolist()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e12, 1e100])
+def test_rounding_of_the_preselection_loses_no_hit(scale, monkeypatch):
+    """Dots closer than single precision tells apart, of vectors of any length; unit vectors are preselected in single precision."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=32)
+    vectors = base + 1e-9 * rng.normal(size=(9_000, 32))
+    queries = np.concatenate([base + 1e-9 * rng.normal(size=(20, 32)), rng.normal(size=(20, 32))])
+    vectors, queries = (x / np.linalg.norm(x, axis=1, keepdims=True) * scale for x in (vectors, queries))
+    ids = rng.permutation(len(vectors))
+    kinds = []
+    monkeypatch.setattr(blocks, "_preselecting", lambda *a, f=blocks._preselecting: kinds.append((got := f(*a))[0].dtype) or got)
+    best = blocks.BestHits(len(queries), 5)
+    best.add(np.arange(len(queries)), queries, ids, vectors)
+    best._settle()
+    dots = np.zeros((len(queries), len(vectors)))
+    for j in range(32):
+        dots += queries[:, j, None] * vectors[None, :, j]
+    want = [ids[np.lexsort((ids, -row))[:5]].tolist() for row in dots]
+    assert best.vec.reshape(-1, 5).tolist() == want
+    assert set(kinds) == {np.dtype(np.float64 if scale > 1e15 else np.float32)}

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,48 @@ def test_graph_of_several_shards(spark, monkeypatch):
     assert recall(hits, search.search_exact(flat, asked, 5)) >= 0.9
 
 
+def test_a_block_of_queries_walks_a_shelf_of_shards_in_one_task(spark, monkeypatch):
+    """A query comes once to every four shards and leaves them with its best hits over all of them, whatever it would find in each."""
+    monkeypatch.setattr(graph, "SHARD_ROWS", 100)
+    written = {}
+
+    def kept(df, label, *rest, write=graph.write_stage):
+        written[label] = write(df, label, *rest)
+        return written[label]
+
+    monkeypatch.setattr(graph, "write_stage", kept)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(800)]
+    flat = index.build_flat(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).cache()
+    made = graph.build_graph(flat, edges=16)
+    asked = flat.filter("vec_id < 90").select(F.col("vec_id").alias("query_id"), F.col("unit_vec").cast("array<double>").alias("vec"))
+    hits, compared = graph.search_graph(flat, made, asked.unionAll(asked.filter("query_id = 7")), 5)
+    exact = {(r.query_id, r.rank): (r.vec_id, round(r.dot, 12)) for r in search.search_exact(flat, asked, 5).collect()}
+    assert {(r.query_id, r.rank): (r.vec_id, round(r.dot, 12)) for r in hits.collect()} == exact  # small shards are read almost whole
+    scored = {r.query_id: r.n_scored for r in compared.collect()}
+    assert scored.keys() == set(range(90)) and all(700 < n / (1 + (i == 7)) <= 800 for i, n in scored.items())
+    assert written["walked"].count() == 91 * 2 * (5 + 1)  # eight shards are two shelves
+
+
+def test_a_walk_of_huge_and_of_ordinary_vectors_takes_the_same_way():
+    """Single precision chooses the way where it can hold the numbers; the kept dots are those of double precision."""
+    vectors = np.random.default_rng(7).normal(size=(2_000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    made = graph._shard_edges(vectors, 16, 4)
+    found = []
+    for scale in (1.0, 2.0**100):
+        table = pa.table({
+            "vec_id": np.arange(2_000) * 3, "vec": (vectors * scale).tolist(), "neighbors": (made.neighbor * 3).tolist(),
+        })
+        shard = graph._Shard(table)
+        assert shard.rough.dtype == (np.float32 if scale == 1 else np.float64)
+        place, dot, scored = graph._walk(shard, vectors[:40] * scale, 24, 24, 8, 16)
+        assert np.allclose(dot / scale**2, np.take_along_axis(vectors[:40] @ vectors.T, place, axis=1), rtol=0, atol=1e-14)
+        assert (np.diff(dot, axis=1) <= 0).all() and all(len(set(p)) == 24 for p in place.tolist()) and (scored < 1_500).all()
+        found.append((place, scored))
+    assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
+
+
 @pytest.mark.parametrize("probes", [1, 3, 11, 16])
 def test_many_queries_of_many_buckets_travel_once_a_block(clustered, queries, monkeypatch, probes):
     """Blocks of buckets, some cut, give the hits of queries that are sent with the list of their buckets."""

@@ -2,8 +2,8 @@
 
 The vectors are dealt by a hash of their id into shards of bounded size, and edges stay inside a shard. ``build_graph`` makes each
 shard's edges in one task: it starts from vectors that share a hash bucket and improves by the neighbours of neighbours.
-``search_graph`` brings blocks of queries to the shards and walks each of them from a few entry vectors to ever nearer ones; only
-the best hits of a query leave a shard. Neither looks at all pairs, and what is shuffled are vectors and hits, never the
+``search_graph`` brings blocks of queries to shelves of a few shards and walks each shard from a few entry vectors to ever nearer
+ones; only the best hits of a query leave a shelf. Neither looks at all pairs, and what is shuffled are vectors and hits, never the
 (query, vector) pairs that a walk compares.
 """
 
@@ -33,6 +33,8 @@ ENTRIES, BEAM, STEP = 32, 64, 16
 SHARD_ROWS = 16_384
 QUERY_ROWS = 65_536
 WALKERS = 64
+#: Shards that a block of queries walks in one task, one after the other; only the best hits over all of them leave it.
+SHELF_SHARDS = 4
 
 _EDGE = "vec_id bigint, neighbor bigint, dot double, rank int, shard int"
 _WALKED = "query_id bigint, vec_id bigint, dot double, n_scored bigint"
@@ -148,7 +150,8 @@ def build_graph(index: DataFrame, edges: int = EDGES, rounds: int = ROUNDS) -> D
             "rank": (place + 1).astype(np.int32), "shard": np.full(len(a), key[0].as_py(), dtype=np.int32),
         })
 
-    dealt = index.select(_shard(shards), "vec_id", F.col("unit_vec").alias("vec"))
+    # a task for each shard: shards are small in bytes, so that a plan by bytes would put several into one task
+    dealt = index.select(_shard(shards), "vec_id", F.col("unit_vec").alias("vec")).repartitionById(shards, "shard")
     return write_stage(dealt.groupBy("shard").applyInArrow(build, _EDGE), "graph")
 
 
@@ -157,44 +160,97 @@ def _shard(shards: int):
 
 
 def _both_ways(neighbor_of: np.ndarray, neighbor: np.ndarray, n: int) -> np.ndarray:
-    """(n, up to 2 x EDGES) vectors at the other end of an edge of either direction, chosen at random where there are more; -1 where fewer."""
+    """(n, up to 2 x EDGES) vectors at the other end of an edge of either direction, chosen at random where there are more; n where fewer."""
     key = np.unique(np.concatenate([neighbor_of * n + neighbor, neighbor * n + neighbor_of]))
     a, b = _first_of_each(key // n, key % n, 2 * EDGES, np.random.default_rng(42))
     place = np.arange(len(a)) - np.searchsorted(a, a, side="left")
-    ends = np.full((n, int(place.max()) + 1 if len(a) else 1), -1, dtype=np.int32)
+    ends = np.full((n, int(place.max()) + 1 if len(a) else 1), n, dtype=np.int32)
     ends[a, place] = b
     return ends
 
 
-def _walk(vectors: np.ndarray, ends: np.ndarray, queries: np.ndarray, keep: int, beam: int, step: int, entries: int):
-    """(places, dots, compared vectors as a mask): the ``keep`` best vectors that each query's walk meets, best first; place -1 is none."""
-    n, walkers = len(vectors), len(queries)
-    seen = np.zeros((walkers, n), dtype=bool)
-    place = np.full((walkers, keep), -1, dtype=np.int64)
-    dot, open_ = np.full((walkers, keep), -np.inf), np.zeros((walkers, keep), dtype=bool)
-    start = np.random.default_rng(42).permutation(n)[:entries]
-    met = (np.arange(walkers)[:, None] * n + np.sort(start)).ravel()
-    while len(met):
-        seen.ravel()[met] = True
-        row, col = np.divmod(met, n)
-        here = np.arange(len(row)) - np.searchsorted(row, row, side="left")
-        wide = int(here.max()) + 1
-        more, far = np.full((walkers, wide), -1, dtype=np.int64), np.full((walkers, wide), -np.inf)
-        more[row, here], far[row, here] = col, np.einsum("ij,ij->i", queries[row], vectors[col])
-        every, dots = np.concatenate([place, more], axis=1), np.concatenate([dot, far], axis=1)
-        opened = np.concatenate([open_, more >= 0], axis=1)
-        order = np.lexsort((every, -dots), axis=1)[:, :keep]
-        place, dot, open_ = (np.take_along_axis(x, order, axis=1) for x in (every, dots, opened))
-        met = np.zeros(0, dtype=np.int64)
-        while not len(met) and open_[:, :beam].any():
+class _Shard:
+    """A shard's vectors and edges, and what walks need besides: single precision chooses the way, hits are scored in double precision."""
+
+    def __init__(self, shard: pa.Table):
+        self.ids, first, self.copies = np.unique(shard["vec_id"].to_numpy(), return_index=True, return_counts=True)
+        self.vectors = blocks.to_matrix(shard["vec"])[first]
+        lists = shard["neighbors"].combine_chunks().take(pa.array(first))
+        there = np.repeat(np.arange(len(self.ids)), lists.value_lengths().fill_null(0).to_numpy())
+        self.ends = _both_ways(there, np.searchsorted(self.ids, lists.flatten().to_numpy()), len(self.ids))
+        self.rough = self.vectors.astype(np.float32) if np.abs(self.vectors).max(initial=0) < 1e9 else self.vectors
+        self.met_at = np.empty(WALKERS * (len(self.ids) + 1), dtype=np.int32)
+
+
+def _widened(held: np.ndarray, at: np.ndarray, new: np.ndarray, wide: int, none: float) -> np.ndarray:
+    """``held`` with ``wide`` columns; the new values go to the places ``at`` of the flat result."""
+    out = np.full((len(held), wide), none, dtype=held.dtype)
+    out[:, : held.shape[1]] = held
+    out.ravel()[at] = new
+    return out
+
+
+def _walk(shard: _Shard, queries: np.ndarray, keep: int, beam: int, step: int, entries: int):
+    """(places, dots, number of compared rows): the ``keep`` best vectors that each query's walk meets, best first; a place past the end is none.
+
+    At most ``WALKERS`` queries walk side by side. A met vector is marked in one flat table, so nothing is sorted but the few new
+    vectors that are better than the worst kept one.
+    """
+    n, walkers = len(shard.vectors), len(queries)
+    rough = shard.rough if np.abs(queries).max(initial=0) < 1e9 else shard.vectors
+    asked, every_walker = queries.astype(rough.dtype), np.arange(walkers + 1)
+    start = np.sort(np.random.default_rng(42).permutation(n)[:entries]).astype(np.int32)
+    seen = np.zeros((walkers, n + 1), dtype=bool)
+    seen[:, n] = True  # where an edge is missing
+    seen[:, start] = True
+    seen, scored = seen.ravel(), np.zeros(walkers, dtype=np.int64)
+    place, dot = np.full((walkers, keep), n, dtype=np.int32), np.full((walkers, keep), -np.inf, dtype=asked.dtype)
+    open_ = np.zeros((walkers, keep), dtype=bool)
+    row, col = np.repeat(np.arange(walkers, dtype=np.int32), len(start)), np.tile(start, walkers)
+    while len(row):
+        cut, far = np.searchsorted(row, every_walker).tolist(), np.empty(len(row), dtype=asked.dtype)
+        for w in range(walkers):
+            if cut[w] < cut[w + 1]:
+                np.dot(rough.take(col[cut[w] : cut[w + 1]], axis=0), asked[w], out=far[cut[w] : cut[w + 1]])
+        scored += np.bincount(row, shard.copies.take(col), walkers).astype(np.int64)  # every row of an id counts
+        good = np.flatnonzero(far >= dot[:, -1].take(row))
+        row, col, far = row.take(good), col.take(good), far.take(good)
+        cut = np.searchsorted(row, every_walker)
+        wide = keep + int(np.diff(cut).max())
+        at = row * wide + keep + np.arange(len(row)) - cut.take(row)
+        place, dot, open_ = _widened(place, at, col, wide, n), _widened(dot, at, far, wide, -np.inf), _widened(open_, at, True, wide, False)
+        if wide > 2 * keep:  # all that can be among the best, with their ties
+            best = np.flatnonzero(dot >= np.partition(dot, wide - keep, axis=1)[:, wide - keep, None])
+            of = best // wide
+            cut = np.searchsorted(of, every_walker)
+            wide = int(np.diff(cut).max())
+            at, none = of * wide + np.arange(len(of)) - cut.take(of), np.zeros((walkers, 0))
+            place, dot, open_ = (
+                _widened(none.astype(x.dtype), at, x.ravel().take(best), wide, empty) for x, empty in ((place, n), (dot, -np.inf), (open_, False))
+            )
+        order = np.lexsort((place, -dot), axis=1)[:, :keep] + every_walker[:-1, None] * wide
+        place, dot, open_ = (x.ravel().take(order) for x in (place, dot, open_))
+        row = row[:0]
+        while not len(row):
             walker, at = np.nonzero(open_[:, :beam])
+            if not len(walker):
+                break
             now = np.arange(len(walker)) - np.searchsorted(walker, walker, side="left") < step
             walker, at = walker[now], at[now]
             open_[walker, at] = False
-            ahead = ends[place[walker, at]]
-            met = np.unique((walker[:, None] * n + ahead)[ahead >= 0])
-            met = met[~seen.ravel()[met]]
-    return place, dot, seen
+            ahead = shard.ends.take(place[walker, at], axis=0)
+            key = (ahead + (walker * (n + 1)).astype(np.int32)[:, None]).ravel()
+            new = np.flatnonzero(~seen.take(key))
+            key, number = key.take(new), np.arange(len(new), dtype=np.int32)
+            shard.met_at[key] = number
+            once = np.flatnonzero(shard.met_at.take(key) == number)  # one of the edges that lead to a vector
+            seen[key.take(once)] = True
+            new = new.take(once)
+            row, col = walker.astype(np.int32).take(new // ahead.shape[1]), ahead.ravel().take(new)
+    dots, (walker, at) = np.full(place.shape, -np.inf), np.nonzero(place < n)
+    dots[walker, at] = np.einsum("ij,ij->i", queries[walker], shard.vectors[place[walker, at]])
+    order = np.lexsort((place, -dots), axis=1)
+    return np.take_along_axis(place, order, axis=1), np.take_along_axis(dots, order, axis=1), scored
 
 
 def search_graph(
@@ -210,36 +266,45 @@ def search_graph(
     shards = (graph.agg(F.max("shard")).first()[0] or 0) + 1
     n_queries = queries.count()
     cores = spark.sparkContext.defaultParallelism
+    shelves = -(-shards // SHELF_SHARDS)
     # no fewer blocks than there are cores
-    parts = max(1, -(-n_queries // QUERY_ROWS), min(-(-2 * cores // shards), -(-n_queries // WALKERS)))
+    parts = max(1, -(-n_queries // QUERY_ROWS), min(-(-2 * cores // shelves), -(-n_queries // WALKERS)))
     lists = graph.groupBy("vec_id").agg(F.collect_list("neighbor").alias("neighbors"))
+    # a task for each block, which is a shelf and a part of the queries
     left = index.select(_shard(shards), "vec_id", F.col("unit_vec").alias("vec")).join(lists, "vec_id", "left").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "vec_id", "vec", "neighbors"
-    )
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda part: part * shelves + F.col("shard") % shelves)).alias("block"),
+        "shard", "vec_id", "vec", "neighbors",
+    ).repartitionById(parts * shelves, "block")
+    part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
     right = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"),
-        "query_id", "vec",
-    )
-
-    def walk(shard: pa.Table, asked: pa.Table) -> pa.Table:
-        query_ids, out = asked["query_id"].to_numpy(), []
-        ids, first, copies = np.unique(shard["vec_id"].to_numpy(), return_index=True, return_counts=True)
-        if len(ids) and len(query_ids):
-            vectors, points = blocks.to_matrix(shard["vec"])[first], blocks.to_matrix(asked["vec"])
-            lists = shard["neighbors"].combine_chunks().take(pa.array(first))
-            there = np.repeat(np.arange(len(ids)), lists.value_lengths().fill_null(0).to_numpy())
-            ends = _both_ways(there, np.searchsorted(ids, lists.flatten().to_numpy()), len(ids))
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(shelves - 1)), lambda shelf: part * shelves + shelf)).alias("block"), "query_id", "vec"
+    ).repartitionById(parts * shelves, "block")
+
+    def walk(shelf: pa.Table, asked: pa.Table) -> pa.Table:
+        query_ids, of = asked["query_id"].to_numpy(), shelf["shard"].to_numpy()
+        points, scored = blocks.to_matrix(asked["vec"]), np.zeros(len(query_ids), dtype=np.int64)
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))  # position of the query, vec_id, dot: at most k each
+        for number in np.unique(of).tolist() if len(query_ids) else ():
+            shard, found = _Shard(shelf.filter(pa.array(of == number))), [held]
             for i in range(0, len(query_ids), WALKERS):
-                own = query_ids[i : i + WALKERS]
-                place, dot, seen = _walk(vectors, ends, points[i : i + WALKERS], max(beam, k), beam, step, entries)
-                row, at = np.nonzero(place[:, :k] >= 0)
-                out.append((own[row], ids[place[row, at]], dot[row, at], np.zeros(len(row), dtype=np.int64), np.ones(len(row), dtype=bool)))
-                out.append((own, own, np.zeros(len(own)), seen @ copies, np.zeros(len(own), dtype=bool)))  # every row of an id counts
-        none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, dtype=bool))]
-        query, vec, dot, scored, hit = (np.concatenate(c) for c in zip(*(out or none), strict=True))
-        return pa.table({"query_id": query, "vec_id": pa.array(vec, mask=~hit), "dot": pa.array(dot, mask=~hit), "n_scored": pa.array(scored, mask=hit)})
-
-    block = ["shard", "part"]
-    walked = write_stage(left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(walk, _WALKED), "walked")
+                place, dot, scored_here = _walk(shard, points[i : i + WALKERS], max(beam, k), beam, step, entries)
+                row, at = np.nonzero(place[:, :k] < len(shard.ids))
+                found.append((row + i, shard.ids[place[row, at]], dot[row, at]))
+                scored[i : i + WALKERS] += scored_here
+            query, vec, dot = (np.concatenate(c) for c in zip(*found, strict=True))
+            order = np.lexsort((vec, -dot, query))
+            query, vec, dot = query[order], vec[order], dot[order]
+            best = np.arange(len(query)) - np.searchsorted(query, query, side="left") < k
+            held = (query[best], vec[best], dot[best])
+        query, vec, dot = held
+        met = query_ids if len(of) else query_ids[:0]
+        return pa.table({
+            "query_id": np.concatenate([query_ids[query], met]),
+            "vec_id": pa.concat_arrays([pa.array(vec), pa.nulls(len(met), pa.int64())]),
+            "dot": pa.concat_arrays([pa.array(dot), pa.nulls(len(met), pa.float64())]),
+            "n_scored": pa.concat_arrays([pa.nulls(len(query), pa.int64()), pa.array(scored[: len(met)])]),
+        })
+
+    walked = write_stage(left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(walk, _WALKED), "walked")
     hits = walked.filter("vec_id IS NOT NULL").groupBy("query_id", "vec_id").agg(F.max("dot").alias("dot"))
     return search.rank_hits(hits, k), walked.filter("vec_id IS NULL").groupBy("query_id").agg(F.sum("n_scored").alias("n_scored"))
