@@ -188,17 +188,27 @@ def test_a_walk_of_huge_and_of_ordinary_vectors_takes_the_same_way():
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
     made = graph._shard_edges(vectors, 16, 4)
     found = []
-    for scale in (1.0, 2.0**100):
+    for scale in (1.0, 2.0**100, 2.0**-100):
         table = pa.table({
             "vec_id": np.arange(2_000) * 3, "vec": (vectors * scale).tolist(), "neighbors": (made.neighbor * 3).tolist(),
         })
         shard = graph._Shard(table)
-        assert shard.rough.dtype == (np.float32 if scale == 1 else np.float64)
+        assert shard.rough.dtype == np.float32 and 0.5 <= np.abs(shard.rough).max() <= 1
         place, dot, scored = graph._walk(shard, vectors[:40] * scale, 24, 24, 8, 16)
         assert np.allclose(dot / scale**2, np.take_along_axis(vectors[:40] @ vectors.T, place, axis=1), rtol=0, atol=1e-14)
         assert (np.diff(dot, axis=1) <= 0).all() and all(len(set(p)) == 24 for p in place.tolist()) and (scored < 1_500).all()
         found.append((place, scored))
-    assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
+    for place, scored in found:
+        assert (place == found[0][0]).all() and (scored == found[0][1]).all()
+
+
+def test_ranked_numbers_fall_with_the_dot_and_rise_with_the_place():
+    dots = np.array([np.inf, 3e38, 1.0, 1.0, 1e-40, 0.0, -0.0, -1e-40, -2.0, -np.inf, np.nan], dtype=np.float32)
+    place = np.array([5, 4, 1, 2**31 - 2, 3, 6, 7, 2, 1, 0, 9])
+    ranked = graph._ranked(dots, place)
+    assert (np.diff(ranked) > 0).all() or ranked.tolist() == sorted(set(ranked.tolist()))
+    assert (graph._place_of(ranked) == place).all() and (graph._place_of(ranked | np.uint64(1)) == place).all()
+    assert (ranked < graph._NONE).all() and graph._place_of(graph._NONE) == 2**31 - 1
 
 
 @pytest.mark.parametrize("probes", [1, 3, 11, 16])

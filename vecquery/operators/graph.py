@@ -169,85 +169,89 @@ def _both_ways(neighbor_of: np.ndarray, neighbor: np.ndarray, n: int) -> np.ndar
     return ends
 
 
+def _rough(rows: np.ndarray) -> np.ndarray:
+    """In single precision, and by a power of two so long that products of two such rows neither overflow nor vanish."""
+    longest = np.abs(rows).max(initial=0.0, where=np.isfinite(rows))
+    return np.ldexp(rows, -np.frexp(longest)[1]).astype(np.float32)
+
+
 class _Shard:
-    """A shard's vectors and edges, and what walks need besides: single precision chooses the way, hits are scored in double precision."""
+    """A shard's vectors and edges, and what walks need besides: single precision chooses the way, the kept are scored in double precision."""
 
     def __init__(self, shard: pa.Table):
         self.ids, first, self.copies = np.unique(shard["vec_id"].to_numpy(), return_index=True, return_counts=True)
         self.vectors = blocks.to_matrix(shard["vec"])[first]
+        self.copies = self.copies if (self.copies > 1).any() else None  # every row of an id counts as compared
         lists = shard["neighbors"].combine_chunks().take(pa.array(first))
         there = np.repeat(np.arange(len(self.ids)), lists.value_lengths().fill_null(0).to_numpy())
         self.ends = _both_ways(there, np.searchsorted(self.ids, lists.flatten().to_numpy()), len(self.ids))
-        self.rough = self.vectors.astype(np.float32) if np.abs(self.vectors).max(initial=0) < 1e9 else self.vectors
+        self.rough = _rough(self.vectors)
         self.met_at = np.empty(WALKERS * (len(self.ids) + 1), dtype=np.int32)
 
 
-def _widened(held: np.ndarray, at: np.ndarray, new: np.ndarray, wide: int, none: float) -> np.ndarray:
-    """``held`` with ``wide`` columns; the new values go to the places ``at`` of the flat result."""
-    out = np.full((len(held), wide), none, dtype=held.dtype)
-    out[:, : held.shape[1]] = held
-    out.ravel()[at] = new
-    return out
+_NONE = np.uint64(2**64 - 1)
+
+
+def _ranked(dot: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers whose order is that of falling dots and rising places: 32 bits of the dot, 31 of the place, and one for a followed vector."""
+    bits = (np.fmax(dot, -np.inf) + np.float32(0)).view(np.uint32)  # not a number is last, -0.0 is 0.0
+    falling = np.where(bits >> 31, bits, ~bits & np.uint32(2**31 - 1))
+    return falling.astype(np.uint64) << np.uint64(32) | place.astype(np.uint64) << np.uint64(1)
+
+
+def _place_of(ranked: np.ndarray) -> np.ndarray:
+    return (ranked >> np.uint64(1) & np.uint64(2**31 - 1)).astype(np.int64)
 
 
 def _walk(shard: _Shard, queries: np.ndarray, keep: int, beam: int, step: int, entries: int):
     """(places, dots, number of compared rows): the ``keep`` best vectors that each query's walk meets, best first; a place past the end is none.
 
-    At most ``WALKERS`` queries walk side by side. A met vector is marked in one flat table, so nothing is sorted but the few new
-    vectors that are better than the worst kept one.
+    At most ``WALKERS`` queries walk side by side. A met vector is marked in one flat table, and a kept one is one number that
+    holds its dot, its place and whether it was followed, so that the few new vectors that are better than the worst kept one cost one sort.
     """
     n, walkers = len(shard.vectors), len(queries)
-    rough = shard.rough if np.abs(queries).max(initial=0) < 1e9 else shard.vectors
-    asked, every_walker = queries.astype(rough.dtype), np.arange(walkers + 1)
-    start = np.sort(np.random.default_rng(42).permutation(n)[:entries]).astype(np.int32)
+    asked, every_walker = _rough(queries), np.arange(walkers + 1)
+    start = np.sort(np.random.default_rng(42).permutation(n)[:entries])
     seen = np.zeros((walkers, n + 1), dtype=bool)
     seen[:, n] = True  # where an edge is missing
     seen[:, start] = True
     seen, scored = seen.ravel(), np.zeros(walkers, dtype=np.int64)
-    place, dot = np.full((walkers, keep), n, dtype=np.int32), np.full((walkers, keep), -np.inf, dtype=asked.dtype)
-    open_ = np.zeros((walkers, keep), dtype=bool)
-    row, col = np.repeat(np.arange(walkers, dtype=np.int32), len(start)), np.tile(start, walkers)
+    kept = np.full((walkers, keep), _NONE)
+    row, col = np.repeat(every_walker[:-1], len(start)), np.tile(start, walkers)
     while len(row):
-        cut, far = np.searchsorted(row, every_walker).tolist(), np.empty(len(row), dtype=asked.dtype)
+        cut, far = np.searchsorted(row, every_walker).tolist(), np.empty(len(row), dtype=np.float32)
         for w in range(walkers):
             if cut[w] < cut[w + 1]:
-                np.dot(rough.take(col[cut[w] : cut[w + 1]], axis=0), asked[w], out=far[cut[w] : cut[w + 1]])
-        scored += np.bincount(row, shard.copies.take(col), walkers).astype(np.int64)  # every row of an id counts
-        good = np.flatnonzero(far >= dot[:, -1].take(row))
-        row, col, far = row.take(good), col.take(good), far.take(good)
+                np.dot(shard.rough.take(col[cut[w] : cut[w + 1]], axis=0), asked[w], out=far[cut[w] : cut[w + 1]])
+        scored += np.diff(cut) if shard.copies is None else np.bincount(row, shard.copies.take(col), walkers).astype(np.int64)
+        new = _ranked(far, col)
+        good = np.flatnonzero(new < kept[:, -1].take(row))
+        row, new = row.take(good), new.take(good)
         cut = np.searchsorted(row, every_walker)
-        wide = keep + int(np.diff(cut).max())
-        at = row * wide + keep + np.arange(len(row)) - cut.take(row)
-        place, dot, open_ = _widened(place, at, col, wide, n), _widened(dot, at, far, wide, -np.inf), _widened(open_, at, True, wide, False)
-        if wide > 2 * keep:  # all that can be among the best, with their ties
-            best = np.flatnonzero(dot >= np.partition(dot, wide - keep, axis=1)[:, wide - keep, None])
-            of = best // wide
-            cut = np.searchsorted(of, every_walker)
-            wide = int(np.diff(cut).max())
-            at, none = of * wide + np.arange(len(of)) - cut.take(of), np.zeros((walkers, 0))
-            place, dot, open_ = (
-                _widened(none.astype(x.dtype), at, x.ravel().take(best), wide, empty) for x, empty in ((place, n), (dot, -np.inf), (open_, False))
-            )
-        order = np.lexsort((place, -dot), axis=1)[:, :keep] + every_walker[:-1, None] * wide
-        place, dot, open_ = (x.ravel().take(order) for x in (place, dot, open_))
+        wide = np.full((walkers, keep + int(np.diff(cut).max())), _NONE)
+        wide[:, :keep] = kept
+        wide.ravel()[row * wide.shape[1] + keep + np.arange(len(row)) - cut.take(row)] = new
+        kept = np.sort(wide, axis=1)[:, :keep]
         row = row[:0]
         while not len(row):
-            walker, at = np.nonzero(open_[:, :beam])
+            walker, at = np.nonzero(kept[:, :beam] & np.uint64(1) == 0)
             if not len(walker):
                 break
-            now = np.arange(len(walker)) - np.searchsorted(walker, walker, side="left") < step
-            walker, at = walker[now], at[now]
-            open_[walker, at] = False
-            ahead = shard.ends.take(place[walker, at], axis=0)
-            key = (ahead + (walker * (n + 1)).astype(np.int32)[:, None]).ravel()
+            now = np.flatnonzero(np.arange(len(walker)) - np.searchsorted(walker, walker, side="left") < step)
+            walker, at = walker.take(now), at.take(now)
+            ahead = shard.ends.take(_place_of(kept[walker, at]), axis=0)
+            kept[walker, at] |= np.uint64(1)
+            key = (ahead + (walker * (n + 1))[:, None]).ravel()
             new = np.flatnonzero(~seen.take(key))
             key, number = key.take(new), np.arange(len(new), dtype=np.int32)
             shard.met_at[key] = number
             once = np.flatnonzero(shard.met_at.take(key) == number)  # one of the edges that lead to a vector
-            seen[key.take(once)] = True
-            new = new.take(once)
-            row, col = walker.astype(np.int32).take(new // ahead.shape[1]), ahead.ravel().take(new)
-    dots, (walker, at) = np.full(place.shape, -np.inf), np.nonzero(place < n)
+            key = key.take(once)
+            seen[key] = True
+            row = walker.take(new.take(once) // ahead.shape[1])
+            col = key - row * (n + 1)
+    place, dots = _place_of(kept), np.full(kept.shape, -np.inf)
+    walker, at = np.nonzero(place < n)
     dots[walker, at] = np.einsum("ij,ij->i", queries[walker], shard.vectors[place[walker, at]])
     order = np.lexsort((place, -dots), axis=1)
     return np.take_along_axis(place, order, axis=1), np.take_along_axis(dots, order, axis=1), scored
